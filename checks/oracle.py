@@ -58,7 +58,12 @@ base AS (
     "Price" AS unit_price,
     CAST(CAST("Customer ID" AS BIGINT) AS VARCHAR) AS customer_id,
     regexp_replace(trim("Country"), ' +', ' ', 'g') AS country,
-    trim(source_sheet) AS source_sheet
+    trim(source_sheet) AS source_sheet,
+    row_number() OVER (ORDER BY
+      "InvoiceDate" NULLS FIRST, "Invoice" NULLS FIRST, "Country" NULLS FIRST,
+      "StockCode" NULLS FIRST, "Description" NULLS FIRST, "Quantity" NULLS FIRST,
+      "Price" NULLS FIRST, "Customer ID" NULLS FIRST, source_sheet NULLS FIRST
+    ) AS row_order
   FROM (SELECT DISTINCT * FROM raw)
 ),
 flagged AS (
@@ -149,11 +154,7 @@ dim_date AS (
 _FACT = """
 fact AS (
   SELECT
-    row_number() OVER (ORDER BY
-      f.invoice_date NULLS FIRST, f.invoice_id NULLS FIRST, f.country NULLS FIRST,
-      f.stock_code NULLS FIRST, f.description NULLS FIRST, f.quantity NULLS FIRST,
-      f.unit_price NULLS FIRST, f.customer_id NULLS FIRST, f.source_sheet NULLS FIRST
-    ) AS transaction_key,
+    f.row_order AS transaction_key,
     f.invoice_id,
     coalesce(c.customer_key, 0) AS customer_key,
     coalesce(p.product_key, 0) AS product_key,

@@ -5,20 +5,34 @@ from pyspark.sql import functions as F
 
 from tallyhouse.constants import WHITE_SPACE
 
-_NOT_PLAIN_SPACE = WHITE_SPACE.replace(" ", "")
-# Matches only what has to change, so text that is already tidy passes through
-# without being rebuilt.
-_UNTIDY = f"[{WHITE_SPACE}]{{2,}}|[{_NOT_PLAIN_SPACE}]"
+# Text that a quick look finds tidy skips the costly expression: most text is.
+_MAYBE_UNTIDY = "  |[^!-~ ]"
+_SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 
-def strip(column: Column) -> Column:
-    """Remove white space, including tabs and Unicode spaces, at both ends."""
-    return F.btrim(column.cast("string"), F.lit(WHITE_SPACE))
+def _visible(code: Column) -> Column:
+    """The code point is a printable ASCII character other than the space."""
+    return (code > 32) & (code < 127)
 
 
-def collapse_spaces(column: Column) -> Column:
-    """Turn every run of white space into one plain space."""
-    return F.regexp_replace(column, F.lit(_UNTIDY), F.lit(" "))
+def strip(column: Column) -> Column:
+    """Remove white space, including tabs and Unicode spaces, at both ends."""
+    text = column.cast("string")
+    trimmed = F.trim(text)
+    first, last = F.ascii(trimmed), F.ascii(F.substring(trimmed, -1, 1))
+    return F.when(_visible(first) & _visible(last), trimmed).otherwise(
+        F.btrim(text, F.lit(WHITE_SPACE))
+    )
+
+
+def tidy(column: Column) -> Column:
+    """:func:`strip`, and every run of white space inside becomes one space."""
+    text = column.cast("string")
+    trimmed = F.trim(text)
+    return F.when(
+        trimmed.rlike(_MAYBE_UNTIDY),
+        F.regexp_replace(F.btrim(text, F.lit(WHITE_SPACE)), _SPACES, " "),
+    ).otherwise(trimmed)
 
 
 def is_cancellation(invoice: Column) -> Column:

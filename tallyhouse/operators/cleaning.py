@@ -19,7 +19,7 @@ from tallyhouse.functions.numbers import (
     to_timestamp,
 )
 from tallyhouse.functions.reports import gather, long_report
-from tallyhouse.functions.text import collapse_spaces, is_cancellation, strip
+from tallyhouse.functions.text import is_cancellation, strip, tidy
 from tallyhouse.schemas import CLEAN, MONEY
 
 
@@ -49,8 +49,8 @@ def standardise(lines: DataFrame) -> DataFrame:
     return renamed.withColumns({
         "invoice_id": strip(F.col("invoice_id")),
         "stock_code": strip(F.col("stock_code")),
-        "description": collapse_spaces(strip(F.col("description"))),
-        "country": collapse_spaces(strip(F.col("country"))),
+        "description": tidy(F.col("description")),
+        "country": tidy(F.col("country")),
         K.SHEET: strip(F.col(K.SHEET)),
         "quantity": to_quantity(F.col("quantity")),
         "unit_price": to_price(F.col("unit_price")),

@@ -40,8 +40,13 @@ def _share(part: Column, total: Column) -> Column:
 
 def _country_revenue(star: Star) -> tuple[DataFrame, Column]:
     """Revenue per country, and the total as a scalar subquery over the same
-    grouped sums, which Spark computes once for both."""
-    sums = star.sales.groupBy("country_key").agg(F.sum("sales_revenue").alias("revenue"))
+    grouped sums, which Spark computes once for both.
+
+    A fact always has its keys. Saying so here gives both sides the filter the
+    join would otherwise add to one of them, and so the same scan.
+    """
+    keyed = star.sales.filter("country_key IS NOT NULL")
+    sums = keyed.groupBy("country_key").agg(F.sum("sales_revenue").alias("revenue"))
     countries = sums.join(star.dim_country, "country_key").select("country", "revenue")
     return countries, sums.agg(F.sum("revenue")).scalar()
 

@@ -1,0 +1,180 @@
+"""Hand-made rows, one per rule."""
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+
+from tallyhouse.operators import cleaning, quality
+from tallyhouse.schemas import CLEAN, RAW
+
+NAN = float("nan")
+
+
+def raw_row(invoice, stock="A3", description="cup", quantity=1, at=datetime(2010, 1, 5, 10), price="1.00",
+            customer=103.0, country="United Kingdom", sheet="Y1"):
+    return (invoice, stock, description, quantity, at, None if price is None else Decimal(price), customer, country, sheet)
+
+
+ROWS = [
+    raw_row("1001", "A1", " red  mug ", 2, price="3.50", customer=101.0),
+    raw_row("1001", "A1", " red  mug ", 2, price="3.50", customer=101.0),
+    raw_row("1001", "A1", " red  mug ", 2, price="3.50", customer=101.0, sheet="Y2"),
+    raw_row("1001", "A1 ", " red  mug ", 2, price="3.50", customer=101.0),
+    raw_row("c1002", quantity=-2, price="3.50"),
+    raw_row("C1003", quantity=1, price="10.00"),
+    raw_row("1004", quantity=-1, price="10.00"),
+    raw_row("1005", description=None, quantity=5, price="0", customer=None),
+    raw_row("A1006", quantity=1, price="-50.00", customer=None),
+    raw_row("1007", quantity=0, price="2.00"),
+    raw_row("1008", quantity=3, at=None, price="2.00"),
+    raw_row("1009", description=None, quantity=3, price="2.00"),
+    raw_row("1010", quantity=3, price="2.00", customer=None),
+    raw_row("1011", quantity=3, price=None),
+    raw_row("1012", quantity=-1, price="-2.00"),
+    raw_row("C1013", quantity=-1, price=None),
+    raw_row("1014", description="\ta \t b "),
+    raw_row("1015", customer=NAN),
+    raw_row(None),
+]
+
+# invoice: net, revenue, returned, status, exception
+EXPECTED = {
+    "c1002": ("-7.00", "0.00", "7.00", "cancelled", False),
+    "C1003": ("10.00", "0.00", "10.00", "cancelled", False),
+    "1004": ("-10.00", "0.00", "10.00", "return_or_adjustment", False),
+    "1005": ("0.00", "0.00", "0.00", "zero_price", True),
+    "A1006": ("-50.00", "0.00", "0.00", "invalid_price", True),
+    "1007": ("0.00", "0.00", "0.00", "zero_quantity", True),
+    "1008": ("6.00", "0.00", "0.00", "missing_invoice_date", True),
+    "1009": ("6.00", "6.00", "0.00", "missing_description", True),
+    "1010": ("6.00", "6.00", "0.00", "missing_customer_id", False),
+    "1011": (None, "0.00", "0.00", "requires_review", False),
+    "1012": ("2.00", "0.00", "0.00", "invalid_price", True),
+    "C1013": (None, "0.00", None, "cancelled", False),
+    "1015": ("1.00", "1.00", "0.00", "missing_customer_id", False),
+}
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    return spark.createDataFrame(ROWS, RAW)
+
+
+@pytest.fixture(scope="module")
+def clean(raw):
+    return cleaning.clean_transactions(raw).cache()
+
+
+def money(text):
+    return None if text is None else Decimal(text)
+
+
+def test_schema(clean):
+    assert [(f.name, f.dataType) for f in clean.schema] == [(f.name, f.dataType) for f in CLEAN]
+
+
+def test_only_exact_copies_go(clean):
+    mugs = clean.filter("invoice_id = '1001'").collect()
+    assert len(mugs) == 3
+    for mug in mugs:
+        assert (mug.stock_code, mug.description, mug.customer_id) == ("A1", "red mug", "101")
+        assert (mug.net_line_value, mug.sales_revenue, mug.return_value) == (7, 7, 0)
+        assert mug.transaction_status == "valid_sale"
+
+
+@pytest.mark.parametrize("invoice", EXPECTED)
+def test_edge_row(clean, invoice):
+    net, revenue, returned, status, exception = EXPECTED[invoice]
+    row = clean.filter(clean.invoice_id == invoice).first()
+    assert (row.net_line_value, row.sales_revenue, row.return_value) == (money(net), money(revenue), money(returned))
+    assert row.transaction_status == status
+    assert bool(cleaning.exceptions(clean).filter(clean.invoice_id == invoice).count()) == exception
+    flags = (row.is_cancelled, row.is_return, row.is_zero_price, row.is_invalid_price, row.has_customer_id, row.is_valid_sale)
+    assert None not in flags
+
+
+def test_calendar_of_a_missing_date_is_null(clean):
+    row = clean.filter("invoice_id = '1008'").first()
+    assert [row[c] for c in ("invoice_year", "invoice_quarter", "invoice_month_number", "invoice_month_name",
+                             "year_month", "day_of_week", "invoice_hour", "invoice_date_only")] == [None] * 8
+
+
+def test_unicode_spaces(clean):
+    assert clean.filter("invoice_id = '1014'").first().description == "a b"
+
+
+def test_missing_invoice_is_not_cancelled(clean):
+    row = clean.filter("invoice_id IS NULL").first()
+    assert row.is_cancelled is False and row.is_valid_sale is True
+
+
+def test_half_cents_round_to_even(spark):
+    rows = spark.createDataFrame([raw_row("1", price="0.125"), raw_row("2", price="0.135")], RAW)
+    got = {r.invoice_id: r.net_line_value for r in cleaning.clean_transactions(rows).collect()}
+    assert got == {"1": Decimal("0.12"), "2": Decimal("0.14")}
+
+
+def test_fractional_customer_is_an_error(spark):
+    rows = spark.createDataFrame([raw_row("1", customer=12345.5)], RAW)
+    with pytest.raises(PySparkException, match="fractional customer id"):
+        cleaning.clean_transactions(rows).collect()
+
+
+def test_untyped_input_is_coerced(spark):
+    text = "Invoice string, StockCode string, Description string, Quantity string, InvoiceDate string, " \
+           "Price string, `Customer ID` string, Country string, source_sheet string"
+    rows = spark.createDataFrame([
+        ("1", "007", "cup", "3", "2010-01-05 10:00:00", "2.5", "12345.0", "EIRE", "a"),
+        ("2", "007", "cup", "three", "yesterday", "free", "nobody", "EIRE", "a"),
+    ], text)
+    good, bad = sorted(cleaning.clean_transactions(rows).collect(), key=lambda r: r.invoice_id)
+    assert (good.quantity, good.unit_price, good.customer_id, good.stock_code) == (3, Decimal("2.5"), "12345", "007")
+    assert (bad.quantity, bad.unit_price, bad.invoice_date, bad.customer_id) == (None, None, None, None)
+    assert bad.transaction_status == "missing_invoice_date"
+
+
+def test_subsets(clean):
+    valid = cleaning.valid_sales(clean)
+    assert {r.transaction_status for r in valid.collect()} == {"valid_sale", "missing_description", "missing_customer_id"}
+    assert cleaning.customer_sales(clean).filter("customer_id IS NULL").count() == 0
+
+
+def test_cleaning_summary(raw, clean):
+    got = {r.metric: r.value for r in cleaning.cleaning_summary(raw, clean).collect()}
+    assert got["Raw rows"] == 19 and got["Exact duplicates removed"] == 1
+    assert got["Rows after deduplication"] == 18
+    assert got["Cancelled rows"] == 3 and got["Return or negative-quantity rows"] == 4
+    assert got["Rows missing customer ID"] == 4
+    assert got["Zero-price rows"] == 1 and got["Negative-price rows"] == 2
+    assert got["Exception rows"] == 6
+    assert got["Total recorded return value"] == 27.0
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], RAW)
+    clean = cleaning.clean_transactions(empty)
+    assert {r.value for r in cleaning.cleaning_summary(empty, clean).collect()} == {0.0}
+    got = {r.metric: r.value for r in quality.data_quality_summary(empty).collect()}
+    assert got["Total rows"] == "0" and got["Duplicate rows"] == "0" and got["Earliest invoice date"] is None
+    assert [r.total_rows for r in quality.column_profile(empty).collect()] == [0] * 9
+
+
+def test_quality_counts_nan_as_missing_and_null_rows_as_equal(spark):
+    nulls = (None,) * 8 + ("Y1",)
+    rows = spark.createDataFrame([nulls, nulls, raw_row("C1", customer=NAN), raw_row("c1", description="  ")], RAW)
+    got = {r.metric: r.value for r in quality.data_quality_summary(rows).collect()}
+    assert got["Duplicate rows"] == "1"
+    assert got["Missing customer IDs"] == "3"
+    assert got["Blank descriptions"] == "1"
+    assert got["Cancelled transaction rows"] == "2" and got["Unique cancelled invoices"] == "2"
+    profile = {r["column"]: r for r in quality.column_profile(rows).collect()}
+    assert profile["Customer ID"].missing_values == 3 and profile["Customer ID"].unique_values == 1
+    assert profile["Customer ID"].missing_percentage == 75.0
+    assert list(profile) == RAW.names
+
+
+def test_quality_can_reuse_a_clean_table(raw, clean):
+    alone = quality.data_quality_summary(raw).collect()
+    assert quality.data_quality_summary(raw, deduplicated=clean).collect() == alone
