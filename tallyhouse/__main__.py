@@ -28,7 +28,13 @@ def main() -> None:
         if not options.sheets:
             parser.error("clean needs --sheets")
         raw = scan_workbook(spark, options.sheets, options.format, options.timestamp_format)
-        jobs.ingest_and_clean(spark, raw, options.output, source_bytes(spark, options.sheets))
+        jobs.ingest_and_clean(
+            spark,
+            raw,
+            options.output,
+            source_bytes(spark, options.sheets),
+            land=options.format not in ("parquet", "orc"),
+        )
     elif options.job == "warehouse":
         jobs.build_warehouse(spark, options.output)
     else:

@@ -18,7 +18,7 @@ from tallyhouse.operators import cleaning, quality
 from tallyhouse.plans import business, rfm, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.views import Star, open_star
-from tallyhouse.session import scratch_path
+from tallyhouse.session import scratch_path, sized_for, source_bytes
 from tallyhouse.sinks.tables import write_clean, write_landing, write_warehouse
 from tallyhouse.sources.sample_lines import retail_lines
 from tallyhouse.sources.sheets import scan_landing
@@ -33,16 +33,23 @@ class Workspace:
         self.folder = folder
         self.root = scratch_path(spark, "workspace")
 
+    @cached_property
+    def num_bytes(self) -> int:
+        return source_bytes(self.spark, self.folder)
+
     @cached_property
     def raw(self) -> DataFrame:
         path = f"{self.root}/landing"
-        write_landing(retail_lines(self.spark, self.folder), path)
+        with sized_for(self.spark, self.num_bytes):
+            write_landing(retail_lines(self.spark, self.folder), path)
         return scan_landing(self.spark, path)
 
     @cached_property
     def clean_path(self) -> str:
         path = f"{self.root}/clean_transactions"
-        write_clean(self.raw, path)
+        raw = self.raw
+        with sized_for(self.spark, self.num_bytes):
+            write_clean(raw, path)
         return path
 
     @property
@@ -52,13 +59,17 @@ class Workspace:
     @cached_property
     def star(self) -> Star:
         location = f"{self.root}/warehouse"
-        write_warehouse(self.spark, self.clean_path, location)
+        clean_path = self.clean_path
+        with sized_for(self.spark, self.num_bytes):
+            write_warehouse(self.spark, clean_path, location)
         return open_star(self.spark, location)
 
     @cached_property
     def rfm(self) -> DataFrame:
         path = f"{self.root}/rfm_customers"
-        rfm.rfm_customers(self.spark, self.star).write.mode("overwrite").parquet(path)
+        star = self.star
+        with sized_for(self.spark, self.num_bytes):
+            rfm.rfm_customers(self.spark, star).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     @property

@@ -9,21 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.reports import money_as_double
 from tallyhouse.operators import cleaning, quality
 from tallyhouse.plans import views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.rfm import rfm_customers, rfm_segment_summary
 from tallyhouse.plans.views import Star, open_star, register_views
-from tallyhouse.session import scratch_path, sized_shuffles, source_bytes
+from tallyhouse.session import scratch_path, sized_for, source_bytes
 from tallyhouse.sinks.exports import write_csv
-from tallyhouse.sinks.tables import write_clean, write_warehouse
+from tallyhouse.sinks.tables import write_clean, write_landing, write_warehouse
+from tallyhouse.sources.sheets import scan_landing
 from tallyhouse.sources.tables import read_clean
 
 
-def ingest_and_clean(spark: SparkSession, raw: DataFrame, output: str, num_bytes: int) -> None:
-    """Clean table, exceptions, and the three reports on raw and clean lines."""
-    with sized_shuffles(spark, num_bytes):
+def ingest_and_clean(
+    spark: SparkSession, raw: DataFrame, output: str, num_bytes: int, land: bool = False
+) -> None:
+    """Clean table, exceptions, and the three reports on raw and clean lines.
+
+    ``land`` first stores the lines in columns. Worth it for text sources: the
+    reports look at single columns, and parsing every line for each would cost
+    far more than the copy.
+    """
+    with sized_for(spark, num_bytes):
+        if land:
+            write_landing(raw, f"{output}/landing")
+            raw = scan_landing(spark, f"{output}/landing")
         write_clean(raw, f"{output}/clean_transactions")
         clean = read_clean(spark, f"{output}/clean_transactions")
         write_csv(cleaning.exceptions(clean), f"{output}/data_exceptions")
@@ -39,7 +49,7 @@ def build_warehouse(spark: SparkSession, output: str) -> Star:
     """Star schema and views from the written clean table, replacing old ones."""
     clean_path = f"{output}/clean_transactions"
     read_clean(spark, clean_path)
-    with sized_shuffles(spark, source_bytes(spark, clean_path)):
+    with sized_for(spark, source_bytes(spark, clean_path)):
         write_warehouse(spark, clean_path, f"{output}/warehouse")
     star = open_star(spark, f"{output}/warehouse")
     register_views(star)
@@ -53,9 +63,9 @@ def export_analytics(spark: SparkSession, output: str) -> None:
 
     def export(frame: DataFrame, name: str, *order: str) -> None:
         columns = [F.desc(c[1:]) if c.startswith("-") else F.col(c).asc_nulls_last() for c in order]
-        write_csv(money_as_double(frame), f"{analytics}/{name}", *columns)
+        write_csv(frame, f"{analytics}/{name}", *columns)
 
-    with sized_shuffles(spark, source_bytes(spark, f"{output}/warehouse/fact_transactions")):
+    with sized_for(spark, source_bytes(spark, f"{output}/warehouse/fact_transactions")):
         export(views.monthly_sales(star), "monthly_sales", "year", "month_number")
         export(views.country_performance(star), "country_performance", "-revenue", "country")
         export(views.product_performance(star), "product_performance", "-revenue", "stock_code")
@@ -67,7 +77,7 @@ def export_analytics(spark: SparkSession, output: str) -> None:
         rfm_customers(spark, star).write.mode("overwrite").parquet(scored)
         customers = spark.read.parquet(scored)
         export(customers, "customer_rfm_segments", "customer_id")
-        summary = money_as_double(rfm_segment_summary(customers))
+        summary = rfm_segment_summary(customers)
         write_csv(
             summary, f"{output}/reports/rfm_segment_summary",
             F.desc("total_revenue"), F.col("customer_segment"),

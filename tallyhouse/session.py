@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 
-# One reducer is sized for about a gigabyte of source data. The ceiling keeps
-# the number of map-to-reduce blocks of a 100 TB shuffle within what the
-# driver can track; beyond it partitions grow and spill instead.
-REDUCER_BYTES = 1 << 30
+# One reducer is sized for this much source data. The ceiling bounds map and
+# reduce tasks alike, so that a 100 TB shuffle keeps blocks worth fetching and
+# task counts the driver can track; beyond it partitions grow and spill.
+REDUCER_BYTES = 512 << 20
 MAX_PARTITIONS = 65_536
 
 _local_folders: dict[str, str] = {}
@@ -63,21 +64,42 @@ def shuffle_partitions_for(num_bytes: int) -> int:
     return max(1, min(MAX_PARTITIONS, math.ceil(num_bytes / REDUCER_BYTES)))
 
 
+def scan_bytes_for(num_bytes: int) -> int:
+    """Bytes per scan task that keep the number of scan tasks bounded."""
+    return math.ceil(num_bytes / MAX_PARTITIONS)
+
+
 @contextmanager
-def sized_shuffles(spark: SparkSession, num_bytes: int) -> Iterator[None]:
-    """Raise the shuffle width for a large input while a job runs.
+def sized_for(spark: SparkSession, num_bytes: int) -> Iterator[None]:
+    """Widen shuffles and scan splits for a large input while a job runs.
 
     Adaptive execution merges partitions that turn out small but never adds
-    any, so the width has to start high enough for the input.
+    any, so the width has to start high enough. Settings already larger stay.
     """
-    before = spark.conf.get(_SHUFFLE_PARTITIONS)
-    spark.conf.set(
-        _SHUFFLE_PARTITIONS, max(int(before), shuffle_partitions_for(num_bytes))
-    )
+    needed = {
+        _SHUFFLE_PARTITIONS: shuffle_partitions_for(num_bytes),
+        _SCAN_BYTES: scan_bytes_for(num_bytes),
+    }
+    before = {key: spark.conf.get(key) for key in needed}
+    for key, value in needed.items():
+        if value > _number(before[key]):
+            spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_SHUFFLE_PARTITIONS, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+_UNITS = {"b": 0, "k": 10, "m": 20, "g": 30, "t": 40}
+
+
+def _number(setting: str) -> int:
+    """A count, or a size such as 134217728b or 128MB."""
+    text = setting.strip().lower()
+    digits = text.rstrip("bkmgt")
+    unit = text[len(digits):][:1] or "b"
+    return int(digits) << _UNITS[unit]
 
 
 def local_session(cores: str = "8", app_name: str = "tallyhouse", **extra: str) -> SparkSession:

@@ -6,26 +6,12 @@ from collections.abc import Mapping
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.constants import SHEET
 from tallyhouse.schemas import RAW
-
-
-def _require(spark: SparkSession, path: str) -> None:
-    """Raise FileNotFoundError unless ``path`` holds at least one file."""
-    try:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        )
-        if not files.select("path").isEmpty():
-            return
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    raise FileNotFoundError(f"no data at {path}")
+from tallyhouse.sources.errors import missing_as_file_error
 
 
 def discover_sheets(spark: SparkSession, root: str) -> dict[str, str]:
@@ -34,16 +20,11 @@ def discover_sheets(spark: SparkSession, root: str) -> dict[str, str]:
     The listing runs as a Spark job on any file system Spark can read. A file
     is named by its stem, a folder by its name.
     """
-    _require(spark, root)
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    )
+    with missing_as_file_error(root):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     marker = root.rstrip("/").split("/")[-1]
     below = F.substring_index("path", f"/{marker}/", -1)
-    prefix = F.substring_index("path", f"/{marker}/", 1)
-    entries = files.select(
-        F.substring_index(below, "/", 1).alias("entry"), prefix.alias("parent")
-    ).distinct()
+    entries = files.select(F.substring_index(below, "/", 1).alias("entry")).distinct()
     # One row per sheet of the source.
     sheets = {}
     for row in entries.collect():
@@ -85,7 +66,8 @@ def scan_sheet(
     """
     if file_format == "csv":
         options = {"header": "true", "quote": '"', "escape": '"', **options}
-    sheet = spark.read.format(file_format).options(**options).load(path)
+    with missing_as_file_error(path):
+        sheet = spark.read.format(file_format).options(**options).load(path)
     return _as_raw(sheet, timestamp_format).withColumn(SHEET, F.lit(name))
 
 
@@ -100,8 +82,6 @@ def scan_sheets(
     sheet lacks is null there."""
     if not sheets:
         raise FileNotFoundError("no sheets to read")
-    for path in sheets.values():
-        _require(spark, path)
     scans = [
         scan_sheet(spark, path, name, file_format, timestamp_format, **options)
         for name, path in sheets.items()
@@ -129,5 +109,5 @@ def scan_workbook(
 def scan_landing(spark: SparkSession, root: str) -> DataFrame:
     """Lines that :func:`tallyhouse.sinks.tables.write_landing` stored, as one
     scan whatever the number of sheets; the sheet is the partition column."""
-    _require(spark, root)
-    return spark.read.schema(RAW).parquet(root)
+    with missing_as_file_error(root):
+        return spark.read.schema(RAW).parquet(root)

@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.schemas import CLEAN, LINE_POSITION, WAREHOUSE
+from tallyhouse.sources.errors import missing_as_file_error
 
 _WITH_POSITION = T.StructType([*CLEAN.fields, T.StructField(LINE_POSITION, T.LongType())])
 
 
 def _read(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    try:
+    with missing_as_file_error(path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no table at {path}") from error
-        raise
 
 
 def read_clean(spark: SparkSession, path: str, with_position: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tallyhouse.schemas import RAW
-from tallyhouse.session import shuffle_partitions_for, sized_shuffles, source_bytes
+from tallyhouse.session import shuffle_partitions_for, sized_for, source_bytes
 from tallyhouse.sinks.tables import write_landing
 from tallyhouse.sources.sheets import discover_sheets, scan_landing, scan_sheets, scan_workbook
 from tallyhouse.sources.tables import read_clean, read_table
@@ -88,9 +88,12 @@ def test_no_sheets(spark):
 def test_shuffles_grow_with_the_input(spark, workbook):
     assert 0 < source_bytes(spark, workbook) < 10_000
     assert shuffle_partitions_for(0) == 1
-    assert shuffle_partitions_for(10 << 40) == 10_240
+    assert shuffle_partitions_for(10 << 40) == 20_480
     assert shuffle_partitions_for(100 << 40) == 65_536
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    with sized_shuffles(spark, 10 << 40):
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "10240"
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(key) for key in keys]
+    with sized_for(spark, 10 << 40):
+        assert [spark.conf.get(key) for key in keys] == ["20480", str(160 << 20)]
+    with sized_for(spark, 1):
+        assert [spark.conf.get(key) for key in keys] == before
+    assert [spark.conf.get(key) for key in keys] == before
