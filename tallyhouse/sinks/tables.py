@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.constants import SHEET
-from tallyhouse.functions import calendar as cal
-from tallyhouse.functions.numbers import to_timestamp
 from tallyhouse.operators.cleaning import deduplicate, derive, standardise
 from tallyhouse.operators.dimensions import (
     country_members,
@@ -24,10 +22,9 @@ from tallyhouse.session import scratch_path
 from tallyhouse.sources.tables import read_clean, read_table, warehouse_lines
 
 
-# By date, then invoice; the rest makes the order total. The month leads because
-# the writer wants each task's rows grouped by folder.
+# By date, then invoice; the rest makes the order total.
 ROW_ORDER = (
-    "month", "InvoiceDate", "Invoice", "Country", "StockCode", "Description",
+    "InvoiceDate", "Invoice", "Country", "StockCode", "Description",
     "Quantity", "Price", "Customer ID", SHEET,
 )
 
@@ -38,25 +35,24 @@ def write_landing(raw: DataFrame, path: str) -> None:
 
 
 def write_clean(raw: DataFrame, path: str) -> None:
-    """Clean ``raw`` into a table in row order, one folder per month.
+    """Clean ``raw`` into a table in row order.
 
     Two shuffles of the raw columns: one removes the copies, one puts the rows
     into order. Everything else is computed after the second, on the way into
     the file. No two rows are equal by then, so the order has no ties and no
-    date, country or product can fill a partition by itself. In the stored
-    order the lines of an invoice lie together, which lets later counts per
-    invoice finish inside the scanning task.
+    date, country or product can fill a partition by itself.
+
+    The stored order does the work of folders and indexes. A file spans a
+    short time, so a filter on a date or month skips whole files by their
+    statistics; and the lines of an invoice lie together, so counts per invoice
+    mostly finish inside the scanning task.
     """
-    rows = deduplicate(raw).withColumn(
-        "month", cal.year_month(to_timestamp(F.col("InvoiceDate")))
-    )
-    placed = sort_with_place(rows, [F.col(f"`{name}`") for name in ROW_ORDER], LINE_POSITION)
+    order = [F.col(f"`{name}`") for name in ROW_ORDER]
+    placed = sort_with_place(deduplicate(raw), order, LINE_POSITION)
     (
         derive(standardise(placed))
-        .withColumn("year_month", F.col("month"))
         .select(*CLEAN.names, LINE_POSITION)
         .write.mode("overwrite")
-        .partitionBy("year_month")
         .parquet(path)
     )
 
