@@ -23,7 +23,12 @@ def main() -> None:
     parser.add_argument("--timestamp-format", help="pattern of InvoiceDate in text sheets")
     options = parser.parse_args()
 
-    spark = SparkSession.builder.appName(f"tallyhouse {options.job}").getOrCreate()
+    # Invoice times are wall-clock times; UTC has no hour that is skipped.
+    spark = (
+        SparkSession.builder.appName(f"tallyhouse {options.job}")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
     if options.job == "clean":
         if not options.sheets:
             parser.error("clean needs --sheets")

@@ -1,79 +1,100 @@
 """Row numbers and exact order statistics without a one-task sort.
 
-Rows are range-partitioned and sorted, and written once together with their
-place: the block (output partition) and the position inside it. Blocks follow
-each other in sort order, so a running sum over the rows per block, one entry
-per partition, turns the place into a number. Everything after the write reads
-the stored places, so tasks that run again cannot shift them.
+Rows are range-partitioned and sorted, and written once together with where
+they stand: the block (output partition) and the place inside it. Blocks
+follow each other in sort order, so a running sum over the rows per block, one
+entry per partition, turns block and place into a number. Everything after the
+write reads the stored columns, so tasks that run again cannot shift them. The
+block is one value per file, which costs next to nothing to store and count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 # monotonically_increasing_id() keeps the partition above bit 33.
 _PLACE_BITS = 33
-_PLACE_MASK = (1 << _PLACE_BITS) - 1
 
 
-def sort_with_place(frame: DataFrame, order: Sequence[Column], place: str) -> DataFrame:
-    """Globally sorted rows with their place; write the result before using it.
+def place_columns(prefix: str) -> tuple[str, str]:
+    return f"{prefix}_block", f"{prefix}_place"
+
+
+def sort_with_place(frame: DataFrame, order: Sequence[Column], prefix: str) -> DataFrame:
+    """Globally sorted rows with block and place; write them before use.
 
     ``order`` should tell apart all rows that differ, so that no single value
     holds up one partition.
     """
+    block, place = place_columns(prefix)
+    position = F.col("row_position")
     return (
         frame.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn(place, F.monotonically_increasing_id())
+        .withColumn("row_position", F.monotonically_increasing_id())
+        .withColumns({
+            block: F.shiftright(position, _PLACE_BITS).cast("int"),
+            place: position.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)),
+        })
+        .drop("row_position")
     )
 
 
-def _block(place: str) -> Column:
-    return F.shiftright(F.col(place), _PLACE_BITS)
-
+def _block_sizes(stored: DataFrame, prefix: str) -> DataFrame:
+    """Rows per block; at most one entry per partition of the write."""
+    block, _ = place_columns(prefix)
+    return stored.groupBy(block).agg(F.count(F.lit(1)).alias("block_rows"))
 
-def block_sizes(stored: DataFrame, place: str) -> DataFrame:
-    """Rows per block; at most one row per partition of the write."""
-    return stored.groupBy(_block(place).alias("block")).agg(F.count(F.lit(1)).alias("block_rows"))
 
-
-def number_rows(stored: DataFrame, place: str, name: str) -> DataFrame:
-    """Replace the stored place by the row number 1..n."""
-    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = block_sizes(stored, place).select(
-        "block", F.coalesce(F.sum("block_rows").over(earlier), F.lit(0)).alias("block_start")
+def number_rows(stored: DataFrame, prefix: str, name: str) -> DataFrame:
+    """Replace block and place by the row number 1..n."""
+    block, place = place_columns(prefix)
+    earlier = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = _block_sizes(stored, prefix).select(
+        block, F.coalesce(F.sum("block_rows").over(earlier), F.lit(0)).alias("block_start")
     )
     return (
-        stored.withColumn("block", _block(place))
         # Bounded: one row of two numbers per partition of the earlier write.
-        .join(F.broadcast(starts), "block")
-        .withColumn(
-            name, F.col("block_start") + F.col(place).bitwiseAND(F.lit(_PLACE_MASK)) + F.lit(1)
-        )
-        .drop("block", "block_start", place)
+        stored.join(F.broadcast(starts), block)
+        .withColumn(name, F.col("block_start") + F.col(place) + F.lit(1))
+        .drop(block, place, "block_start")
     )
 
 
-def rows_at(stored: DataFrame, place: str, numbers: Iterable[int]) -> tuple[int, dict[int, Row]]:
-    """Number of stored rows, and the rows with the asked-for row numbers."""
-    sizes = sorted(block_sizes(stored, place).collect(), key=lambda row: row.block)
-    total, places = 0, {}
-    wanted = set(numbers)
-    for size in sizes:
-        for number in list(wanted):
-            if total < number <= total + size.block_rows:
-                places[number] = (size.block << _PLACE_BITS) + (number - total - 1)
-                wanted.discard(number)
-        total += size.block_rows
-    found = {
-        row[place]: row
-        for row in stored.filter(F.col(place).isin(list(places.values()))).collect()
-    } if places else {}
-    return total, {number: found[at] for number, at in places.items()}
+def block_starts(stored: DataFrame, prefix: str) -> tuple[int, list[tuple[int, int, int]]]:
+    """Number of rows, and (block, rows before it, rows in it) in order."""
+    total, starts = 0, []
+    for block, size in sorted(map(tuple, _block_sizes(stored, prefix).collect())):
+        starts.append((block, total, size))
+        total += size
+    return total, starts
+
+
+def rows_at(
+    stored: DataFrame,
+    prefix: str,
+    starts: Sequence[tuple[int, int, int]],
+    numbers: Iterable[int],
+) -> dict[int, Row]:
+    """The rows with the given row numbers, a handful, found by block and place."""
+    block, place = place_columns(prefix)
+    where = {
+        (at, number - before - 1): number
+        for number in set(numbers)
+        for at, before, size in starts
+        if before < number <= before + size
+    }
+    if not where:
+        return {}
+    wanted = reduce(
+        Column.__or__,
+        [(F.col(block) == F.lit(at)) & (F.col(place) == F.lit(inside)) for at, inside in where],
+    )
+    return {where[row[block], row[place]]: row for row in stored.filter(wanted).collect()}
 
 
 def write_numbered(
@@ -84,6 +105,5 @@ def write_numbered(
     scratch: str,
 ) -> DataFrame:
     """Number ``frame`` 1..n in ``order`` by way of a table at ``scratch``."""
-    place = f"{name}_place"
-    sort_with_place(frame, order, place).write.mode("overwrite").parquet(scratch)
-    return number_rows(spark.read.parquet(scratch), place, name)
+    sort_with_place(frame, order, name).write.mode("overwrite").parquet(scratch)
+    return number_rows(spark.read.parquet(scratch), name, name)

@@ -51,6 +51,11 @@ def build_warehouse(spark: SparkSession, output: str) -> Star:
     read_clean(spark, clean_path)
     with sized_for(spark, source_bytes(spark, clean_path)):
         write_warehouse(spark, clean_path, f"{output}/warehouse")
+    return attach_warehouse(spark, output)
+
+
+def attach_warehouse(spark: SparkSession, output: str) -> Star:
+    """The written warehouse, its tables and views named for ``spark.sql``."""
     star = open_star(spark, f"{output}/warehouse")
     register_views(star)
     return star

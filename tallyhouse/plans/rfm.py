@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import constants as K
 from tallyhouse.functions import calendar as cal
 from tallyhouse.functions.numbers import half_even
-from tallyhouse.operators.ordering import rows_at, sort_with_place
+from tallyhouse.operators.ordering import block_starts, rows_at, sort_with_place
 from tallyhouse.plans.views import Star, customer_performance
 from tallyhouse.session import scratch_path
 
@@ -70,17 +70,18 @@ def _cut_rows(
         ])).alias("pair")
     ).select("pair.*")
     path = scratch_path(spark, "rfm-order")
-    sort_with_place(pairs, [F.col("measure"), F.col("amount"), F.col("customer_id")], "place") \
-        .write.mode("overwrite").parquet(path)
+    order = [F.col("measure"), F.col("amount"), F.col("customer_id")]
+    sort_with_place(pairs, order, "pair").write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
-    customers = stored.count() // len(_MEASURES)
+    total, starts = block_starts(stored, "pair")
+    customers = total // len(_MEASURES)
     if customers == 0:
         return {name: [] for name in _MEASURES}
     wanted = {
         name: [position * customers + number for number in last_of_bin(customers)]
         for position, name in enumerate(_MEASURES)
     }
-    _, found = rows_at(stored, "place", {n for numbers in wanted.values() for n in numbers})
+    found = rows_at(stored, "pair", starts, {n for numbers in wanted.values() for n in numbers})
     return {name: [found[n] for n in numbers] for name, numbers in wanted.items()}
 
 

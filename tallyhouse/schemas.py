@@ -5,9 +5,13 @@ from pyspark.sql import types as T
 PRICE = T.DecimalType(18, 4)
 MONEY = T.DecimalType(18, 2)
 
-# Written next to the clean columns: where the row stands in the table's row
-# order (block number in the high bits, place inside the block in the low ones).
-LINE_POSITION = "line_position"
+# Written next to the clean columns: where a line stands in the table's row
+# order, as line_block and line_place (see operators/ordering.py).
+LINE = "line"
+LINE_POSITION = T.StructType([
+    T.StructField("line_block", T.IntegerType()),
+    T.StructField("line_place", T.LongType()),
+])
 
 RAW = T.StructType([
     T.StructField("Invoice", T.StringType()),

@@ -17,7 +17,7 @@ from tallyhouse.operators.dimensions import (
 )
 from tallyhouse.operators.fact import fact_transactions
 from tallyhouse.operators.ordering import number_rows, sort_with_place, write_numbered
-from tallyhouse.schemas import CLEAN, DIM_COUNTRY, DIM_CUSTOMER, DIM_PRODUCT, LINE_POSITION
+from tallyhouse.schemas import CLEAN, DIM_COUNTRY, DIM_CUSTOMER, DIM_PRODUCT, LINE, LINE_POSITION
 from tallyhouse.session import scratch_path
 from tallyhouse.sources.tables import read_clean, read_table, warehouse_lines
 
@@ -48,10 +48,10 @@ def write_clean(raw: DataFrame, path: str) -> None:
     mostly finish inside the scanning task.
     """
     order = [F.col(f"`{name}`") for name in ROW_ORDER]
-    placed = sort_with_place(deduplicate(raw), order, LINE_POSITION)
+    placed = sort_with_place(deduplicate(raw), order, LINE)
     (
         derive(standardise(placed))
-        .select(*CLEAN.names, LINE_POSITION)
+        .select(*CLEAN.names, *LINE_POSITION.names)
         .write.mode("overwrite")
         .parquet(path)
     )
@@ -88,7 +88,7 @@ def write_fact(spark: SparkSession, lines: DataFrame, location: str) -> None:
     The dimensions are read back, so the planner knows their true size when it
     chooses between broadcast and shuffle.
     """
-    numbered = number_rows(lines, LINE_POSITION, "transaction_key")
+    numbered = number_rows(lines, LINE, "transaction_key")
     fact_transactions(
         numbered,
         read_table(spark, location, "dim_customer"),

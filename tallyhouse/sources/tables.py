@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tallyhouse.schemas import CLEAN, LINE_POSITION, WAREHOUSE
 from tallyhouse.sources.errors import missing_as_file_error
 
-_WITH_POSITION = T.StructType([*CLEAN.fields, T.StructField(LINE_POSITION, T.LongType())])
+_WITH_POSITION = T.StructType([*CLEAN.fields, *LINE_POSITION.fields])
 
 
 def _read(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:

@@ -103,6 +103,15 @@ def test_clean_csv_round_trip(spark, output, tmp_path):
     assert back.exceptAll(clean).count() == 0 and clean.exceptAll(back).count() == 0
 
 
+def test_warehouse_answers_sql_in_a_later_session(spark, output):
+    jobs.attach_warehouse(spark.newSession(), output)
+    session = spark.newSession()
+    jobs.attach_warehouse(session, output)
+    share = session.sql("SELECT sum(revenue) AS r FROM vw_country_performance WHERE country <> 'United Kingdom'")
+    assert 0 < share.first().r < float(metrics(f"{output}/reports/executive_kpis")["Gross Sales Revenue"])
+    assert session.sql("SELECT * FROM vw_monthly_sales ORDER BY 1").count() == 80
+
+
 def test_jobs_need_their_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         jobs.build_warehouse(spark, str(tmp_path))

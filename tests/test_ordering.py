@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.ordering import rows_at, sort_with_place, write_numbered
+from tallyhouse.operators.ordering import block_starts, rows_at, sort_with_place, write_numbered
 from tallyhouse.plans.rfm import last_of_bin
 
 
@@ -36,25 +36,28 @@ def test_numbers_equal_a_plain_sort(spark, shuffled, many_blocks, tmp_path):
 def test_a_hot_value_is_split(spark, shuffled, many_blocks, tmp_path):
     _, frame = shuffled
     path = str(tmp_path / "t")
-    sort_with_place(frame, [F.col("v"), F.col("id")], "place").write.parquet(path)
+    sort_with_place(frame, [F.col("v"), F.col("id")], "row").write.parquet(path)
     stored = spark.read.parquet(path)
-    sizes = [r[0] for r in stored.groupBy(F.shiftright("place", 33)).count().select("count").collect()]
+    sizes = [size for _, _, size in block_starts(stored, "row")[1]]
     assert len(sizes) == 4 and max(sizes) < 3000 / 2
 
 
 def test_rows_at(spark, shuffled, many_blocks, tmp_path):
     values, frame = shuffled
     path = str(tmp_path / "t")
-    sort_with_place(frame, [F.col("id")], "place").write.parquet(path)
-    total, rows = rows_at(spark.read.parquet(path), "place", [1, 777, 3000])
-    assert total == 3000
+    sort_with_place(frame, [F.col("id")], "row").write.parquet(path)
+    stored = spark.read.parquet(path)
+    total, starts = block_starts(stored, "row")
+    rows = rows_at(stored, "row", starts, [1, 777, 3000, 3001])
+    assert total == 3000 and len(starts) == 4
     assert {n: r.id for n, r in rows.items()} == {1: "id00000", 777: "id00776", 3000: "id02999"}
 
 
 def test_empty_table(spark, tmp_path):
     frame = spark.createDataFrame([], "id string")
     assert write_numbered(spark, frame, [F.col("id")], "n", str(tmp_path / "t")).count() == 0
-    assert rows_at(spark.read.parquet(str(tmp_path / "t")).withColumnRenamed("n_place", "p"), "p", [1]) == (0, {})
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert block_starts(stored, "n") == (0, []) and rows_at(stored, "n", [], [1]) == {}
 
 
 def bins(n):
