@@ -18,7 +18,7 @@ from tallyhouse.operators import cleaning, quality
 from tallyhouse.plans import business, rfm, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.views import Star, open_star
-from tallyhouse.session import scratch_path, sized_for, source_bytes
+from tallyhouse.session import scratch_path, source_bytes, widen
 from tallyhouse.sinks.tables import write_clean, write_landing, write_warehouse
 from tallyhouse.sources.sample_lines import retail_lines
 from tallyhouse.sources.sheets import scan_landing
@@ -26,30 +26,28 @@ from tallyhouse.sources.tables import read_clean
 
 
 class Workspace:
-    """Tables derived from one folder in one session, each written on first use."""
+    """Tables derived from one folder in one session, each written on first use.
+
+    The queries on them run after they are handed out, so the session keeps
+    the width that the size of the folder asks for.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
         self.root = scratch_path(spark, "workspace")
-
-    @cached_property
-    def num_bytes(self) -> int:
-        return source_bytes(self.spark, self.folder)
+        widen(spark, source_bytes(spark, folder))
 
     @cached_property
     def raw(self) -> DataFrame:
         path = f"{self.root}/landing"
-        with sized_for(self.spark, self.num_bytes):
-            write_landing(retail_lines(self.spark, self.folder), path)
+        write_landing(retail_lines(self.spark, self.folder), path)
         return scan_landing(self.spark, path)
 
     @cached_property
     def clean_path(self) -> str:
         path = f"{self.root}/clean_transactions"
-        raw = self.raw
-        with sized_for(self.spark, self.num_bytes):
-            write_clean(raw, path)
+        write_clean(self.raw, path)
         return path
 
     @property
@@ -59,17 +57,13 @@ class Workspace:
     @cached_property
     def star(self) -> Star:
         location = f"{self.root}/warehouse"
-        clean_path = self.clean_path
-        with sized_for(self.spark, self.num_bytes):
-            write_warehouse(self.spark, clean_path, location)
+        write_warehouse(self.spark, self.clean_path, location)
         return open_star(self.spark, location)
 
     @cached_property
     def rfm(self) -> DataFrame:
         path = f"{self.root}/rfm_customers"
-        star = self.star
-        with sized_for(self.spark, self.num_bytes):
-            rfm.rfm_customers(self.spark, star).write.mode("overwrite").parquet(path)
+        rfm.rfm_customers(self.spark, self.star).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     @property

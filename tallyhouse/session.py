@@ -69,12 +69,12 @@ def scan_bytes_for(num_bytes: int) -> int:
     return math.ceil(num_bytes / MAX_PARTITIONS)
 
 
-@contextmanager
-def sized_for(spark: SparkSession, num_bytes: int) -> Iterator[None]:
-    """Widen shuffles and scan splits for a large input while a job runs.
+def widen(spark: SparkSession, num_bytes: int) -> dict[str, str]:
+    """Widen shuffles and scan splits for an input of this size.
 
     Adaptive execution merges partitions that turn out small but never adds
     any, so the width has to start high enough. Settings already larger stay.
+    Returns the settings as they were.
     """
     needed = {
         _SHUFFLE_PARTITIONS: shuffle_partitions_for(num_bytes),
@@ -84,6 +84,13 @@ def sized_for(spark: SparkSession, num_bytes: int) -> Iterator[None]:
     for key, value in needed.items():
         if value > _number(before[key]):
             spark.conf.set(key, value)
+    return before
+
+
+@contextmanager
+def sized_for(spark: SparkSession, num_bytes: int) -> Iterator[None]:
+    """:func:`widen` while a job runs."""
+    before = widen(spark, num_bytes)
     try:
         yield
     finally:
