@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import byte_bpe, guess_cost, line_rules, packing, pii_patterns, quality_classifier
+from tallyhouse.llm import (
+    byte_bpe,
+    cross_polytope,
+    guess_cost,
+    line_rules,
+    packing,
+    partenum,
+    pii_patterns,
+    quality_classifier,
+    quotations,
+    warc,
+)
+from tallyhouse.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +69,15 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(spark, _table(spark, folder, "documents"), path)
 
 
+def op5_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return cross_polytope.nearest(spark, vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op6_quotations(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.in_reply_order(quotations.link_quotations(spark, _table(spark, folder, "conversations")))
+
+
 def op7_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
     return line_rules.apply_rules(spark, docs).select(
@@ -66,6 +89,19 @@ def op8_pii_patterns(spark: SparkSession, folder: str) -> DataFrame:
     return _with_counts(pii_patterns.find_pii(spark, _table(spark, folder, "documents")), pii_patterns.KINDS)
 
 
+def op9_partenum(spark: SparkSession, folder: str) -> DataFrame:
+    like = partenum.Likeness(words=4, percent=85)
+    return partenum.jaccard_components(spark, _table(spark, folder, "documents"), like)
+
+
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.round_trip(spark, _table(spark, folder, "pages"))
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"),
+        F.col("refers").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -73,9 +109,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_byte_bpe,
         op3_guess_cost,
         op4_packing,
+        op5_cross_polytope,
+        op6_quotations,
         op7_line_frequency,
         op8_pii_patterns,
+        op9_partenum,
+        op10_warc,
     )
 }
-
-ORACLES: dict[str, str] = {}
