@@ -17,8 +17,8 @@ execution splits.
 
 Null texts have no lines and no words, and are rejected; a null host is a host
 of its own; repeated rows and null ids each keep their row; an empty table gives
-an empty result; further columns pass through ``apply_rules`` unchanged, and
-the working columns' names are refused if the input has them already.
+an empty result; further columns pass through ``apply_rules`` unchanged, except
+that a measure takes the place of an input column of its name.
 """
 
 from __future__ import annotations
@@ -34,6 +34,11 @@ _SPACE = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
 _WORD = r"([^\x20\x09-\x0D]+)"
 _ROW = "__row"
+#: What ``apply_rules`` adds.
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "removed_lines",
+    "base_failed", "kept",
+)
 
 
 @dataclass(frozen=True)
@@ -96,10 +101,15 @@ def _repeated_words(words: Column) -> Column:
 
 
 def _measured(docs: DataFrame, text_column: str, host_column: str) -> DataFrame:
-    text = F.coalesce(text_column, F.lit(""))
+    """The rows as ``__doc``, their measures, and the hashes and sizes of their lines."""
+    text = F.col("__text")
     spaceless = F.translate(text, _SPACE, "")
     return (
-        docs.withColumn("__text", text)
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
+            F.coalesce(text_column, F.lit("")).alias("__text"),
+            F.col(host_column).alias("__host"),
+        )
         .withColumn("__words", F.regexp_extract_all("__text", F.lit(_WORD), 1))
         .withColumn("__lines", _lines(F.col("__text")))
         .withColumn("n_words", F.size("__words").cast("long"))
@@ -107,7 +117,6 @@ def _measured(docs: DataFrame, text_column: str, host_column: str) -> DataFrame:
         .withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("long"))
         .withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
         .withColumn("n_repeat_words", _repeated_words(F.col("__words")).cast("long"))
-        .withColumn("__host", F.col(host_column))
         .withColumn("__normal", F.transform("__lines", _normal))
         .withColumn("__hashes", F.transform("__normal", lambda line: F.xxhash64(line)))
         .withColumn(
@@ -143,11 +152,7 @@ def apply_rules(
     text_column: str = "text",
     host_column: str = "source",
 ) -> DataFrame:
-    """``docs`` with the measures, ``n_removed_words``, ``removed_lines`` (hashes), ``base_failed`` and ``kept``."""
-    added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words",
-             "removed_lines", "base_failed", "kept"}
-    if clash := added & set(docs.columns) | {c for c in docs.columns if c.startswith("__")}:
-        raise ValueError(f"columns {sorted(clash)} have names that the rules use")
+    """``docs`` and the columns ``MEASURES``; ``removed_lines`` holds hashes, null where no line goes."""
     measured = land(spark, _measured(docs, text_column, host_column), "line-rules")
     frequent = frequent_lines(measured, limits)
     lines = measured.select(_ROW, "__host", F.explode(F.arrays_zip("__hashes", "__sizes")).alias("line")).select(
@@ -164,13 +169,14 @@ def apply_rules(
     too_short = F.col("n_words") < limits.min_words
     repetitive = F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeated
     left = F.col("n_words") - F.col("n_removed_words")
+    own = [F.col(f"__doc.`{c}`").alias(c) for c in docs.columns if c not in MEASURES]
     return (
         measured.drop("__hashes", "__sizes", "__host")
         .join(removed, _ROW, "left")
         .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
         .withColumn("base_failed", too_short | repetitive)
         .withColumn("kept", ~F.col("base_failed") & (left * 100 >= F.col("n_words") * limits.min_left))
-        .drop(_ROW)
+        .select(*own, *MEASURES)
     )
 
 

@@ -322,7 +322,19 @@ def keep_one(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows without an id stay."""
+    """``docs`` without the rows whose id is not the smallest of its component.
+
+    Rows without an id stay. An id that occurs more than once is one document:
+    of its rows the one with the smallest text stays.
+    """
     found = jaccard_components(spark, docs, like, id_column=id_column, text_column=text_column)
     drop = found.where(F.col("component_id") != F.col(id_column)).select(id_column).distinct()
-    return docs.join(drop, id_column, "left_anti")
+    rest = docs.join(drop, id_column, "left_anti").select(*docs.columns)
+    again = docs.where(F.col(id_column).isNotNull()).groupBy(id_column).agg(F.count(F.lit(1)).alias("rows"))
+    again = land(spark, again.where("rows > 1").select(id_column), "repeated-ids")
+    if again.isEmpty():
+        return rest
+    same = rest.join(again, id_column, "left_semi")
+    place = F.row_number().over(Window.partitionBy(id_column).orderBy(text_column))
+    one = same.select("*", place.alias("__place")).where("__place = 1").drop("__place")
+    return rest.join(again, id_column, "left_anti").select(*docs.columns).unionByName(one)
