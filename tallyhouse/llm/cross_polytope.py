@@ -45,7 +45,7 @@ class Search:
 
     neighbours: int = 20
     tables: int = 8
-    probes: int = 8
+    probes: int = 16
     #: Rows of a block of candidates, and of queries.
     block: int = 512
 
