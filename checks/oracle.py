@@ -17,24 +17,34 @@ joined AS (
 ),
 retail AS (
   SELECT
-    CASE WHEN l_orderkey % 13 = 0 THEN 'C' ELSE '' END
-      || CAST(500000 + l_orderkey AS VARCHAR) AS "Invoice",
-    ' ' || CAST(10000 + l_partkey AS VARCHAR) AS "StockCode",
+    CASE WHEN l_orderkey % 65 = 0 AND l_linenumber = 3 THEN NULL
+         ELSE CASE WHEN l_orderkey % 13 = 0 THEN 'C' ELSE '' END || CAST(500000 + l_orderkey AS VARCHAR) END AS "Invoice",
+    CASE WHEN l_orderkey % 347 = 0 AND l_linenumber = 2 THEN NULL
+         WHEN l_orderkey % 349 = 0 AND l_linenumber = 2 THEN ''
+         ELSE ' ' || CAST(10000 + l_partkey AS VARCHAR) END AS "StockCode",
     CASE WHEN l_linenumber = 7 AND l_partkey % 5 = 0 THEN NULL
+         WHEN l_orderkey % 367 = 0 AND l_linenumber = 1 THEN ''
+         WHEN l_orderkey % 359 = 0 AND l_linenumber = 4 THEN chr(9) || p_name || chr(160) || chr(160) || 'x' || chr(9)
          WHEN l_partkey % 250 = 0 THEN 'Postage'
          WHEN l_partkey % 250 = 1 THEN ' Manual '
          WHEN l_linenumber = 6 THEN upper(p_name)
          ELSE ' ' || replace(p_name, ' ', '  ') || ' ' END AS "Description",
-    CAST(CASE WHEN l_orderkey % 13 = 0 THEN -l_quantity
+    CAST(CASE WHEN l_orderkey % 311 = 0 AND l_linenumber = 2 THEN NULL
+         WHEN l_orderkey % 13 = 0 THEN -l_quantity
          WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 1 THEN -l_quantity
          WHEN l_orderkey % 211 = 0 AND l_linenumber = 2 THEN 0
          ELSE l_quantity END AS INTEGER) AS "Quantity",
-    o_orderdate + to_hours(CAST(8 + l_orderkey % 12 AS INTEGER)) AS "InvoiceDate",
-    CAST(CASE WHEN l_orderkey % 997 = 0 AND l_linenumber = 3 THEN -l_extendedprice
+    CASE WHEN l_orderkey % 307 = 0 AND l_linenumber = 1 THEN NULL
+         ELSE o_orderdate + to_hours(CAST(8 + l_orderkey % 12 AS INTEGER)) END AS "InvoiceDate",
+    CAST(CASE WHEN l_orderkey % 313 = 0 AND l_linenumber = 3 THEN NULL
+         WHEN l_orderkey % 997 = 0 AND l_linenumber = 3 THEN -l_extendedprice
          WHEN l_discount = 0 AND l_tax = 0 THEN 0
          ELSE l_extendedprice END AS DECIMAL(18, 2)) AS "Price",
     CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS "Customer ID",
-    CASE WHEN l_orderkey % 101 = 0 THEN 'NATION_24'
+    CASE WHEN l_orderkey % 317 = 0 AND l_linenumber = 1 THEN NULL
+         WHEN l_orderkey % 331 = 0 AND l_linenumber = 1 THEN ''
+         WHEN l_orderkey % 337 = 0 AND l_linenumber = 2 THEN chr(160) || n_name || chr(9)
+         WHEN l_orderkey % 101 = 0 THEN 'NATION_24'
          WHEN n_regionkey = 0 THEN 'United Kingdom'
          ELSE n_name END AS "Country",
     'Year ' || CAST(year(o_orderdate) AS VARCHAR) AS source_sheet,
@@ -47,18 +57,30 @@ raw AS (
   SELECT * EXCLUDE (l_orderkey) FROM retail WHERE l_orderkey % 83 = 0
 )"""
 
-_CLEAN = """
+# Python's white space, as far as it occurs here.
+_SPACE = "' ' || chr(9) || chr(10) || chr(160)"
+
+
+def _strip(name: str) -> str:
+    return f"trim({name}, {_SPACE})"
+
+
+def _tidy(name: str) -> str:
+    return f"regexp_replace({_strip(name)}, '[\\s\\x{{A0}}]+', ' ', 'g')"
+
+
+_CLEAN = f"""
 base AS (
   SELECT
-    trim("Invoice") AS invoice_id,
-    trim("StockCode") AS stock_code,
-    regexp_replace(trim("Description"), ' +', ' ', 'g') AS description,
+    {_strip('"Invoice"')} AS invoice_id,
+    {_strip('"StockCode"')} AS stock_code,
+    {_tidy('"Description"')} AS description,
     "Quantity" AS quantity,
     "InvoiceDate" AS invoice_date,
     "Price" AS unit_price,
     CAST(CAST("Customer ID" AS BIGINT) AS VARCHAR) AS customer_id,
-    regexp_replace(trim("Country"), ' +', ' ', 'g') AS country,
-    trim(source_sheet) AS source_sheet,
+    {_tidy('"Country"')} AS country,
+    {_strip("source_sheet")} AS source_sheet,
     row_number() OVER (ORDER BY
       "InvoiceDate" NULLS FIRST, "Invoice" NULLS FIRST, "Country" NULLS FIRST,
       "StockCode" NULLS FIRST, "Description" NULLS FIRST, "Quantity" NULLS FIRST,
@@ -73,7 +95,7 @@ flagged AS (
     coalesce(unit_price = 0, false) AS is_zero_price,
     coalesce(unit_price < 0, false) AS is_invalid_price,
     customer_id IS NOT NULL AS has_customer_id,
-    coalesce(quantity > 0 AND unit_price > 0 AND upper(invoice_id) NOT LIKE 'C%'
+    coalesce(quantity > 0 AND unit_price > 0 AND NOT coalesce(upper(invoice_id) LIKE 'C%', false)
              AND invoice_date IS NOT NULL, false) AS is_valid_sale,
     CAST(quantity * unit_price AS DECIMAL(18, 2)) AS net_line_value
   FROM base
@@ -106,11 +128,16 @@ clean AS (
 )"""
 
 _DIMS = """
+lines AS (
+  SELECT * REPLACE (nullif(invoice_id, '') AS invoice_id, nullif(stock_code, '') AS stock_code,
+                    nullif(description, '') AS description, nullif(country, '') AS country)
+  FROM clean
+),
 first_lines AS (
   SELECT customer_id, country,
     row_number() OVER (PARTITION BY customer_id ORDER BY
       invoice_date NULLS FIRST, invoice_id NULLS FIRST, country NULLS FIRST) AS nth
-  FROM clean WHERE customer_id IS NOT NULL
+  FROM lines WHERE customer_id IS NOT NULL
 ),
 dim_customer AS (
   SELECT row_number() OVER (ORDER BY customer_id) AS customer_key, customer_id, country
@@ -119,22 +146,22 @@ dim_customer AS (
 uses AS (
   SELECT stock_code, description,
     row_number() OVER (PARTITION BY stock_code ORDER BY count(*) DESC, description) AS nth
-  FROM clean WHERE stock_code IS NOT NULL AND description IS NOT NULL
+  FROM lines WHERE stock_code IS NOT NULL AND description IS NOT NULL
   GROUP BY stock_code, description
 ),
 dim_product AS (
   SELECT row_number() OVER (ORDER BY c.stock_code NULLS LAST) AS product_key,
     c.stock_code, coalesce(u.description, 'UNKNOWN PRODUCT') AS description
-  FROM (SELECT DISTINCT stock_code FROM clean) c
+  FROM (SELECT DISTINCT stock_code FROM lines) c
   LEFT JOIN uses u ON u.stock_code = c.stock_code AND u.nth = 1
 ),
 dim_country AS (
   SELECT row_number() OVER (ORDER BY country NULLS LAST) AS country_key, country
-  FROM (SELECT DISTINCT country FROM clean)
+  FROM (SELECT DISTINCT country FROM lines)
 ),
 days AS (
   SELECT CAST(unnest(generate_series(min(invoice_date_only), max(invoice_date_only), INTERVAL 1 DAY)) AS DATE) AS full_date
-  FROM clean
+  FROM lines
 ),
 dim_date AS (
   SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key,
@@ -167,7 +194,7 @@ fact AS (
     CAST(f.is_valid_sale AS INTEGER) AS is_valid_sale,
     CAST(f.has_customer_id AS INTEGER) AS has_customer_id,
     f.transaction_status
-  FROM clean f
+  FROM lines f
   LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
   LEFT JOIN dim_product p ON f.stock_code IS NOT DISTINCT FROM p.stock_code
   LEFT JOIN dim_country co ON f.country IS NOT DISTINCT FROM co.country
@@ -420,9 +447,33 @@ _SALES_COLUMNS = f"""transaction_key, invoice_id, invoice_datetime, date_key, in
 _RAW_COLUMNS = """"Invoice", "StockCode", "Description", "Quantity", "InvoiceDate",
   CAST("Price" AS DOUBLE) AS "Price", "Customer ID", "Country", source_sheet"""
 
+# The workbook's text, and what is left of it: a quantity with a fraction or in words, and a date in words, are missing.
+_WORKBOOK = f"""
+pages AS (
+  SELECT *, 'lines.v1.' || coalesce(CAST(year("InvoiceDate") AS VARCHAR), 'none') AS sheet,
+    "Description" || CASE WHEN "Quantity" % 3 = 0 THEN chr(10) || '"new"' ELSE '' END AS told,
+    "Quantity" % 7 <> 0 AND ("Quantity" % 11 = 0 OR "Quantity" % 13 = 0) AS odd,
+    CASE WHEN "Quantity" % 7 <> 0 AND "Quantity" % 11 <> 0 AND "Quantity" % 13 = 0 THEN 'many' ELSE CAST("Quantity" AS VARCHAR) END AS written,
+    coalesce(year("InvoiceDate") % 2 = 0, false) AS lacking
+  FROM raw
+),
+entries AS (
+  SELECT DISTINCT nullif("Invoice", '') AS invoice, nullif("StockCode", '') AS code, nullif(told, '') AS told, written, odd,
+    "Price", "Customer ID", CASE WHEN NOT lacking THEN nullif("Country", '') END AS country, sheet,
+    CASE WHEN NOT odd THEN "Quantity" END AS quantity, CASE WHEN coalesce("Quantity" <> 17, true) THEN "InvoiceDate" END AS invoice_date
+  FROM pages
+)"""
+
 _SHARE = "round(revenue * 100 / (SELECT CAST(sum(sales_revenue) AS DOUBLE) FROM sales), 2)"
 
 ORACLES: dict[str, str] = {
+    "workbook_scan": _with(
+        (_RAW, _WORKBOOK),
+        f"""SELECT {_strip("invoice")} AS invoice_id, {_strip("code")} AS stock_code, {_tidy("told")} AS description,
+          CAST(quantity AS INTEGER) AS quantity, invoice_date,
+          CAST("Price" AS DOUBLE) AS unit_price, CAST(CAST("Customer ID" AS BIGINT) AS VARCHAR) AS customer_id,
+          {_tidy("country")} AS country, sheet AS source_sheet FROM entries""",
+    ),
     "raw_transactions": _with((_RAW,), f"SELECT {_RAW_COLUMNS} FROM raw"),
     "column_profile": _with((_RAW,), _PROFILE),
     "data_quality_summary": _with((_RAW,), _metrics("raw", _QUALITY, "VARCHAR")),
@@ -514,8 +565,7 @@ ORACLES: dict[str, str] = {
         """SELECT stock_code, description, units_sold, revenue,
           CAST(rank() OVER (ORDER BY units_sold DESC) AS INTEGER) AS volume_rank,
           CAST(rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS revenue_rank
-        FROM (SELECT * FROM products
-          WHERE description IS NOT NULL AND revenue > 0 AND units_sold > 0
-          ORDER BY revenue DESC, stock_code LIMIT 100)""",
+        FROM products WHERE description IS NOT NULL AND revenue > 0 AND units_sold > 0
+        ORDER BY volume_rank, stock_code LIMIT 100""",
     ),
 }

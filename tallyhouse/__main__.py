@@ -1,4 +1,4 @@
-"""``python -m tallyhouse clean|warehouse|analytics --output ...``
+"""``python -m tallyhouse clean|warehouse|analytics|questions --output ...``
 
 Run through spark-submit on a cluster; the session comes from its settings.
 """
@@ -16,11 +16,14 @@ from tallyhouse.sources.sheets import scan_workbook
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tallyhouse")
-    parser.add_argument("job", choices=["clean", "warehouse", "analytics"])
+    parser.add_argument("job", choices=["clean", "warehouse", "analytics", "questions"])
     parser.add_argument("--output", required=True, help="folder of all tables and reports")
     parser.add_argument("--sheets", help="folder with one file or folder per sheet (clean)")
     parser.add_argument("--format", default="parquet", help="format of the sheets")
     parser.add_argument("--timestamp-format", help="pattern of InvoiceDate in text sheets")
+    parser.add_argument(
+        "--plain-lines", action="store_true", help="no line breaks inside quotes: CSV files are read in splits"
+    )
     options = parser.parse_args()
 
     # Invoice times are wall-clock times; UTC has no hour that is skipped.
@@ -32,18 +35,22 @@ def main() -> None:
     if options.job == "clean":
         if not options.sheets:
             parser.error("clean needs --sheets")
-        raw = scan_workbook(spark, options.sheets, options.format, options.timestamp_format)
+        splits = {"multiLine": "false"} if options.plain_lines and options.format == "csv" else {}
+        raw = scan_workbook(spark, options.sheets, options.format, **splits)
         jobs.ingest_and_clean(
             spark,
             raw,
             options.output,
             source_bytes(spark, options.sheets),
-            land=options.format not in ("parquet", "orc"),
+            land=True,
+            timestamp_format=options.timestamp_format,
         )
     elif options.job == "warehouse":
         jobs.build_warehouse(spark, options.output)
-    else:
+    elif options.job == "analytics":
         jobs.export_analytics(spark, options.output)
+    else:
+        jobs.answer_questions(spark, options.output)
 
 
 if __name__ == "__main__":

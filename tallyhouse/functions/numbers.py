@@ -22,9 +22,17 @@ def to_price(column: Column) -> Column:
     return column.try_cast(PRICE)
 
 
+def number(column: Column) -> Column:
+    """Lenient double: text that is no number becomes null."""
+    return column.try_cast("double")
+
+
 def to_quantity(column: Column) -> Column:
-    """Whole quantity; anything that does not parse becomes null."""
-    return column.try_cast("int")
+    """Whole quantity, however it is written (6, 6.0, 6e0). What does not parse,
+    and a fraction, counts as missing, whatever format it came from."""
+    value = number(column)
+    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(2.0**31))
+    return F.when(whole, value).cast("int")
 
 
 def to_customer_id(column: Column) -> Column:
@@ -44,7 +52,10 @@ def to_customer_id(column: Column) -> Column:
     )
 
 
-def to_timestamp(column: Column) -> Column:
+def to_timestamp(column: Column, text_format: str | None = None) -> Column:
+    """Timestamp; text in another shape becomes null. ``text_format`` is the pattern of text."""
+    if text_format:
+        return F.try_to_timestamp(column.cast("string"), F.lit(text_format)).cast("timestamp_ntz")
     return column.try_cast("timestamp_ntz")
 
 

@@ -43,8 +43,13 @@ def duplicate_count(raw: DataFrame) -> DataFrame:
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
-def standardise(lines: DataFrame) -> DataFrame:
-    """Rename to snake_case, tidy the text and settle the types."""
+def standardise(lines: DataFrame, timestamp_format: str | None = None) -> DataFrame:
+    """Rename to snake_case, tidy the text and settle the types.
+
+    Values are as they were read until here; ``timestamp_format`` is the pattern
+    of dates that are text.
+    """
+    text_dates = timestamp_format if dict(lines.dtypes)["InvoiceDate"] == "string" else None
     renamed = lines.withColumnsRenamed(K.RENAMES)
     return renamed.withColumns({
         "invoice_id": strip(F.col("invoice_id")),
@@ -54,7 +59,7 @@ def standardise(lines: DataFrame) -> DataFrame:
         K.SHEET: strip(F.col(K.SHEET)),
         "quantity": to_quantity(F.col("quantity")),
         "unit_price": to_price(F.col("unit_price")),
-        "invoice_date": to_timestamp(F.col("invoice_date")),
+        "invoice_date": to_timestamp(F.col("invoice_date"), text_dates),
         "customer_id": to_customer_id(F.col("customer_id")),
     })
 
@@ -103,7 +108,7 @@ def add_calendar(lines: DataFrame) -> DataFrame:
 
 
 def transaction_status() -> Column:
-    """The first rule that holds names the row."""
+    """The first rule that holds names the row. The rules and their order."""
     return (
         F.when(F.col("unit_price") < 0, K.INVALID_PRICE)
         .when(F.col("unit_price") == 0, K.ZERO_PRICE)

@@ -2,63 +2,105 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import calendar as cal
 from tallyhouse.schemas import FACT
 
-# Rows without a customer would all meet in one reducer of a shuffled join.
-# They get one of these many keys instead, none of which any member has.
-_SPREAD = 4096
+_POSITION = "transaction_key"
 
 
-def scattered(position: Column) -> Column:
-    """A number in [0, 4096) that spreads rows evenly and repeatably."""
-    return F.pmod(F.xxhash64(position), F.lit(_SPREAD))
+def is_small(members: DataFrame) -> bool:
+    """The planner's own estimate is below the limit up to which it broadcasts.
 
+    The dimensions are read from files, so the estimate is a true bound.
+    """
+    query = members._jdf.queryExecution()
+    limit = members.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(query.optimizedPlan().stats().sizeInBytes())) <= limit
 
-def key_lookup(lines: DataFrame, members: DataFrame, column: str, key: str) -> DataFrame:
-    """Add ``key`` by looking ``column`` up; a missing value finds the missing
-    member, and what has no member gets 0.
 
-    No join hint: the planner broadcasts members whose size it knows to be
-    small, and otherwise shuffles, with hot keys split at run time.
+def _shares(lines: DataFrame, column: str) -> DataFrame:
+    """(``hot``, ``shares``): values of ``column`` with more lines than a reducer
+    would get if all values were alike, and over how many reducers to deal them.
+
+    At most one value per reducer can be that frequent, so the table has at
+    most as many rows as a shuffle has partitions.
     """
-    known = members.select(F.col(column).alias("member"), F.col(key))
+    partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = lines.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("hot")).agg(F.count(F.lit(1)).alias("n"))
+    total = lines.agg(F.count(F.lit(1))).scalar()
     return (
-        lines.join(known, lines[column].eqNullSafe(known["member"]), "left")
-        .drop("member")
-        .withColumn(key, F.coalesce(F.col(key), F.lit(0).cast("bigint")))
+        counts.withColumn("shares", F.ceil(F.col("n") * F.lit(partitions) / total).cast("int"))
+        .where("shares > 1")
+        .select("hot", "shares")
     )
 
 
-def customer_lookup(lines: DataFrame, customers: DataFrame) -> DataFrame:
-    """Like :func:`key_lookup`, but a missing customer is always 0."""
-    known = customers.select(F.col("customer_id").alias("member"), "customer_key")
-    nobody = F.concat(F.lit("~"), scattered(F.col("transaction_key")).cast("string"))
+def join_members(lines: DataFrame, members: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
+    """``lines`` with the columns ``names`` of the member that ``column`` names, null where there is none.
+
+    Members that the planner broadcasts need no care: lines stay where they are.
+    Otherwise the lines are shuffled, and no key may fill a reducer. Lines
+    without a key each get an absent key of their own. Frequent keys are dealt
+    over as many copies of their member as they have shares, which does not rely
+    on adaptive execution: it sees no skew beyond 2000 partitions.
+    """
+    known = members.select(F.col(column).alias("member"), *names)
+    if is_small(known):
+        return lines.join(known, lines[column] == F.col("member"), "left").drop("member")
+    own = F.pmod(F.xxhash64(_POSITION), F.coalesce(F.col("shares"), F.lit(1))).cast("int")
+    share = F.when(lines[column].isNull(), F.hash(_POSITION)).otherwise(own)
+    shares = _shares(lines, column)
+    # Bounded: at most one row per shuffle partition.
+    dealt = lines.join(F.broadcast(shares), lines[column] == F.col("hot"), "left").withColumn("share", share)
+    copies = (
+        known.join(F.broadcast(shares), F.col("member") == F.col("hot"), "left")
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)))
+        .drop("hot", "shares")
+    )
     return (
-        lines.withColumn("wanted", F.coalesce(F.col("customer_id"), nobody))
-        .join(known, F.col("wanted") == F.col("member"), "left")
-        .drop("wanted", "member")
-        .withColumn("customer_key", F.coalesce(F.col("customer_key"), F.lit(0).cast("bigint")))
+        dealt.join(copies, (dealt[column] == F.col("member")) & (F.col("share") == F.col("copy")), "left")
+        .drop("hot", "shares", "share", "member", "copy")
     )
 
 
+def key_lookup(lines: DataFrame, members: DataFrame, column: str, key: str) -> DataFrame:
+    """Add ``key`` by looking ``column`` up; a missing value finds the missing
+    member, and what has no member gets 0."""
+    named = join_members(lines, members.where(F.col(column).isNotNull()), column, [key])
+    missing = members.where(F.col(column).isNull()).agg(F.max(key)).scalar()
+    return named.withColumn(
+        key, F.coalesce(F.when(F.col(column).isNull(), missing).otherwise(F.col(key)), F.lit(0).cast("bigint"))
+    )
+
+
+def customer_lookup(lines: DataFrame, customers: DataFrame) -> DataFrame:
+    """Like :func:`key_lookup`, but a missing customer is always 0."""
+    named = join_members(lines, customers, "customer_id", ["customer_key"])
+    return named.withColumn("customer_key", F.coalesce(F.col("customer_key"), F.lit(0).cast("bigint")))
+
+
 def fact_transactions(
     numbered: DataFrame, customers: DataFrame, products: DataFrame, countries: DataFrame
 ) -> DataFrame:
     """``numbered`` is the clean table with its row number as transaction_key.
 
     A line without a date keeps its place with date key 0; it is never a valid
-    sale.
+    sale. Lines keep their order: lookups that shuffle are followed by a sort
+    into ranges of the key.
     """
+    shuffled = not all(map(is_small, (customers, products, countries)))
     lines = key_lookup(numbered, countries, "country", "country_key")
     lines = key_lookup(lines, products, "stock_code", "product_key")
     lines = customer_lookup(lines, customers)
     flags = ("is_cancelled", "is_return", "is_valid_sale", "has_customer_id")
-    return lines.withColumns({
+    fact = lines.withColumns({
         "date_key": F.coalesce(cal.date_key(F.col("invoice_date")), F.lit(0)),
         "invoice_datetime": F.col("invoice_date"),
         **{flag: F.col(flag).cast("int") for flag in flags},
     }).select(*FACT.names)
+    return fact.repartitionByRange(_POSITION).sortWithinPartitions(_POSITION) if shuffled else fact

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.numbers import half_even, not_nan
+from tallyhouse.functions.numbers import half_even, not_nan, number, to_timestamp
 from tallyhouse.functions.reports import gather, long_report
 from tallyhouse.functions.text import is_blank, is_cancellation
 from tallyhouse.operators.cleaning import duplicate_count
@@ -81,10 +81,18 @@ def _duplicates(raw: DataFrame, deduplicated: DataFrame | None) -> DataFrame:
     ]).select((F.col("all_rows") - F.col("kept_rows")).alias("duplicate_rows"))
 
 
-def data_quality_summary(raw: DataFrame, deduplicated: DataFrame | None = None) -> DataFrame:
+def data_quality_summary(
+    raw: DataFrame, deduplicated: DataFrame | None = None, timestamp_format: str | None = None
+) -> DataFrame:
     """Twenty metrics; ``deduplicated`` (the written clean table, say) spares
-    the shuffle that counting duplicates otherwise takes."""
+    the shuffle that counting duplicates otherwise takes.
+
+    Missing means not there; text that is no number or date is there, but is
+    neither negative nor zero, nor early or late.
+    """
     kinds = dict(raw.dtypes)
+    text_dates = timestamp_format if kinds["InvoiceDate"] == "string" else None
+    moment = to_timestamp(F.col("InvoiceDate"), text_dates)
 
     def value(column: str) -> Column:
         return not_nan(F.col(f"`{column}`"), kinds[column])
@@ -96,12 +104,12 @@ def data_quality_summary(raw: DataFrame, deduplicated: DataFrame | None = None)
         F.count_if(value("InvoiceDate").isNull()).alias("no_date"),
         F.count_if(is_blank(value("Description"))).alias("blank_descriptions"),
         F.count_if(is_blank(value("Country"))).alias("blank_countries"),
-        F.count_if(value("Quantity") < 0).alias("negative_quantities"),
-        F.count_if(value("Quantity") == 0).alias("zero_quantities"),
-        F.count_if(value("Price") < 0).alias("negative_prices"),
-        F.count_if(value("Price") == 0).alias("zero_prices"),
-        F.min("InvoiceDate").alias("earliest"),
-        F.max("InvoiceDate").alias("latest"),
+        F.count_if(number(value("Quantity")) < 0).alias("negative_quantities"),
+        F.count_if(number(value("Quantity")) == 0).alias("zero_quantities"),
+        F.count_if(number(value("Price")) < 0).alias("negative_prices"),
+        F.count_if(number(value("Price")) == 0).alias("zero_prices"),
+        F.min(moment).alias("earliest"),
+        F.max(moment).alias("latest"),
     )
     row = gather([
         scan,

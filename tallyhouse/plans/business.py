@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import constants as K
+from tallyhouse.operators.ordering import number_weighted, sort_with_place
 from tallyhouse.plans import views
 from tallyhouse.plans.views import Star
+from tallyhouse.session import scratch_path
 
 
 def _name(column: str) -> Column:
@@ -151,14 +153,36 @@ def segment_spotlight(summary: DataFrame, segment: str = K.CHAMPIONS) -> DataFra
     )
 
 
+def _ranked(products: DataFrame, measure: str, name: str) -> DataFrame:
+    """Rank of every product by ``measure``, the largest first; equal values share the first rank.
+
+    Ranks are numbers in a distributed sort of the distinct values, plus the
+    products that share a larger value: no window holds all products.
+    """
+    spark = products.sparkSession
+    values = products.groupBy(measure).agg(F.count(F.lit(1)).alias("sharing"))
+    sorted_path = scratch_path(spark, name)
+    sort_with_place(values, [F.desc(measure)], name).write.parquet(sorted_path)
+    ranks = number_weighted(spark.read.parquet(sorted_path), name, "sharing", name)
+    return products.join(ranks.select(measure, name), measure)
+
+
 def volume_vs_revenue_rank(star: Star, limit: int = 100) -> DataFrame:
-    """The products of :func:`product_revenue_vs_volume` with both ranks; the
-    windows see that short list only."""
-    return product_revenue_vs_volume(star, limit).select(
-        "stock_code",
-        "description",
-        "units_sold",
-        "revenue",
-        F.rank().over(Window.orderBy(F.desc("units_sold"))).alias("volume_rank"),
-        F.rank().over(Window.orderBy(F.desc("revenue"))).alias("revenue_rank"),
+    """High volume, lower revenue: the products that sell most units, with their
+    ranks by volume and by revenue among all products."""
+    products = views.product_performance(star).filter(
+        "description IS NOT NULL AND revenue > 0 AND units_sold > 0"
+    )
+    path = scratch_path(star.fact_transactions.sparkSession, "products")
+    products.select("stock_code", "description", "units_sold", "revenue").write.parquet(path)
+    stored = star.fact_transactions.sparkSession.read.parquet(path)
+    both = _ranked(_ranked(stored, "units_sold", "volume_rank"), "revenue", "revenue_rank")
+    return (
+        both.select(
+            "stock_code", "description", "units_sold", "revenue",
+            F.col("volume_rank").cast("int").alias("volume_rank"),
+            F.col("revenue_rank").cast("int").alias("revenue_rank"),
+        )
+        .orderBy("volume_rank", _name("stock_code"))
+        .limit(limit)
     )

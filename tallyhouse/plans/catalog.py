@@ -18,36 +18,51 @@ from tallyhouse.operators import cleaning, quality
 from tallyhouse.plans import business, rfm, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.views import Star, open_star
-from tallyhouse.session import scratch_path, source_bytes, widen
+from tallyhouse.session import drop_folder, scratch_path, sized_for, source_bytes
 from tallyhouse.sinks.tables import write_clean, write_landing, write_warehouse
-from tallyhouse.sources.sample_lines import retail_lines
-from tallyhouse.sources.sheets import scan_landing
+from tallyhouse.sources.sample_lines import retail_lines, write_sample_workbook
+from tallyhouse.sources.sheets import scan_landing, scan_workbook
 from tallyhouse.sources.tables import read_clean
 
 
 class Workspace:
     """Tables derived from one folder in one session, each written on first use.
 
-    The queries on them run after they are handed out, so the session keeps
-    the width that the size of the folder asks for.
+    Writing widens shuffles for the size of the folder and restores the
+    session's setting; queries on the written tables run with the session's own.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
         self.root = scratch_path(spark, "workspace")
-        widen(spark, source_bytes(spark, folder))
+        self.num_bytes = source_bytes(spark, folder)
+
+    def close(self) -> None:
+        """Delete the tables."""
+        drop_folder(self.spark, self.root)
+        _workspaces.pop((self.spark.sparkContext.applicationId, self.folder), None)
 
     @cached_property
     def raw(self) -> DataFrame:
         path = f"{self.root}/landing"
-        write_landing(retail_lines(self.spark, self.folder), path)
+        with sized_for(self.spark, self.num_bytes):
+            write_landing(retail_lines(self.spark, self.folder), path)
         return scan_landing(self.spark, path)
 
+    @cached_property
+    def workbook(self) -> DataFrame:
+        path = f"{self.root}/workbook"
+        with sized_for(self.spark, self.num_bytes):
+            write_sample_workbook(self.raw, path)
+        return scan_workbook(self.spark, path, "csv")
+
     @cached_property
     def clean_path(self) -> str:
         path = f"{self.root}/clean_transactions"
-        write_clean(self.raw, path)
+        raw = self.raw
+        with sized_for(self.spark, self.num_bytes):
+            write_clean(raw, path)
         return path
 
     @property
@@ -57,13 +72,17 @@ class Workspace:
     @cached_property
     def star(self) -> Star:
         location = f"{self.root}/warehouse"
-        write_warehouse(self.spark, self.clean_path, location)
+        clean = self.clean_path
+        with sized_for(self.spark, self.num_bytes):
+            write_warehouse(self.spark, clean, location)
         return open_star(self.spark, location)
 
     @cached_property
     def rfm(self) -> DataFrame:
         path = f"{self.root}/rfm_customers"
-        rfm.rfm_customers(self.spark, self.star).write.mode("overwrite").parquet(path)
+        star = self.star
+        with sized_for(self.spark, self.num_bytes):
+            rfm.rfm_customers(self.spark, star).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     @property
@@ -84,6 +103,7 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
 
 _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
     # raw lines
+    "workbook_scan": lambda w: cleaning.standardise(cleaning.deduplicate(w.workbook)),
     "raw_transactions": lambda w: w.raw,
     "column_profile": lambda w: quality.column_profile(w.raw),
     "data_quality_summary": lambda w: quality.data_quality_summary(w.raw),

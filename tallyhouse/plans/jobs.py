@@ -1,4 +1,4 @@
-"""The three batch jobs: ingest and clean, build the warehouse, export.
+"""The batch jobs: ingest and clean, build the warehouse, export, answer the business questions.
 
 They hand over through written tables, so each can run on its own and a lost
 executor never reaches back past the last table.
@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import cleaning, quality
-from tallyhouse.plans import views
+from tallyhouse.plans import business, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.rfm import rfm_customers, rfm_segment_summary
 from tallyhouse.plans.views import Star, open_star, register_views
-from tallyhouse.session import scratch_path, sized_for, source_bytes
+from tallyhouse.session import scratch, sized_for, source_bytes
 from tallyhouse.sinks.exports import write_csv
 from tallyhouse.sinks.tables import write_clean, write_landing, write_warehouse
 from tallyhouse.sources.sheets import scan_landing
@@ -22,7 +22,12 @@ from tallyhouse.sources.tables import read_clean
 
 
 def ingest_and_clean(
-    spark: SparkSession, raw: DataFrame, output: str, num_bytes: int, land: bool = False
+    spark: SparkSession,
+    raw: DataFrame,
+    output: str,
+    num_bytes: int,
+    land: bool = False,
+    timestamp_format: str | None = None,
 ) -> None:
     """Clean table, exceptions, and the three reports on raw and clean lines.
 
@@ -33,14 +38,14 @@ def ingest_and_clean(
     with sized_for(spark, num_bytes):
         if land:
             write_landing(raw, f"{output}/landing")
-            raw = scan_landing(spark, f"{output}/landing")
-        write_clean(raw, f"{output}/clean_transactions")
+            raw = scan_landing(spark, f"{output}/landing", raw.schema)
+        write_clean(raw, f"{output}/clean_transactions", timestamp_format)
         clean = read_clean(spark, f"{output}/clean_transactions")
         write_csv(cleaning.exceptions(clean), f"{output}/data_exceptions")
         write_csv(cleaning.cleaning_summary(raw, clean), f"{output}/reports/cleaning_summary")
         write_csv(quality.column_profile(raw), f"{output}/reports/column_profile")
         write_csv(
-            quality.data_quality_summary(raw, deduplicated=clean),
+            quality.data_quality_summary(raw, deduplicated=clean, timestamp_format=timestamp_format),
             f"{output}/reports/data_quality_summary",
         )
 
@@ -78,12 +83,31 @@ def export_analytics(spark: SparkSession, output: str) -> None:
 
         write_csv(executive_kpis(star.fact_transactions), f"{output}/reports/executive_kpis")
 
-        scored = scratch_path(spark, "rfm-customers")
-        rfm_customers(spark, star).write.mode("overwrite").parquet(scored)
-        customers = spark.read.parquet(scored)
-        export(customers, "customer_rfm_segments", "customer_id")
-        summary = rfm_segment_summary(customers)
-        write_csv(
-            summary, f"{output}/reports/rfm_segment_summary",
-            F.desc("total_revenue"), F.col("customer_segment"),
-        )
+        with scratch(spark, "rfm-customers") as scored:
+            rfm_customers(spark, star).write.mode("overwrite").parquet(scored)
+            customers = spark.read.parquet(scored)
+            export(customers, "customer_rfm_segments", "customer_id")
+            summary = rfm_segment_summary(customers)
+            write_csv(
+                summary, f"{output}/reports/rfm_segment_summary",
+                F.desc("total_revenue"), F.col("customer_segment"),
+            )
+
+
+def answer_questions(spark: SparkSession, output: str) -> None:
+    """The fourteen business questions, one CSV each, from the written warehouse."""
+    star = open_star(spark, f"{output}/warehouse")
+    questions = (
+        business.monthly_trend, business.top_international_markets, business.revenue_concentration,
+        business.top_products_by_revenue, business.top_products_by_units, business.top_customers,
+        business.top_markets, business.product_revenue_vs_volume, business.valid_sales_sample,
+        business.home_vs_international, business.active_products, business.top_product,
+        business.volume_vs_revenue_rank,
+    )
+    with sized_for(spark, source_bytes(spark, f"{output}/warehouse/fact_transactions")):
+        for question in questions:
+            write_csv(question(star), f"{output}/questions/{question.__name__}")
+        with scratch(spark, "rfm-customers") as scored:
+            rfm_customers(spark, star).write.mode("overwrite").parquet(scored)
+            summary = rfm_segment_summary(spark.read.parquet(scored))
+            write_csv(business.segment_spotlight(summary), f"{output}/questions/segment_spotlight")

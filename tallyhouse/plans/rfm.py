@@ -97,7 +97,7 @@ def bin_number(measure: str, cuts: Sequence[Row]) -> Column:
 
 
 def customer_segment() -> Column:
-    """The first rule that holds names the segment."""
+    """The first rule that holds names the segment. The rules and their order."""
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
     return (
         F.when((r >= 4) & (f >= 4) & (m >= 4), K.CHAMPIONS)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.fact import scattered
+from tallyhouse.operators.fact import join_members
 from tallyhouse.schemas import WAREHOUSE
 from tallyhouse.sources.tables import read_table
 
@@ -41,33 +41,39 @@ def open_star(spark: SparkSession, location: str) -> Star:
 def valid_sales(star: Star, sales: DataFrame | None = None) -> DataFrame:
     """Valid lines with the names their keys stand for."""
     sales = star.sales if sales is None else sales
-    key = F.col("customer_key")
-    # Key 0 has no member. Spread over many absent keys it cannot pile up in
-    # one reducer when the customers are too many to broadcast.
-    wanted = F.when(key == 0, -F.lit(1) - scattered(F.col("transaction_key"))).otherwise(key)
-    customers = star.dim_customer.select(F.col("customer_key").alias("member"), "customer_id")
-    return (
-        sales.withColumn("wanted", wanted)
-        .join(customers, F.col("wanted") == F.col("member"), "left")
-        .join(star.dim_product, "product_key", "left")
-        .join(star.dim_country, "country_key", "left")
-        .select(
-            "transaction_key", "invoice_id", "invoice_datetime", "date_key", "invoice_hour",
-            "quantity", "unit_price", "sales_revenue", "customer_key", "customer_id",
-            "product_key", "stock_code", "description", "country_key", "country",
-        )
+    named = join_members(sales, star.dim_customer, "customer_key", ["customer_id"])
+    named = join_members(named, star.dim_product, "product_key", ["stock_code", "description"])
+    named = join_members(named, star.dim_country, "country_key", ["country"])
+    return named.select(
+        "transaction_key", "invoice_id", "invoice_datetime", "date_key", "invoice_hour",
+        "quantity", "unit_price", "sales_revenue", "customer_key", "customer_id",
+        "product_key", "stock_code", "description", "country_key", "country",
     )
 
 
-def _measures() -> list[Column]:
-    # Revenue is a sum of two-digit decimals and needs no rounding.
-    known_customer = F.when(F.col("customer_key") > 0, F.col("customer_key"))
-    return [
-        F.sum("sales_revenue").alias("revenue"),
-        F.count_distinct("invoice_id").alias("orders"),
-        F.count_distinct(known_customer).alias("customers"),
-        F.sum("quantity").alias("units_sold"),
-    ]
+def _measured(sales: DataFrame, group: Column, name: str) -> DataFrame:
+    """Revenue, distinct orders, distinct known customers and units per group.
+
+    Lines shrink to one row per group, invoice and customer before anything is
+    counted apart; only these rows are grouped both ways. Revenue is a sum of
+    two-digit decimals and needs no rounding.
+    """
+    pairs = sales.groupBy(group.alias(name), "invoice_id", "customer_key").agg(
+        F.sum("sales_revenue").alias("revenue"), F.sum("quantity").alias("units")
+    )
+    key, invoice, customer = F.col(name), F.col("invoice_id"), F.col("customer_key")
+    counted = pairs.groupingSets([[key, invoice], [key, customer]], key, invoice, customer).agg(
+        (F.grouping("customer_key") == 1).alias("per_invoice"),
+        F.sum("revenue").alias("revenue"),
+        F.sum("units").alias("units"),
+    )
+    per_invoice = F.col("per_invoice")
+    return counted.groupBy(name).agg(
+        F.sum(F.when(per_invoice, F.col("revenue"))).alias("revenue"),
+        F.count_if(per_invoice & invoice.isNotNull()).alias("orders"),
+        F.count_if(~per_invoice & (customer > 0)).alias("customers"),
+        F.sum(F.when(per_invoice, F.col("units"))).alias("units_sold"),
+    )
 
 
 def monthly_sales(star: Star) -> DataFrame:
@@ -76,15 +82,15 @@ def monthly_sales(star: Star) -> DataFrame:
         (F.col("year") * 100 + F.col("month_number")).alias("month_key"),
         "year", "month_number", "month_name", "year_month",
     ).distinct()
-    grouped = star.sales.groupBy(F.expr("date_key DIV 100").cast("int").alias("month_key"))
-    return grouped.agg(*_measures()).join(months, "month_key").drop("month_key").select(
+    grouped = _measured(star.sales, F.expr("date_key DIV 100").cast("int"), "month_key")
+    return grouped.join(months, "month_key").select(
         "year", "month_number", "month_name", "year_month",
         "revenue", "orders", "customers", "units_sold",
     )
 
 
 def country_performance(star: Star) -> DataFrame:
-    grouped = star.sales.groupBy("country_key").agg(*_measures())
+    grouped = _measured(star.sales, F.col("country_key"), "country_key")
     return grouped.join(star.dim_country, "country_key").select(
         "country", "revenue", "orders", "customers", "units_sold"
     )

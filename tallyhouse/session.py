@@ -14,15 +14,14 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-_SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 
-# One reducer is sized for this much source data. The ceiling bounds map and
-# reduce tasks alike, so that a 100 TB shuffle keeps blocks worth fetching and
-# task counts the driver can track; beyond it partitions grow and spill.
+# One reducer is sized for this much source data, so the number of reducers
+# grows with the input without a limit. A session may set its own.
 REDUCER_BYTES = 512 << 20
-MAX_PARTITIONS = 65_536
+_REDUCER_BYTES = "spark.tallyhouse.reducerBytes"
 
 _local_folders: dict[str, str] = {}
+_announced: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,9 +44,43 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, the way Spark reports the files below it."""
+    files, target = _file_system(spark, path)
+    return files.makeQualified(target).toString()
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system Spark can write."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; what is still there goes with the application."""
+    folder = shared_folder(spark)
+    if folder not in _announced:
+        files, target = _file_system(spark, folder)
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+        _announced.add(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch path that is deleted when the work on it is done."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        drop_folder(spark, path)
 
 
 def source_bytes(spark: SparkSession, *paths: str) -> int:
@@ -60,42 +93,28 @@ def source_bytes(spark: SparkSession, *paths: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def shuffle_partitions_for(num_bytes: int) -> int:
-    return max(1, min(MAX_PARTITIONS, math.ceil(num_bytes / REDUCER_BYTES)))
-
-
-def scan_bytes_for(num_bytes: int) -> int:
-    """Bytes per scan task that keep the number of scan tasks bounded."""
-    return math.ceil(num_bytes / MAX_PARTITIONS)
+def shuffle_partitions_for(num_bytes: int, reducer_bytes: int = REDUCER_BYTES) -> int:
+    return max(1, math.ceil(num_bytes / reducer_bytes))
 
 
-def widen(spark: SparkSession, num_bytes: int) -> dict[str, str]:
-    """Widen shuffles and scan splits for an input of this size.
+@contextmanager
+def sized_for(spark: SparkSession, num_bytes: int) -> Iterator[None]:
+    """Widen shuffles for an input of this size while a job runs, then restore.
 
     Adaptive execution merges partitions that turn out small but never adds
-    any, so the width has to start high enough. Settings already larger stay.
-    Returns the settings as they were.
+    any, so the width has to start high enough. A larger setting stays. The
+    setting is the session's: jobs that run at the same time need sessions of
+    their own (``spark.newSession()``).
     """
-    needed = {
-        _SHUFFLE_PARTITIONS: shuffle_partitions_for(num_bytes),
-        _SCAN_BYTES: scan_bytes_for(num_bytes),
-    }
-    before = {key: spark.conf.get(key) for key in needed}
-    for key, value in needed.items():
-        if value > _number(before[key]):
-            spark.conf.set(key, value)
-    return before
-
-
-@contextmanager
-def sized_for(spark: SparkSession, num_bytes: int) -> Iterator[None]:
-    """:func:`widen` while a job runs."""
-    before = widen(spark, num_bytes)
+    reducer = _number(spark.conf.get(_REDUCER_BYTES, str(REDUCER_BYTES)))
+    needed = shuffle_partitions_for(num_bytes, reducer)
+    before = spark.conf.get(_SHUFFLE_PARTITIONS)
+    if needed > int(before):
+        spark.conf.set(_SHUFFLE_PARTITIONS, needed)
     try:
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        spark.conf.set(_SHUFFLE_PARTITIONS, before)
 
 
 _UNITS = {"b": 0, "k": 10, "m": 20, "g": 30, "t": 40}

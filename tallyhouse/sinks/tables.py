@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.constants import SHEET
+from tallyhouse.functions.numbers import number, to_timestamp
 from tallyhouse.operators.cleaning import deduplicate, derive, standardise
 from tallyhouse.operators.dimensions import (
     country_members,
@@ -18,43 +19,59 @@ from tallyhouse.operators.dimensions import (
 from tallyhouse.operators.fact import fact_transactions
 from tallyhouse.operators.ordering import number_rows, sort_with_place, write_numbered
 from tallyhouse.schemas import CLEAN, DIM_COUNTRY, DIM_CUSTOMER, DIM_PRODUCT, LINE, LINE_POSITION
-from tallyhouse.session import scratch_path
+from tallyhouse.session import scratch
 from tallyhouse.sources.tables import read_clean, read_table, warehouse_lines
 
 
-# By date, then invoice; the rest makes the order total.
-ROW_ORDER = (
-    "InvoiceDate", "Invoice", "Country", "StockCode", "Description",
-    "Quantity", "Price", "Customer ID", SHEET,
-)
+def row_order(raw: DataFrame, timestamp_format: str | None = None) -> list[Column]:
+    """By date, then invoice. Values that were read as text are ordered by what
+    they mean, and by their text where they mean the same."""
+    kinds = dict(raw.dtypes)
+    meaning = {
+        "InvoiceDate": lambda c: to_timestamp(c, timestamp_format),
+        "Quantity": number,
+        "Price": number,
+        "Customer ID": number,
+    }
+    order = [
+        meaning[name](F.col(f"`{name}`")) if name in meaning and kinds[name] == "string" else F.col(f"`{name}`")
+        for name in (
+            "InvoiceDate", "Invoice", "Country", "StockCode", "Description", "Quantity", "Price", "Customer ID", SHEET,
+        )
+    ]
+    return order + [F.col(f"`{name}`") for name in meaning if kinds[name] == "string"]
 
 
 def write_landing(raw: DataFrame, path: str) -> None:
-    """Raw lines in one folder per sheet."""
-    raw.write.mode("overwrite").partitionBy(SHEET).parquet(path)
+    """Raw lines in columns, the sheet among them: one file per task, however many sheets there are."""
+    raw.write.mode("overwrite").parquet(path)
 
 
-def write_clean(raw: DataFrame, path: str) -> None:
+def write_clean(raw: DataFrame, path: str, timestamp_format: str | None = None) -> None:
     """Clean ``raw`` into a table in row order.
 
-    Two shuffles of the raw columns: one removes the copies, one puts the rows
-    into order. Everything else is computed after the second, on the way into
-    the file. No two rows are equal by then, so the order has no ties and no
-    date, country or product can fill a partition by itself.
+    One shuffle removes the copies; its result is written, because finding the
+    bounds of the ranges reads it once more. A second shuffle puts the rows into
+    order, and everything else is computed on the way into the file. No two rows
+    are equal by then, so the order has no ties and no date, country or product
+    can fill a partition by itself.
 
     The stored order does the work of folders and indexes. A file spans a
     short time, so a filter on a date or month skips whole files by their
     statistics; and the lines of an invoice lie together, so counts per invoice
     mostly finish inside the scanning task.
     """
-    order = [F.col(f"`{name}`") for name in ROW_ORDER]
-    placed = sort_with_place(deduplicate(raw), order, LINE)
-    (
-        derive(standardise(placed))
-        .select(*CLEAN.names, *LINE_POSITION.names)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    spark = raw.sparkSession
+    with scratch(spark, "distinct-lines") as distinct:
+        deduplicate(raw).write.parquet(distinct)
+        lines = spark.read.schema(raw.schema).parquet(distinct)
+        placed = sort_with_place(lines, row_order(lines, timestamp_format), LINE)
+        (
+            derive(standardise(placed, timestamp_format))
+            .select(*CLEAN.names, *LINE_POSITION.names)
+            .write.mode("overwrite")
+            .parquet(path)
+        )
 
 
 def write_dimensions(spark: SparkSession, lines: DataFrame, location: str) -> None:
@@ -65,9 +82,10 @@ def write_dimensions(spark: SparkSession, lines: DataFrame, location: str) -> No
 
     def write(members: DataFrame, member: str, key: str, names: list[str]) -> None:
         order = [F.col(member).asc_nulls_last()]
-        numbered = write_numbered(spark, members, order, key, scratch_path(spark, key))
-        name = f"dim_{key.removesuffix('_key')}"
-        numbered.select(*names).write.mode("overwrite").parquet(f"{location}/{name}")
+        with scratch(spark, key) as path:
+            numbered = write_numbered(spark, members, order, key, path)
+            name = f"dim_{key.removesuffix('_key')}"
+            numbered.select(*names).write.mode("overwrite").parquet(f"{location}/{name}")
 
     with ThreadPoolExecutor(4) as pool:
         done = [

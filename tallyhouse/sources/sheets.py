@@ -1,113 +1,168 @@
-"""Scans of raw invoice lines, one file or folder per sheet."""
+"""Scans of raw invoice lines, one file or folder per sheet.
+
+Values stay as they were read: text from text formats, the stored types from
+columnar ones. Types are settled after exact copies are gone, so two lines that
+differ in any digit stay two lines, and the reports see what the source holds.
+"""
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.constants import SHEET
 from tallyhouse.schemas import RAW
+from tallyhouse.session import qualified
 from tallyhouse.sources.errors import missing_as_file_error
 
+_PARTITION = f"{SHEET}="
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def _below(path: Column, root: str) -> Column:
+    """What follows ``root`` in the path of a file; both may or may not have a scheme."""
+    inside = F.regexp_replace(path, _SCHEME, "")
+    return F.substring(inside, len(root.rstrip("/")) + 2, 1 << 30)
+
+
+def _root_path(spark: SparkSession, root: str) -> str:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(qualified(spark, root))
+    return path.toUri().getPath()
+
 
 def discover_sheets(spark: SparkSession, root: str) -> dict[str, str]:
     """Sheet name to path for every file or folder right below ``root``.
 
     The listing runs as a Spark job on any file system Spark can read. A file
-    is named by its stem, a folder by its name.
+    is named by its stem, a folder by its whole name, or by its value if it is
+    a partition folder. Two entries of one name are an error.
     """
     with missing_as_file_error(root):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    marker = root.rstrip("/").split("/")[-1]
-    below = F.substring_index("path", f"/{marker}/", -1)
-    entries = files.select(F.substring_index(below, "/", 1).alias("entry")).distinct()
-    # One row per sheet of the source.
-    sheets = {}
-    for row in entries.collect():
-        entry = unquote(row.entry)
-        if entry.startswith(("_", ".")):
+    below = _below(F.col("path"), _root_path(spark, root))
+    entries = files.select(
+        F.substring_index(below, "/", 1).alias("entry"), F.contains(below, F.lit("/")).alias("folder")
+    ).distinct()
+    sheets: dict[str, str] = {}
+    for row in entries.collect():  # one row per sheet of the source
+        if row.entry.startswith(("_", ".")):
             continue
-        stem = entry.rsplit(".", 1)[0] if "." in entry else entry
-        sheets[stem.removeprefix(f"{SHEET}=")] = f"{root.rstrip('/')}/{entry}"
+        name = row.entry
+        if name.startswith(_PARTITION):
+            name = unquote(name.removeprefix(_PARTITION))
+        elif not row.folder and "." in name:
+            name = name.rsplit(".", 1)[0]
+        if name in sheets:
+            raise ValueError(f"two sheets are named {name!r}: {sheets[name]} and {row.entry}")
+        sheets[name] = f"{root.rstrip('/')}/{row.entry}"
     return dict(sorted(sheets.items()))
 
 
-def _as_raw(sheet: DataFrame, timestamp_format: str | None) -> DataFrame:
-    """The raw columns a sheet has, by name, in their types."""
+def _sheet_name(root: str) -> Column:
+    """The name :func:`discover_sheets` gives to the sheet a row was read from."""
+    # Paths in the metadata are URL-encoded, but for the plus sign.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    below = _below(path, root)
+    entry = F.substring_index(below, "/", 1)
+    value = F.replace(F.substring(entry, len(_PARTITION) + 1, 1 << 30), F.lit("+"), F.lit("%2B"))
+    return (
+        F.when(F.startswith(entry, F.lit(_PARTITION)), F.url_decode(value))
+        .when(F.contains(below, F.lit("/")), entry)
+        .otherwise(F.regexp_replace(entry, r"(?<=.)\.[^.]*$", ""))
+    )
+
+
+def _as_raw(sheet: DataFrame, name: Column) -> DataFrame:
+    """The raw columns a sheet has, by name: names and codes as text, the rest as read."""
     columns = []
     for field in RAW:
-        if field.name not in sheet.columns:
-            continue
-        column = F.col(f"`{field.name}`")
-        if field.name == "InvoiceDate" and timestamp_format:
-            typed = F.try_to_timestamp(column, F.lit(timestamp_format)).cast(field.dataType)
-        else:
-            typed = column.try_cast(field.dataType)
-        columns.append(typed.alias(field.name))
-    return sheet.select(*columns)
+        if field.name in sheet.columns and field.name != SHEET:
+            column = F.col(f"`{field.name}`")
+            text = isinstance(field.dataType, T.StringType)
+            columns.append((column.cast("string") if text else column).alias(field.name))
+    return sheet.select(*columns, name.alias(SHEET))
+
+
+def _options(file_format: str, options: Mapping[str, str]) -> dict[str, str]:
+    """CSV may have quoted line breaks, which makes a file one split; a source
+    without them is read in splits with ``multiLine="false"``."""
+    defaults = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+    return {**(defaults if file_format == "csv" else {}), **options}
+
+
+def _combine(scans: list[DataFrame]) -> DataFrame:
+    """Scans under one another by column name; a column that a scan lacks is null
+    there, and one that they store in different types becomes text."""
+    kinds = {}
+    for field in RAW:
+        found = {scan.schema[field.name].dataType.simpleString() for scan in scans if field.name in scan.columns}
+        kinds[field.name] = found.pop() if len(found) == 1 else "string" if found else field.dataType.simpleString()
+    combined = None
+    for scan in scans:
+        even = scan.select(*[
+            (F.col(f"`{name}`") if name in scan.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in kinds.items()
+        ])
+        combined = even if combined is None else combined.union(even)
+    return combined
 
 
 def scan_sheet(
-    spark: SparkSession,
-    path: str,
-    name: str,
-    file_format: str = "parquet",
-    timestamp_format: str | None = None,
-    **options: str,
+    spark: SparkSession, path: str, name: str, file_format: str = "parquet", **options: str
 ) -> DataFrame:
-    """One sheet, tagged with its name.
-
-    Text formats are read as text and cast column by column, so ids keep
-    leading zeros and letters, and a bad number becomes null.
-    """
-    if file_format == "csv":
-        options = {"header": "true", "quote": '"', "escape": '"', **options}
+    """One sheet, tagged with its name. Text formats are read as text, so ids
+    keep leading zeros and letters."""
     with missing_as_file_error(path):
-        sheet = spark.read.format(file_format).options(**options).load(path)
-    return _as_raw(sheet, timestamp_format).withColumn(SHEET, F.lit(name))
+        sheet = spark.read.format(file_format).options(**_options(file_format, options)).load(path)
+    return _as_raw(sheet, F.lit(name))
 
 
 def scan_sheets(
-    spark: SparkSession,
-    sheets: Mapping[str, str],
-    file_format: str = "parquet",
-    timestamp_format: str | None = None,
-    **options: str,
+    spark: SparkSession, sheets: Mapping[str, str], file_format: str = "parquet", **options: str
 ) -> DataFrame:
-    """All sheets under one another, matched by column name; a column that a
-    sheet lacks is null there."""
+    """The given sheets under one another."""
     if not sheets:
         raise FileNotFoundError("no sheets to read")
-    scans = [
-        scan_sheet(spark, path, name, file_format, timestamp_format, **options)
-        for name, path in sheets.items()
-    ]
-    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    return combined.select(*[
-        (F.col(f"`{field.name}`") if field.name in combined.columns else F.lit(None).cast(field.dataType)).alias(field.name)
-        for field in RAW
-    ])
+    return _combine([scan_sheet(spark, path, name, file_format, **options) for name, path in sheets.items()])
 
 
 def scan_workbook(
-    spark: SparkSession,
-    root: str,
-    file_format: str = "parquet",
-    timestamp_format: str | None = None,
-    **options: str,
+    spark: SparkSession, root: str, file_format: str = "parquet", **options: str
 ) -> DataFrame:
-    """Every sheet found below ``root``."""
-    return scan_sheets(
-        spark, discover_sheets(spark, root), file_format, timestamp_format, **options
-    )
+    """Every sheet found below ``root``.
 
-
-def scan_landing(spark: SparkSession, root: str) -> DataFrame:
-    """Lines that :func:`tallyhouse.sinks.tables.write_landing` stored, as one
-    scan whatever the number of sheets; the sheet is the partition column."""
+    Sheets with the same columns in the same order are one scan that takes the
+    name from the path, so the plan grows with the number of layouts and not
+    with the number of sheets.
+    """
+    paths = list(discover_sheets(spark, root).values())
+    if not paths:
+        raise FileNotFoundError(f"no sheets in {root}")
+    options = _options(file_format, options)
+
+    def schema(path: str) -> T.StructType:
+        return spark.read.format(file_format).options(**options).load(path).schema
+
+    with ThreadPoolExecutor(8) as pool:
+        schemas = list(pool.map(schema, paths))
+    layouts: dict[str, list[int]] = defaultdict(list)
+    for i, found in enumerate(schemas):
+        layouts[found.simpleString()].append(i)
+    name = _sheet_name(_root_path(spark, root))
+    scans = []
+    for members in layouts.values():
+        reader = spark.read.format(file_format).options(**options).schema(schemas[members[0]])
+        scans.append(_as_raw(reader.load([paths[i] for i in members]), name))
+    return _combine(scans)
+
+
+def scan_landing(spark: SparkSession, root: str, schema: T.StructType = RAW) -> DataFrame:
+    """Lines that :func:`tallyhouse.sinks.tables.write_landing` stored, as one scan."""
     with missing_as_file_error(root):
-        return spark.read.schema(RAW).parquet(root)
+        return spark.read.schema(schema).parquet(root)

@@ -24,8 +24,12 @@ def read_clean(spark: SparkSession, path: str, with_position: bool = False) -> D
 
 
 def read_clean_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """A clean table exported as CSV, columns by name; empty fields are null."""
-    options = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", **options}
+    """A clean table exported as CSV, columns by name; empty fields are null.
+
+    Quoted line breaks are kept, so a file is one split; ``multiLine="false"``
+    splits files of a table that has none.
+    """
+    options = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", "multiLine": "true", **options}
     text = spark.read.options(**options).csv(path)
     return text.select(*[
         F.col(field.name).cast(field.dataType).alias(field.name) for field in CLEAN

@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from tallyhouse.operators import cleaning
 from tallyhouse.operators.fact import customer_lookup, key_lookup
 from tallyhouse.plans import business, catalog, views
 from tallyhouse.plans.kpis import executive_kpis
+from tallyhouse.plans.views import open_star
+from tallyhouse.sinks.tables import write_warehouse
 from tests.conftest import SMALL
 
 
@@ -56,10 +59,13 @@ def test_concentration_groups_the_fact_once(small):
     assert "ReusedExchange" in text
 
 
-def test_windows_see_short_lists_only(spark, small):
+def test_windows_see_blocks_only(spark, small):
+    """Ranks over all products number the blocks of a written sort, and rows inside a block."""
     for name, query in catalog.queries().items():
-        if "Window" in plan(query(spark, SMALL)):
+        text = plan(query(spark, SMALL))
+        if "Window" in text:
             assert name == "volume_vs_revenue_rank"
+            assert all("_block" in part for part in text.split("\n\n") if re.match(r"\(\d+\) Window", part))
 
 
 def test_sample_limits_before_it_joins(small):
@@ -72,16 +78,24 @@ def test_duplicates_collapse_before_the_shuffle(small):
     assert [line.strip(" +-:*|").split(" ")[0] for line in text.splitlines()].count("HashAggregate") == 2
 
 
+@pytest.mark.parametrize("view", [views.monthly_sales, views.country_performance, business.monthly_trend])
+def test_no_line_is_multiplied(small, view):
+    """The aggregate over invoices and customers sits on the scan; only its rows are expanded."""
+    tree = plan(view(small.star)).split("\n\n")[0].splitlines()
+    names = [re.sub(r"^[ +:*|-]*", "", line).split(" ")[0] for line in tree]
+    scan = next(i for i, line in enumerate(tree) if "fact_transactions" in line or names[i] == "Scan")
+    above = [n for n in names[:scan] if n not in ("Filter", "Project", "ColumnarToRow")]
+    assert above[-1] == "HashAggregate"
+    assert "Expand" in names
+
+
 @pytest.fixture
 def shuffled_joins(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "2500",
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
@@ -98,18 +112,24 @@ def hot_lines(spark):
         n.alias("transaction_key"),
         F.when(n % 3 == 0, F.lit("p0")).otherwise(F.concat(F.lit("p"), (n % 500).cast("string"))).alias("stock_code"),
         F.when(n % 3 != 1, (n % 700).cast("string")).alias("customer_id"),
-        F.sha2(n.cast("string"), 256).alias("payload"),
     )
 
 
-def test_hot_product_is_split(spark, shuffled_joins):
-    lines = hot_lines(spark)
+def largest_partition(frame):
+    return frame.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_hot_product_is_dealt_over_many_partitions(spark, shuffled_joins):
+    """Beyond 2000 partitions adaptive execution sees no skew."""
     members = spark.range(500).select(
         F.concat(F.lit("p"), F.col("id").cast("string")).alias("stock_code"), (F.col("id") + 1).alias("product_key")
     )
-    joined = key_lookup(lines, members, "stock_code", "product_key")
-    assert "skew=true" in executed(joined)
-    assert joined.filter("product_key = 0").count() == 0 and joined.count() == 60_000
+    joined = key_lookup(hot_lines(spark), members, "stock_code", "product_key").select("transaction_key", "product_key")
+    rows = joined.withColumn("p", F.spark_partition_id()).collect()
+    assert len(rows) == 60_000 and all(
+        r.product_key == 1 + (0 if r.transaction_key % 3 == 0 else r.transaction_key % 500) for r in rows
+    )
+    assert max(Counter(r.p for r in rows).values()) < 1000  # 20,000 lines have the hot product
 
 
 def test_missing_customers_are_scattered(spark, shuffled_joins):
@@ -117,6 +137,32 @@ def test_missing_customers_are_scattered(spark, shuffled_joins):
     members = spark.range(700).select(
         F.col("id").cast("string").alias("customer_id"), (F.col("id") + 1).alias("customer_key")
     )
-    joined = customer_lookup(lines, members)
-    assert "skew=true" not in executed(joined)
-    assert joined.filter("customer_key = 0").count() == lines.filter("customer_id IS NULL").count()
+    rows = customer_lookup(lines, members).withColumn("p", F.spark_partition_id()).collect()
+    assert sum(r.customer_key == 0 for r in rows) == sum(r.customer_id is None for r in rows) == 20_000
+    assert max(Counter(r.p for r in rows).values()) < 1000
+
+
+def test_fact_keeps_its_order_when_lookups_shuffle(spark, small, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_warehouse(spark, small.clean_path, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    fact = open_star(spark, str(tmp_path)).fact_transactions
+    files = fact.groupBy(F.input_file_name()).agg(F.min("transaction_key").alias("a"), F.max("transaction_key").alias("b"))
+    ranges = sorted((r.a, r.b) for r in files.collect())
+    assert len(ranges) > 1
+    assert all(before[1] < after[0] for before, after in zip(ranges, ranges[1:], strict=False))
+    assert fact.exceptAll(small.star.fact_transactions).count() == 0
+
+
+def test_valid_sales_with_shuffled_members(spark, small):
+    expected = views.valid_sales(small.star)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = views.valid_sales(small.star)
+        assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

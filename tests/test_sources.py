@@ -6,8 +6,10 @@ from decimal import Decimal
 import pytest
 
 from tallyhouse.schemas import RAW
-from tallyhouse.session import shuffle_partitions_for, sized_for, source_bytes
-from tallyhouse.sinks.tables import write_landing
+from tallyhouse.operators.cleaning import clean_transactions, deduplicate, standardise
+from tallyhouse.plans.catalog import Workspace
+from tallyhouse.session import scratch, shuffle_partitions_for, sized_for, source_bytes
+from tallyhouse.sinks.tables import write_clean, write_landing
 from tallyhouse.sources.sheets import discover_sheets, scan_landing, scan_sheets, scan_workbook
 from tallyhouse.sources.tables import read_clean, read_table
 from tests.test_cleaning import raw_row
@@ -40,32 +42,103 @@ def test_sheets_are_found_by_name(spark, workbook):
 
 def test_csv_workbook(spark, workbook):
     raw = scan_workbook(spark, workbook, "csv")
-    assert raw.schema.simpleString() == RAW.simpleString()
-    rows = {r.Invoice: r for r in raw.collect()}
-    mug = rows["489434"]
-    assert (mug.StockCode, mug.Description, mug.Quantity) == ("0085048", 'a "big", mug', 12)
-    assert (mug.InvoiceDate, mug.Price, mug["Customer ID"]) == (datetime(2009, 12, 1, 7, 45), Decimal("6.95"), 13085.0)
+    assert raw.columns == RAW.names and {kind for _, kind in raw.dtypes} == {"string"}
+    mug = raw.where("Invoice = '489434'").first()
+    assert (mug.StockCode, mug.Description, mug.Quantity, mug.Price) == ("0085048", 'a "big", mug', "12", "6.95")
     assert mug.source_sheet == "Year 2009-2010"
-    assert rows["C489449"].Description is None
+    rows = {r.invoice_id: r for r in standardise(raw).collect()}
+    mug = rows["489434"]
+    assert (mug.quantity, mug.invoice_date, mug.unit_price, mug.customer_id) == (
+        12, datetime(2009, 12, 1, 7, 45), Decimal("6.95"), "13085",
+    )
+    assert rows["C489449"].description is None
     late = rows["536365"]
-    assert (late.Quantity, late.Description, late["Customer ID"], late.source_sheet) == (None, None, None, "Year 2010-2011")
+    assert (late.quantity, late.description, late.customer_id, late.source_sheet) == (None, None, None, "Year 2010-2011")
+
+
+def test_numbers_in_other_shapes(spark, tmp_path):
+    quantities = ["6.0", "1e3", "2.5", " 7", "-3.0", "many", "", "99999999999"]
+    (tmp_path / "s.csv").write_text(HEADER + "".join(f"{i},A,x,{q},2010-01-01,1,1,F\n" for i, q in enumerate(quantities)))
+    rows = standardise(scan_workbook(spark, str(tmp_path), "csv")).collect()
+    assert [r.quantity for r in sorted(rows, key=lambda r: r.invoice_id)] == [6, 1000, None, 7, -3, None, None, None]
+    stored = spark.createDataFrame([("1", 2.5), ("2", 6.0)], "Invoice string, Quantity double")
+    stored.write.parquet(str(tmp_path / "book" / "p"))
+    rows = standardise(scan_workbook(spark, str(tmp_path / "book"))).collect()
+    assert {r.invoice_id: r.quantity for r in rows} == {"1": None, "2": 6}
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(HEADER + '1,A,"two\nlines",1,2010-01-01,1,1,F\n')
+    rows = scan_workbook(spark, str(tmp_path), "csv").collect()
+    assert [(r.Invoice, r.Description) for r in rows] == [("1", "two\nlines")]
+
+
+def test_lines_that_differ_in_any_digit_stay(spark, tmp_path):
+    rows = [("1", 1.00001, "a"), ("1", 1.00002, "a"), ("1", 1.00002, "a")]
+    spark.createDataFrame(rows, "Invoice string, Price double, Description string").write.parquet(str(tmp_path / "b" / "p"))
+    raw = scan_workbook(spark, str(tmp_path / "b"))
+    assert raw.schema["Price"].dataType.simpleString() == "double"
+    assert deduplicate(raw).count() == 2
 
 
 def test_timestamp_format(spark, tmp_path):
     (tmp_path / "s.csv").write_text(HEADER + "1,A,x,1,12/1/2009 7:45,1,1,F\n2,A,x,1,soon,1,1,F\n")
-    rows = scan_sheets(spark, {"s": str(tmp_path / "s.csv")}, "csv", "M/d/yyyy H:mm").collect()
-    assert {r.Invoice: r.InvoiceDate for r in rows} == {"1": datetime(2009, 12, 1, 7, 45), "2": None}
+    raw = scan_sheets(spark, {"s": str(tmp_path / "s.csv")}, "csv")
+    rows = standardise(raw, "M/d/yyyy H:mm").collect()
+    assert {r.invoice_id: r.invoice_date for r in rows} == {"1": datetime(2009, 12, 1, 7, 45), "2": None}
+
+
+def test_text_dates_are_ordered_by_time(spark, tmp_path):
+    days = ["12/1/2009 7:45", "2/1/2010 7:45", "11/30/2009 9:00", "soon"]
+    (tmp_path / "s.csv").write_text(HEADER + "".join(f"{i},A,x,1,{d},1,1,F\n" for i, d in enumerate(days)))
+    write_clean(scan_workbook(spark, str(tmp_path), "csv"), str(tmp_path / "clean"), "M/d/yyyy H:mm")
+    rows = read_clean(spark, str(tmp_path / "clean"), with_position=True).collect()
+    ordered = sorted(rows, key=lambda r: (r.line_block, r.line_place))
+    assert [r.invoice_id for r in ordered] == ["3", "2", "0", "1"]
 
 
 def test_folders_of_parquet(spark, tmp_path):
-    book = str(tmp_path / "book")
-    rows = [raw_row("1", sheet="Year 1"), raw_row("2", sheet="Year 2"), raw_row("2", sheet="Year 2")]
-    write_landing(spark.createDataFrame(rows, RAW), book)
-    assert list(discover_sheets(spark, book)) == ["Year 1", "Year 2"]
-    expected = sorted(map(str, spark.createDataFrame(rows, RAW).collect()))
+    book, landing = str(tmp_path / "book"), str(tmp_path / "landing")
+    rows = [raw_row("1", sheet="Year 1"), raw_row("2", sheet="v+2: %"), raw_row("2", sheet="v+2: %")]
+    lines = spark.createDataFrame(rows, RAW)
+    lines.write.partitionBy("source_sheet").parquet(book)
+    assert list(discover_sheets(spark, book)) == ["Year 1", "v+2: %"]
+    expected = sorted(map(str, lines.collect()))
     assert sorted(map(str, scan_workbook(spark, book).collect())) == expected
-    assert sorted(map(str, scan_landing(spark, book).collect())) == expected
-    assert scan_landing(spark, book).schema == RAW
+    write_landing(lines, landing)
+    assert sorted(map(str, scan_landing(spark, landing).collect())) == expected
+    assert scan_landing(spark, landing).schema == RAW
+
+
+def test_dotted_folders_stay_apart(spark, tmp_path):
+    book = tmp_path / "b5"
+    for i, name in enumerate(("v1.2009", "v1.2010", "b5", "plain name")):
+        (book / name).mkdir(parents=True)
+        (book / name / "part.csv").write_text(HEADER + f"{i},A,x,1,2010-01-01,1,1,F\n")
+    rows = scan_workbook(spark, str(book), "csv").collect()
+    assert {r.source_sheet: r.Invoice for r in rows} == {"v1.2009": "0", "v1.2010": "1", "b5": "2", "plain name": "3"}
+
+
+def test_names_that_clash_are_an_error(spark, tmp_path):
+    (tmp_path / "y.csv").write_text(HEADER)
+    (tmp_path / "y.txt").write_text(HEADER)
+    with pytest.raises(ValueError, match="two sheets are named 'y'"):
+        discover_sheets(spark, str(tmp_path))
+
+
+def test_plan_does_not_grow_with_the_sheets(spark, tmp_path):
+    for i in range(60):
+        header = HEADER if i % 2 else "Quantity,Invoice\n"
+        (tmp_path / f"s{i}.csv").write_text(header + ("1,A,x,1,2010-01-01,1,1,F\n" if i % 2 else "1,1\n"))
+    raw = scan_workbook(spark, str(tmp_path), "csv")
+    assert raw._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    assert raw.select("source_sheet").distinct().count() == 60
+
+
+def test_clean_needs_no_types_in_the_source(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(HEADER + "1,A,x,2.0,2010-01-01 10:00:00,1.25,7.0,F\n" * 2)
+    row = clean_transactions(scan_workbook(spark, str(tmp_path), "csv")).collect()
+    assert [(r.net_line_value, r.customer_id, r.transaction_status) for r in row] == [(Decimal("2.50"), "7", "valid_sale")]
 
 
 @pytest.mark.parametrize("read", [
@@ -88,12 +161,25 @@ def test_no_sheets(spark):
 def test_shuffles_grow_with_the_input(spark, workbook):
     assert 0 < source_bytes(spark, workbook) < 10_000
     assert shuffle_partitions_for(0) == 1
-    assert shuffle_partitions_for(10 << 40) == 20_480
-    assert shuffle_partitions_for(100 << 40) == 65_536
-    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
-    before = [spark.conf.get(key) for key in keys]
+    assert shuffle_partitions_for(100 << 40) == 204_800
+    assert shuffle_partitions_for(100 << 40, 1 << 30) == 102_400
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
     with sized_for(spark, 10 << 40):
-        assert [spark.conf.get(key) for key in keys] == ["20480", str(160 << 20)]
+        assert spark.conf.get(key) == "20480"
     with sized_for(spark, 1):
-        assert [spark.conf.get(key) for key in keys] == before
-    assert [spark.conf.get(key) for key in keys] == before
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
+
+
+def test_scratch_goes_when_the_work_is_done(spark, tmp_path):
+    with scratch(spark, "x") as path:
+        spark.range(3).write.parquet(path)
+        kept = path
+    with pytest.raises(FileNotFoundError):
+        scan_landing(spark, kept)
+    space = Workspace(spark, "/root/testdata/sf0.001")
+    assert space.raw.count() > 0
+    space.close()
+    with pytest.raises(FileNotFoundError):
+        scan_landing(spark, f"{space.root}/landing")
