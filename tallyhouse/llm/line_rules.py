@@ -23,6 +23,7 @@ that a measure takes the place of an input column of its name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,13 +101,13 @@ def _repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, 0).otherwise(_let(hashes, of_hashes))
 
 
-def _measured(docs: DataFrame, text_column: str, host_column: str) -> DataFrame:
-    """The rows as ``__doc``, their measures, and the hashes and sizes of their lines."""
+def _measured(docs: DataFrame, text_column: str, host_column: str, keep: Sequence[str]) -> DataFrame:
+    """The columns ``keep`` as ``__doc``, the measures, and the hashes and sizes of the lines."""
     text = F.col("__text")
     spaceless = F.translate(text, _SPACE, "")
     return (
         docs.select(
-            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
+            F.struct(*[F.col(f"`{c}`") for c in keep]).alias("__doc"),
             F.coalesce(text_column, F.lit("")).alias("__text"),
             F.col(host_column).alias("__host"),
         )
@@ -151,10 +152,16 @@ def apply_rules(
     *,
     text_column: str = "text",
     host_column: str = "source",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``docs`` and the columns ``MEASURES``; ``removed_lines`` holds hashes, null where no line goes."""
-    measured = land(spark, _measured(docs, text_column, host_column), "line-rules")
-    frequent = frequent_lines(measured, limits)
+    """The columns ``keep`` (all) of ``docs`` and the columns ``MEASURES``.
+
+    ``removed_lines`` holds hashes, null where no line goes.
+    """
+    keep = docs.columns if keep is None else keep
+    measured = land(spark, _measured(docs, text_column, host_column, keep), "line-rules")
+    # Written, so the planner knows their size: few enough are broadcast, and no line is shuffled for them.
+    frequent = land(spark, frequent_lines(measured, limits), "frequent-lines")
     lines = measured.select(_ROW, "__host", F.explode(F.arrays_zip("__hashes", "__sizes")).alias("line")).select(
         _ROW, "__host", F.col("line.__hashes").alias("__hash"), F.col("line.__sizes").alias("size")
     )
@@ -169,7 +176,7 @@ def apply_rules(
     too_short = F.col("n_words") < limits.min_words
     repetitive = F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeated
     left = F.col("n_words") - F.col("n_removed_words")
-    own = [F.col(f"__doc.`{c}`").alias(c) for c in docs.columns if c not in MEASURES]
+    own = [F.col(f"__doc.`{c}`").alias(c) for c in keep if c not in MEASURES]
     return (
         measured.drop("__hashes", "__sizes", "__host")
         .join(removed, _ROW, "left")

@@ -79,8 +79,8 @@ def op6_quotations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
-    return line_rules.apply_rules(spark, docs).select(
+    docs = _table(spark, folder, "documents")
+    return line_rules.apply_rules(spark, docs, keep=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
