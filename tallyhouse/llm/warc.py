@@ -61,6 +61,8 @@ def archive_records(pages: DataFrame, *, least: int = 1000, date: str = "2025-01
         .where("pages > 1 and newest is not null")
         .select("content", "newest")
     )
+    # Written, so the planner knows its size: if few payloads are repeated, no page is shuffled to find them.
+    repeated = land(pages.sparkSession, repeated, "repeated-payloads")
     revisit = F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
     size = F.col("size").cast("string")
     http = F.concat(
