@@ -14,13 +14,16 @@ partitions, and a signature is a hash of what a set has in a subset of them:
   that rare, and unrelated sets do not meet over empty partitions.
 
 A set signs for its own band and the next one. Signatures are complete: every
-similar pair shares one. Sets that share a signature form a group. Pairs are
-tested exactly, on the whole sets, and never all pairs of a group: some members
-(first the smallest id, later those whose component is rare in the group) are
-tested against the members of other components, links are merged into
-components, tested members leave, and groups of a single component are done.
-The number of members taken grows each round, so any group ends; pairs within a
-component need no test.
+similar pair shares one. Sets that share a signature form a group, and pairs are
+tested exactly, on the whole sets, but never all pairs of a group: first the
+smallest id of each group with the others, which joins most near copies into
+components; then, in groups that still hold several components, only members of
+different ones. Of these, pairs are tested only if their sketches, one byte per
+hash bucket, do not already differ in more places than similar sets have differing
+elements. That bound is exact; it is taken inside a task, over blocks of bounded size.
+One round tests each member's closest partner of another component, which joins what
+belongs together, and a second one tests all pairs that are left, so a family of many
+half-similar texts sends few pairs to the test. Pairs inside a component need none.
 
 Equal sets are found by a 128-bit hash and stand for one another; each scanning
 task signs only the first of those it meets, so a text that a third of all rows
@@ -43,13 +46,15 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
 from tallyhouse.llm.scratch import land
 
 _MEMORY = 1_000_000  # words whose hashes a task remembers
+_FILTER_BITS = 1 << 23  # of the bitmap that keeps unwanted texts out of a shuffle
+_BLOCK = 4096  # members of a group that one task compares with as many others
 _ONE = np.uint64(0x9E3779B97F4A7C15)
 _TWO = np.uint64(0xD6E8FEB86659FD93)
 
@@ -112,49 +117,62 @@ class Bands:
 
     def differences(self, band: int) -> int:
         """The most elements that similar sets of this band, or of it and the one below, do not share."""
-        self.band(self.highs[-1] + 1 if band >= len(self.highs) else 1)
+        while len(self.highs) <= band:
+            self.band(self.highs[-1] + 1)
         return 2 * self.highs[band] * (100 - self.percent) // (100 + self.percent)
 
 
-def _signatures(grams: np.ndarray, bands: Bands) -> np.ndarray:
-    own = bands.band(len(grams))
+def _signatures(grams: np.ndarray, bands: Bands, band: int) -> np.ndarray:
+    """Signatures of a set in the partitions of a band."""
+    k = bands.differences(band)
+    if k == 0:  # such sets are similar only when equal
+        return np.empty(0, np.uint64)
+    least = bands.lows[band - 1] if band else 1
+    place = _mix(grams + np.uint64((band + 1) * int(_ONE) & 0xFFFFFFFFFFFFFFFF))
+    value = _mix(grams * _ONE + np.uint64(band))
+    small = k <= 3
+    n1, n2 = ((k + 2) // 2, 4 if k == 1 else 3) if small else (k + 1 + _spare(k, least), 1)
+    n = n1 * n2
+    part = ((place >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    order = np.argsort(part)
+    part = part[order]
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    parts = part[starts]
+    sums = np.zeros(n, np.uint64)
+    sums[parts.astype(np.int64)] = np.add.reduceat(value[order], starts)
+    tag = np.uint64(band) << np.uint64(32)
+    if not small:
+        signed = parts if n - len(parts) <= n - k - 1 else np.arange(n, dtype=np.uint64)
+        return _mix(sums[signed.astype(np.int64)] + _mix((tag | signed) * _ONE))
     signs = []
-    for band in (own, own + 1):
-        while len(bands.highs) <= band:
-            bands.band(bands.highs[-1] + 1)
-        k = bands.differences(band)
-        if k == 0:
-            continue  # such sets are similar only when equal
-        least = bands.lows[band - 1] if band else 1
-        place = _mix(grams + np.uint64((band + 1) * int(_ONE) & 0xFFFFFFFFFFFFFFFF))
-        value = _mix(grams * _ONE + np.uint64(band))
-        if k <= 3:
-            n1, n2 = (k + 2) // 2, 4 if k == 1 else 3
-            part = (place >> np.uint64(32)) % np.uint64(n1 * n2)
-            sums = np.zeros(n1 * n2, np.uint64)
-            np.add.at(sums, part.astype(np.int64), value)
-            for first in range(n1):
-                for chosen in combinations(range(n2), n2 - 1):
-                    tag = _mix(np.array([band << 20 | first << 10 | sum(1 << c for c in chosen)], np.uint64))
-                    mixed = tag.copy()
-                    for c in chosen:
-                        mixed = _mix(mixed * _ONE) + sums[first * n2 + c]
-                    signs.append(_mix(mixed))
-        else:
-            spare = _spare(k, least)
-            n = k + 1 + spare
-            part = ((place >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-            order = np.argsort(part)
-            part = part[order]
-            starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            sums = np.add.reduceat(value[order], starts)
-            parts = part[starts]
-            tag = np.uint64(band) << np.uint64(32)
-            signs.append(_mix(sums + _mix((tag | parts) * _ONE)))
-            if n - len(parts) > spare:
-                empty = np.setdiff1d(np.arange(n, dtype=np.uint64), parts)
-                signs.append(_mix(_mix((tag | empty) * _ONE)))
-    return np.concatenate(signs) if signs else np.empty(0, np.uint64)
+    for first in range(n1):
+        for chosen in combinations(range(n2), n2 - 1):
+            mixed = _mix(np.array([tag | np.uint64(first << 10 | sum(1 << c for c in chosen))], np.uint64))
+            for c in chosen:
+                mixed = _mix(mixed * _ONE) + sums[first * n2 + c]
+            signs.append(_mix(mixed))
+    return np.concatenate(signs)
+
+
+def _sketch(grams: np.ndarray, bands: Bands) -> bytes:
+    """A byte per bucket, up to three buckets per element that a similar set may lack.
+
+    Sets that differ in d elements differ in at most d buckets. Grams are sorted,
+    so their leading bits are the bucket; neighbouring buckets fold into one by
+    exclusive or, which makes sketches of different sizes comparable.
+    """
+    bits = max(3, (3 * bands.differences(bands.band(len(grams)) + 1) // 2).bit_length())
+    bucket = (grams >> np.uint64(64 - bits)).astype(np.int64)
+    value = ((grams * _TWO) >> np.uint64(56)).astype(np.uint8)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    sketch = np.zeros(1 << bits, np.uint8)
+    sketch[bucket[starts]] = np.bitwise_xor.reduceat(value, starts)
+    return sketch.tobytes()
+
+
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    found = np.frombuffer(sketch, np.uint8)
+    return found if len(found) == size else np.bitwise_xor.reduce(found.reshape(size, -1), axis=1)
 
 
 def _spare(k: int, least: int) -> int:
@@ -167,27 +185,35 @@ def _spare(k: int, least: int) -> int:
     return spare
 
 
+_SIGNED = "id long, n_shingles long, key binary, signs array<long>, sketch binary"
+
+
 def _sign(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingles, bands, seen = Shingles(like.words), Bands(like.percent), set()
+    nothing = np.empty(0, np.uint64)
     for batch in batches:
-        sizes, keys, signs = [], [], []
+        sizes, keys, signs, sketches = [], [], [], []
         for text, own in zip(batch["text"], batch["id"], strict=True):
             grams = shingles(text.as_py())
             key = xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
             sizes.append(len(grams))
             keys.append(key)
             if key is None or key in seen or not own.is_valid:
-                signs.append(np.empty(0, np.int64))
-            else:
-                seen.add(key)
-                signs.append(_signatures(grams, bands).view(np.int64))
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in signs])]).astype(np.int32)
-        values = np.concatenate(signs) if signs else np.empty(0, np.int64)
+                signs.append(nothing)
+                sketches.append(None)
+                continue
+            seen.add(key)
+            band = bands.band(len(grams))
+            signs += [np.concatenate([_signatures(grams, bands, b) for b in (band, band + 1)])]
+            sketches.append(_sketch(grams, bands))
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in signs])]).astype(np.int32)
+        values = np.concatenate(signs) if signs else nothing
         yield pa.record_batch({
             "id": batch["id"],
             "n_shingles": pa.array(sizes, pa.int64()),
             "key": pa.array(keys, pa.binary()),
-            "signs": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+            "signs": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))),
+            "sketch": pa.array(sketches, pa.binary()),
         })
 
 
@@ -210,10 +236,107 @@ def _similar(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         yield pa.record_batch({"a": batch["a"].filter(mask), "b": batch["b"].filter(mask)})
 
 
+def _most(like: Likeness, x, y):
+    """The most elements that similar sets of these sizes do not share."""
+    return (x + y) * (100 - like.percent) // (100 + like.percent)
+
+
+def _plausible(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sizes and sketches allow them to be similar."""
+    for batch in batches:
+        keep = []
+        columns = (batch[c].to_pylist() for c in ("a_n", "b_n", "x", "y"))
+        for a_n, b_n, x, y in zip(*columns, strict=True):
+            size = min(len(x), len(y))
+            near = 100 * min(a_n, b_n) >= like.percent * max(a_n, b_n)
+            keep.append(bool(near and np.count_nonzero(_folded(x, size) != _folded(y, size)) <= _most(like, a_n, b_n)))
+        mask = pa.array(keep, pa.bool_())
+        yield pa.record_batch({"a": batch["a"].filter(mask), "b": batch["b"].filter(mask)})
+
+
+def _pairs(like: Likeness, closest: bool, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Plausible pairs between components in the groups of ``rows``; with ``closest`` a member's closest one only."""
+    group = np.stack([rows[c].to_numpy() for c in ("sign", "low", "high")])
+    starts = np.flatnonzero(np.r_[True, (group[:, 1:] != group[:, :-1]).any(axis=0)])
+    ids, labels, sizes, blocks = (rows[c].to_numpy() for c in ("id", "label", "n_shingles", "block"))
+    sketches = rows["sketch"].to_pylist()
+    found_a, found_b = [], []
+    for start, stop in zip(starts, [*starts[1:], len(ids)], strict=True):
+        size = min(map(len, sketches[start:stop]))
+        matrix = np.stack([_folded(x, size) for x in sketches[start:stop]])
+        i, n, label = ids[start:stop], sizes[start:stop], labels[start:stop]
+        first = np.flatnonzero(blocks[start:stop] == group[1][start])
+        second = np.flatnonzero(blocks[start:stop] == group[2][start])
+        step = max(1, (1 << 22) // max(1, len(second) * size))
+        for part in (first[k : k + step] for k in range(0, len(first), step)):
+            differ = (matrix[part][:, None, :] != matrix[second][None, :, :]).sum(axis=2)
+            allowed = differ <= _most(like, n[part][:, None], n[second][None, :])
+            allowed &= label[part][:, None] != label[second][None, :]
+            if not allowed.any():
+                continue
+            if closest:
+                a = np.flatnonzero(allowed.any(axis=1))
+                b = np.where(allowed, differ, size + 1)[a].argmin(axis=1)
+            else:
+                a, b = np.nonzero(allowed)
+            found_a.append(i[part[a]])
+            found_b.append(i[second[b]])
+    if found_a:
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)  # groups repeat pairs
+        yield pa.record_batch({"a": both[0], "b": both[1]})
+
+
+def _across(like: Likeness, closest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """:func:`_pairs` of rows that come sorted by group."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        sign = batch["sign"].to_numpy()
+        if not len(sign):
+            continue
+        if rest and rest[-1]["sign"][-1].as_py() != sign[0]:
+            yield from _pairs(like, closest, pa.Table.from_batches(rest))
+            rest = []
+        # The last group of a batch may go on in the next one.
+        other = np.flatnonzero(sign != sign[-1])
+        if len(other):
+            last = int(other[-1]) + 1
+            yield from _pairs(like, closest, pa.Table.from_batches([*rest, batch.slice(0, last)]))
+            rest = [batch.slice(last)]
+        else:
+            rest.append(batch)
+    if rest:
+        yield from _pairs(like, closest, pa.Table.from_batches(rest))
+
+
+def _hash_bit() -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(_FILTER_BITS))
+
+
+def _wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of the given ids.
+
+    Before any text is shuffled for the join, most others are dropped by a bitmap
+    of hashed ids: 256 rows of 4 KB, whatever the number of ids.
+    """
+    bitmap = ids.select(_hash_bit().alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    position = F.bitmap_bit_position(_hash_bit())
+    byte = F.conv(F.hex(F.substring("bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    maybe = (
+        texts.withColumn("bucket", F.bitmap_bucket_number(_hash_bit()))
+        .join(F.broadcast(bitmap), "bucket")
+        .where(F.getbit(byte, (position % 8).cast("int")) == 1)
+        .select("id", "text")
+    )
+    return maybe.join(ids, "id", "left_semi")
+
+
 def _test(spark: SparkSession, texts: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (``a``, ``b``) that are similar."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = texts.join(wanted, "id", "left_semi").mapInArrow(partial(_sets, like), "id long, grams binary")
+    sets = _wanted(texts, wanted).mapInArrow(partial(_sets, like), "id long, grams binary")
     sets = land(spark, sets, "partenum-sets")
     sided = pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a"
@@ -232,80 +355,71 @@ def jaccard_components(
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (smallest id it is linked to, directly or not)."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    signed = land(
-        spark,
-        texts.mapInArrow(partial(_sign, like), "id long, n_shingles long, key binary, signs array<long>"),
-        "partenum-signs",
-    )
+    signed = land(spark, texts.mapInArrow(partial(_sign, like), _SIGNED), "partenum-signs")
     named = signed.where("id is not null and key is not null")
     copies = named.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    first = land(
-        spark,
-        named.select("id", "key", "n_shingles").join(copies, "key").select("id", "n_shingles", "first").distinct(),
-        "partenum-copies",
-    )
+    first = land(spark, named.select("id", "key").join(copies, "key").select("id", "first").distinct(), "partenum-copies")
     links = first.select(F.col("id").alias("a"), F.col("first").alias("b")).where("a != b")
 
     # Groups: signatures with two sets or more, each set as its first copy.
     by_sign = Window.partitionBy("sign").orderBy("id")
     shared = (
-        named.select(F.explode("signs").alias("sign"), "id", "n_shingles")
+        named.select(F.explode("signs").alias("sign"), "id")
         .withColumn("before", F.lag("id").over(by_sign))
         .withColumn("after", F.lead("id").over(by_sign))
         .where("before is not null or after is not null")
         .drop("before", "after")
     )
-    groups = (
-        shared.join(first.select("id", "first"), "id", "left")
-        .select("sign", F.coalesce("first", "id").alias("id"), "n_shingles")
-        .distinct()
-    )
+    groups = shared.join(first, "id", "left").select("sign", F.coalesce("first", "id").alias("id")).distinct()
     groups = land(spark, groups, "partenum-groups")
-    tested = None
-    takes = 1
-    labels = None
-    while True:
-        # Members with the component they belong to so far; groups of one component are done.
-        if labels is None:
-            members = groups.withColumn("label", F.col("id"))
-        else:
-            members = groups.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-        members = land(spark, members, "partenum-members")
-        mixed = members.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-        members = members.join(mixed.select("sign"), "sign", "left_semi")
-        if takes == 1:
-            order = [F.col("id")]
-        else:
-            common = members.groupBy("sign", "label").agg(F.count(F.lit(1)).alias("common"))
-            members = members.join(common, ["sign", "label"])
-            order = [F.col("common"), F.col("label"), F.col("id")]
-        place = F.row_number().over(Window.partitionBy("sign").orderBy(*order))
-        members = land(spark, members.withColumn("place", place), "partenum-members")
-        if members.isEmpty():
-            break
-        chosen = members.where(F.col("place") <= takes).select(
-            "sign", F.col("id").alias("p"), F.col("label").alias("p_label"), F.col("n_shingles").alias("p_n"),
-            F.col("place").alias("p_place"),
+    sketches = named.where("sketch is not null").join(first, "id", "left").select(
+        F.coalesce("first", "id").alias("id"), "n_shingles", "sketch"
+    )
+    sketches = sketches.join(groups.select("id").distinct(), "id", "left_semi").distinct()
+    sketches = land(spark, sketches, "partenum-sketches")
+
+    # The smallest id of each group with the others, which then need no further test with it.
+    least = groups.groupBy("sign").agg(F.min("id").alias("a"), F.max("id").alias("most")).where("a != most")
+    members = land(spark, groups.join(least.select("sign", "a"), "sign").where("a != id"), "partenum-members")
+    side = lambda name, sketch: sketches.select(
+        F.col("id").alias(name), F.col("n_shingles").alias(f"{name}_n"), F.col("sketch").alias(sketch)
+    )
+    stars = members.select("a", F.col("id").alias("b")).distinct().join(side("b", "y"), "b").join(side("a", "x"), "a")
+    stars = stars.select("a", "b", "a_n", "b_n", "x", "y").mapInArrow(partial(_plausible, like), "a long, b long")
+    tested = land(spark, stars.distinct(), "partenum-pairs")
+    links = links.union(_test(spark, texts, tested, like))
+    labels = land(spark, components(spark, links), "partenum-labels")
+
+    # Members of different components, in the groups that still have several.
+    members = members.select("sign", "id")
+    for closest in (True, False):
+        labelled = members.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id"))
+        labelled = land(spark, labelled.drop("component"), "partenum-members")
+        mixed = labelled.groupBy("sign").agg(
+            F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("size")
+        ).where("least != most")
+        blocks = F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")
+        dealt = land(spark, labelled.join(mixed.select("sign", blocks), "sign"), "partenum-mixed")
+        members = dealt.select("sign", "id")
+        block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        ordered = (
+            dealt.withColumn("block", block)
+            .withColumn("other", other)
+            .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+            .join(sketches, "id")
+            .select("sign", "low", "high", "block", "id", "label", "n_shingles", "sketch")
+            .repartition("sign", "low", "high")
+            .sortWithinPartitions("sign", "low", "high")
         )
-        pairs = (
-            members.join(chosen, "sign")
-            .where("place > p_place and label != p_label")
-            .where(F.least("n_shingles", "p_n") * 100 >= F.greatest("n_shingles", "p_n") * like.percent)
-            # the chosen member is side a, as the one with many partners
-            .select(F.col("p").alias("a"), F.col("id").alias("b"))
-            .distinct()
+        across = land(
+            spark, ordered.mapInArrow(partial(_across, like, closest), "a long, b long").distinct(), "partenum-pairs"
         )
-        if tested is not None:
-            flipped = tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
-            pairs = pairs.join(tested.union(flipped), ["a", "b"], "left_anti")
-        pairs = land(spark, pairs, "partenum-pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = links.union(_test(spark, texts, pairs, like))
-        labels = land(spark, components(spark, links), "partenum-labels")
-        groups = members.where(F.col("place") > takes).select("sign", "id", "n_shingles")
-        takes = 8 if takes == 1 else 4 * takes
-    if labels is None:
-        labels = components(spark, links)
+        across = land(spark, across.join(tested, ["a", "b"], "left_anti"), "partenum-pairs")
+        if not across.isEmpty():
+            tested = tested.union(across)
+            links = links.union(_test(spark, texts, across, like))
+            labels = land(spark, components(spark, links), "partenum-labels")
     component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.coalesce("component", "id"))
     return (
         signed.select("id", "n_shingles", "key")
