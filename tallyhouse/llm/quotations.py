@@ -139,23 +139,18 @@ def _threads(spark: SparkSession, replies: DataFrame) -> DataFrame:
         "conv_id", "turn", "reply_to", F.coalesce("reply_to", "turn").alias("thread"),
         F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth"),
     )
-    nodes, reached = land(spark, nodes, "threads"), None
-    while True:
-        total = nodes.agg(F.sum("depth")).first()[0]
-        if total == reached:
-            return nodes
-        reached = total
+    nodes = land(spark, nodes.withColumn("done", F.col("depth") == 0), "threads")
+    while not nodes.where("not done").isEmpty():
         above = nodes.select(
             "conv_id", F.col("turn").alias("thread"), F.col("thread").alias("further"), F.col("depth").alias("more")
         )
-        nodes = land(
-            spark,
-            nodes.join(above, ["conv_id", "thread"]).select(
-                "conv_id", "turn", "reply_to", F.col("further").alias("thread"),
-                (F.col("depth") + F.col("more")).alias("depth"),
-            ),
-            "threads",
+        # Only messages that have not arrived at a first message take part.
+        moved = nodes.where("not done").join(above, ["conv_id", "thread"]).select(
+            "conv_id", "turn", "reply_to", F.col("further").alias("thread"),
+            (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") == 0).alias("done"),
         )
+        nodes = land(spark, nodes.where("done").select(*moved.columns).union(moved), "threads")
+    return nodes.drop("done")
 
 
 def in_reply_order(linked: DataFrame) -> DataFrame:
