@@ -4,13 +4,16 @@ Emails, IP addresses, card and phone numbers are matched directly. Each match is
 a seed: the two words before it, and the words on both sides, are candidate
 patterns of its kind. Other tokens with a digit in the same contexts are
 instances without a kind. Patterns and instances form a bipartite graph, kept as
-edges with no text in it. Spark scores it in rounds: the confidence of a
-pattern for a kind is the score of that kind over its distinct instances; an
-instance gets 1 minus the product of (1 - confidence) over its confident
-patterns. Patterns count only with enough seeds of the kind and a confidence
-above the limit; instances above the limit are personal data of the kind
-``<kind>_context`` and take part in the next round. A round that finds no
-confident pattern ends the search.
+edges with no text in it. Spark scores it in rounds. Seeds and the instances
+found so far are the positives of a kind, by their score; the confidence of a
+pattern is their sum over the sum of all its positives, of any kind, and a part
+(``unknown``) of its instances that have no kind yet. Every pattern enters every
+round, so one that holds only found instances counts as well. An instance gets 1
+minus the product of (1 - confidence) over its confident patterns. Patterns count
+only with enough positives of the kind and a confidence above the limit; instances
+above the limit are personal data of the kind ``<kind>_context``, which they keep,
+and are positives from the next round on. The search ends when a round finds no
+further instance: the next one would be the same.
 
 Whole texts are scanned. Null texts are empty; repeated rows and null ids each
 keep their row; an empty table gives an empty result; further columns are not
@@ -48,11 +51,12 @@ _EDGE = "\"'`.,;:!?()[]{}<>=“”«»"
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """Seeds of one kind that a pattern needs, the least confidence of patterns and instances, the most rounds."""
+    """Positives of one kind that a pattern needs, and the least confidence of patterns and instances."""
 
     seeds: int = 10
     confidence: float = 0.8
-    rounds: int = 4
+    #: What an instance without a kind counts against a pattern; one of another kind counts 1.
+    unknown: float = 0.25
     #: Characters of context on either side, and the least length of a found identifier.
     reach: int = 200
     length: int = 5
@@ -151,21 +155,35 @@ def _scan(options: Bootstrap, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
 def _discover(spark: SparkSession, edges: DataFrame, options: Bootstrap) -> DataFrame:
     """(``value``, ``kind``) of the instances without a kind that confident patterns find."""
     edges = land(spark, edges.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
-    seeds = edges.where("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
-    sizes = seeds.where(F.col("seeds") >= options.seeds).join(sizes, "pattern")
+    # A pattern with fewer instances never has enough positives, one without open instances finds nothing.
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"), F.count("kind").alias("seeds"))
+    sizes = land(
+        spark,
+        sizes.where((F.col("instances") >= options.seeds) & (F.col("instances") > F.col("seeds"))).drop("seeds"),
+        "pii-sizes",
+    )
+    edges = land(spark, edges.join(sizes, "pattern", "left_semi"), "pii-edges")
     open_edges = edges.where("kind is null").select("pattern", "value")
-    found = None
-    for _ in range(options.rounds):
-        scored = sizes.withColumn("score", F.col("seeds").cast("double"))
-        if found is not None:
-            more = open_edges.join(found, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("more"))
-            scored = sizes.join(more, ["pattern", "kind"], "left").withColumn(
-                "score", F.col("seeds") + F.coalesce("more", F.lit(0.0))
-            )
-        confident = scored.withColumn("confidence", F.col("score") / F.col("instances")).where(
-            F.col("confidence") >= options.confidence
+    count, score = F.count(F.lit(1)).alias("positives"), F.sum("score").alias("score")
+    seeds = edges.where("kind is not null").withColumn("score", F.lit(1.0)).groupBy("pattern", "kind").agg(count, score)
+    seeds = land(spark, seeds, "pii-seeds")
+    found = land(spark, open_edges.limit(0).selectExpr("value", "'' as kind", "1.0d as score"), "pii-instances")
+    while True:
+        more = open_edges.join(found, "value").groupBy("pattern", "kind").agg(count, score)
+        stats = seeds.union(more).groupBy("pattern", "kind").agg(
+            F.sum("positives").alias("positives"), F.sum("score").alias("score")
+        )
+        known = stats.groupBy("pattern").agg(F.sum("positives").alias("known"), F.sum("score").alias("all"))
+        against = F.col("all") + options.unknown * (F.col("instances") - F.col("known"))
+        confident = (
+            stats.where(F.col("positives") >= options.seeds)
+            .join(known, "pattern")
+            .join(sizes, "pattern")
+            .withColumn("confidence", F.round(F.col("score") / against, 6))
+            .where(F.col("confidence") >= options.confidence)
+            .select("pattern", "kind", "confidence")
         )
+        confident = land(spark, confident, "pii-patterns")
         miss = F.sum(F.log(F.lit(1.0001) - F.col("confidence")))
         instances = (
             open_edges.join(confident, "pattern")
@@ -175,11 +193,12 @@ def _discover(spark: SparkSession, edges: DataFrame, options: Bootstrap) -> Data
             .agg(F.max(F.struct("score", "kind")).alias("best"))
             .select("value", "best.kind", "best.score")
             .where(F.col("score") >= options.confidence)
+            .join(found, "value", "left_anti")
         )
-        before = 0 if found is None else found.count()
-        found = land(spark, instances, "pii-instances")
-        if found.count() == before:
+        instances = land(spark, instances, "pii-instances")
+        if instances.isEmpty():
             break
+        found = land(spark, found.union(instances), "pii-instances")
     return found.select("value", F.concat("kind", F.lit("_context")).alias("kind"))
 
 

@@ -267,6 +267,25 @@ def test_contexts_discover_unseen_identifiers(spark, odd, none):
     assert pii_patterns.find_pii(spark, none).count() == 0
 
 
+def test_discovery_goes_on_from_what_it_found(spark):
+    """Contexts of found instances only, step after step; seeds among many unmatched numbers."""
+    rows = [f"so please dial +1 555 010 {1000 + i} today" for i in range(40)]
+    chain = [[f"A{i}-{step}0000" for i in range(6 if step else 24)] for step in range(7)]
+    rows += [f"so please dial {value} today" for value in chain[0]]
+    for step in range(6):  # each context holds what was found so far and six more, and no seed
+        name = "abcdef"[step]
+        rows += [f"then step{name} reach {value} soon{name}" for values in chain[: step + 2] for value in values]
+    rows += [f"our fax line +1 555 020 {1000 + i} here" for i in range(20)] + [f"our fax line B-7000{i} here" for i in range(6)]
+    rows += [f"seen page number +1 555 030 {1000 + i} there" for i in range(10)]
+    rows += [f"seen page number C-{7000 + i} there" for i in range(60)]
+    docs = spark.createDataFrame([(i, text, "", "", 0) for i, text in enumerate(rows)], SCHEMA)
+    found = {}
+    for r in pii_patterns.find_pii(spark, docs).collect():
+        for s in r.found:
+            found.setdefault(s.kind, set()).add(rows[r.doc_id][s.start : s.end])
+    assert found["phone_context"] == {value for values in chain for value in values} | {f"B-7000{i}" for i in range(6)}
+
+
 def test_mask(spark):
     docs = spark.createDataFrame(
         [(1, "é to a@b.co, 10.0.0.1!", "", "", 0), (2, None, "", "", 0), (3, "none", "", "", 0)], SCHEMA
