@@ -7,7 +7,9 @@ quoted values with any characters) is priced: dynamic programming over its
 characters finds the cheapest segmentation into common words, dates, repeats,
 keyboard walks and brute-force spans. The price is the decimal logarithm of the
 guesses an attacker needs who knows these habits; values at or above the limit
-are secrets of kind ``guess`` unless a fixed shape covers them already.
+are secrets of kind ``guess`` unless a fixed shape covers the whole value already;
+one that covers a part of it stays beside it. A scheme such as ``Bearer`` before
+the value is no part of it, and neither is the next parameter of a query string.
 
 A brute-force span grows one character at a time and the other segments have a
 bounded length, so pricing is linear in the value. Texts are scanned whole, one
@@ -37,11 +39,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CREDENTIAL = re.compile(
     r"""(?ai:(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key
-    |auth(?:orization|[_-]?token)?|bearer|credentials?|client[_-]?secret)(?![a-z]))
+    |auth(?:orization|[_-]?token)?|bearer|credentials?|client[_-]?secret
+    |(?:secret(?:[_-]?access)?|signing|encryption|master|account|storage|shared)[_-]?key)(?![a-z]))
     ["']?\x20{0,8}(?:[:=]|\x20(?ai:is)\x20|\x20(?=["']))\x20{0,8}
-    (?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"']{6,}))""",
+    (?:"([^"\n]{6,})"|'([^'\n]{6,})'
+    |((?:(?ai:bearer|basic|token)\x20{1,8})?(?:[^\s"'&]|&(?![A-Za-z_][A-Za-z0-9_]*=)){6,}))""",
     re.VERBOSE,
 )
+#: Stands between a credential's name and its value.
+_SCHEME = re.compile(r"(?ai:bearer|basic|token)(?:\x20+|$)")
 #: Trailing punctuation of an unquoted value belongs to the sentence.
 _TAIL = ".,;:!?)]}>"
 
@@ -164,14 +170,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def credential_values(text: str) -> Iterator[tuple[int, int]]:
     """Spans of the values in credential contexts."""
     for m in _CREDENTIAL.finditer(text):
-        if m.start(3) < 0:
-            yield m.span(1 if m.start(1) >= 0 else 2)
-        else:
-            start, end = m.span(3)
+        start, end = m.span(m.lastindex)
+        if scheme := _SCHEME.match(text[start:end]):
+            start += scheme.end()
+        if m.lastindex == 3:
             while end > start and text[end - 1] in _TAIL:
                 end -= 1
-            if end - start >= 6:
-                yield start, end
+        if end - start >= 6:
+            yield start, end
 
 
 def secret_spans(text: str, price: GuessCost, limit: float) -> tuple[list, list]:
@@ -179,7 +185,7 @@ def secret_spans(text: str, price: GuessCost, limit: float) -> tuple[list, list]
     base = base_spans(text)
     more = []
     for start, end in credential_values(text):
-        if not any(a < end and start < b for a, _, b in base) and price(text[start:end]) >= limit:
+        if not any(a <= start and end <= b for a, _, b in base) and price(text[start:end]) >= limit:
             more.append((start, 3, end))
     return base, sorted(base + more) if more else base
 
