@@ -2,8 +2,12 @@
 
 Emails, IP addresses, card and phone numbers are matched directly. Each match is
 a seed: the two words before it, and the words on both sides, are candidate
-patterns of its kind. Other tokens with a digit in the same contexts are
-instances without a kind. Patterns and instances form a bipartite graph, kept as
+patterns of its kind. Other identifiers in the same contexts are instances
+without a kind: tokens with a digit, tokens with a mark between letters
+(``john.doe[at]example``, ``@handle``), and groups of digits joined over spaces
+and brackets (``(555) 123-4567``) up to the digits that a card number has. Plain
+words are none, since only the context would tell them from running text. Of
+found spans inside each other the longest stays. Patterns and instances form a bipartite graph, kept as
 edges with no text in it. Spark scores it in rounds. Seeds and the instances
 found so far are the positives of a kind, by their score; the confidence of a
 pattern is their sum over the sum of all its positives, of any kind, and a part
@@ -29,7 +33,7 @@ from functools import partial
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.scratch import land
@@ -43,8 +47,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-# A token with a digit; it starts after white space only, so that a long token is read once.
-_TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*")
+# A token with a digit, or a mark next to a letter; it starts after white space only, so that a long token is read once.
+_TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@_+/\\#:=*~.()\[\]{}<>-]*+[^\x20\x09-\x0D]+")
+_MARKED = re.compile(r"[0-9]|[^\W\d_][@_+/\\#:=*~.()\[\]{}<>-]+[^\W\d_]|^[@#][^\W\d_]")
+# Tokens of digits and what stands between them, on one line.
+_GROUP = r"[+(]*[0-9][0-9().-]*+"
+_GROUPS = re.compile(rf"(?<![^\x20\x09-\x0D]){_GROUP}(?:\x20{{1,2}}{_GROUP})+(?![^\x20\x09-\x0D.,;:!?\"'\]}}>])")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = "\"'`.,;:!?()[]{}<>=“”«»"
 
@@ -100,6 +108,37 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _joined(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of two or more neighbouring groups of digits, of at most as many digits as a card number."""
+    for run in _GROUPS.finditer(text):
+        parts, count = [], 0
+        for m in [*_WORD.finditer(text, run.start(), run.end()), None]:
+            digits = len(_digits(m[0])) if m else 0
+            # A plus starts another number, and so does a bracket after more than a country's and area's digits.
+            if not m or count + digits > 19 or m[0][0] == "+" or count >= 5 and m[0][0] == "(":
+                if len(parts) > 1:
+                    end = parts[-1][1]
+                    tail = text[parts[0][0] : end]
+                    tail = tail.rstrip("." if tail.count("(") >= tail.count(")") else ".)")
+                    yield parts[0][0], parts[0][0] + len(tail)
+                parts, count = [], 0
+            if m:
+                parts.append(m.span())
+                count += digits
+
+
+def _candidates(text: str, least: int) -> Iterator[tuple[int, int]]:
+    """Spans of at least ``least`` characters that may be identifiers."""
+    for m in _TOKEN.finditer(text):
+        token = m[0].strip(_EDGE)
+        if len(token) >= least and _MARKED.search(token):
+            start = m.start() + len(m[0]) - len(m[0].lstrip(_EDGE))
+            yield start, start + len(token)
+    for start, end in _joined(text):
+        if end - start >= least:
+            yield start, end
+
+
 def _hash(value: str) -> int:
     return xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -135,13 +174,10 @@ def _scan(options: Bootstrap, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
                 if patterns := _context(text, start, end, options.reach):
                     found.append((start, end, _hash(text[start:end]), KINDS[kind], patterns))
             covered, k = sorted((a, b) for a, _, b in own), 0
-            for m in _TOKEN.finditer(text):
-                token = m[0]
-                start = m.start() + len(token) - len(token.lstrip(_EDGE))
-                end = m.end() - len(token) + len(token.rstrip(_EDGE))
+            for start, end in sorted(_candidates(text, options.length)):
                 while k < len(covered) and covered[k][1] <= start:
                     k += 1
-                if end - start < options.length or k < len(covered) and covered[k][0] < end:
+                if k < len(covered) and covered[k][0] < end:
                     continue
                 if patterns := _context(text, start, end, options.reach):
                     found.append((start, end, _hash(text[start:end]), None, patterns))
@@ -232,8 +268,12 @@ def find_pii(
     scanned = land(spark, scanned.withColumn("row", F.monotonically_increasing_id()), "pii-scan")
     seen = scanned.select("row", F.explode("seen").alias("s")).select("row", "s.*")
     found = _discover(spark, seen.select("kind", "value", F.explode("patterns").alias("pattern")), options)
+    # Candidates overlap only by lying inside each other.
+    outer = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     more = (
         seen.where("kind is null").drop("kind").join(found, "value")
+        .withColumn("reached", F.max("end").over(outer))
+        .where("reached is null or end > reached")
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
     )

@@ -310,6 +310,24 @@ def test_discovery_goes_on_from_what_it_found(spark):
     assert found["phone_context"] == {value for values in chain for value in values} | {f"B-7000{i}" for i in range(6)}
 
 
+def test_contexts_discover_identifiers_of_several_words_or_without_digits(spark):
+    rows = [f"so please dial +1 555 010 {1000 + i} today" for i in range(20)]
+    rows += [f"and write to name{'abcdefghijklmnopqrst'[i]}@mail.example instead" for i in range(20)]
+    planted = [
+        ("so please dial (555) 123-4567 today", "(555) 123-4567", "phone_context"),
+        ("so please dial 555 987 6543 now", "555 987 6543", "phone_context"),
+        ("so please dial (555) 987-1111.", "(555) 987-1111", "phone_context"),
+        ("and write to john.doe[at]example instead", "john.doe[at]example", "email_context"),
+        ("and write to @someone, instead", "@someone", "email_context"),
+        ("and write to nobody instead", None, None),
+        ("in well-known books of 1998 2004", None, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate([*rows, *(p[0] for p in planted)])], SCHEMA)
+    by_id = {r.doc_id: r.found for r in pii_patterns.find_pii(spark, docs).collect()}
+    for i, (text, value, kind) in enumerate(planted, len(rows)):
+        assert [(text[s.start : s.end], s.kind) for s in by_id[i]] == ([(value, kind)] if value else [])
+
+
 def test_mask(spark):
     docs = spark.createDataFrame(
         [(1, "é to a@b.co, 10.0.0.1!", "", "", 0), (2, None, "", "", 0), (3, "none", "", "", 0)], SCHEMA
