@@ -288,17 +288,17 @@ def _pairs(like: Likeness, closest: bool, rows: pa.Table) -> Iterator[pa.RecordB
 
 
 def _across(like: Likeness, closest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """:func:`_pairs` of rows that come sorted by group."""
+    """:func:`_pairs` of rows that come sorted by group; beyond a batch, only rows of one group are held."""
     rest: list[pa.RecordBatch] = []
     for batch in batches:
-        sign = batch["sign"].to_numpy()
-        if not len(sign):
+        if not batch.num_rows:
             continue
-        if rest and rest[-1]["sign"][-1].as_py() != sign[0]:
+        group = np.stack([batch[c].to_numpy() for c in ("sign", "low", "high")])
+        if rest and [rest[-1][c][-1].as_py() for c in ("sign", "low", "high")] != group[:, 0].tolist():
             yield from _pairs(like, closest, pa.Table.from_batches(rest))
             rest = []
         # The last group of a batch may go on in the next one.
-        other = np.flatnonzero(sign != sign[-1])
+        other = np.flatnonzero((group != group[:, -1:]).any(axis=0))
         if len(other):
             last = int(other[-1]) + 1
             yield from _pairs(like, closest, pa.Table.from_batches([*rest, batch.slice(0, last)]))

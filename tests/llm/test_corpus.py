@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +148,27 @@ def test_jaccard_edges(spark):
     assert partenum.keep_one(spark, docs.limit(0)).count() == 0
 
 
+def test_pairs_hold_one_group_beyond_a_batch(monkeypatch):
+    groups = [(sign, low, high) for sign in (3, 8) for low in range(4) for high in range(low, 4)]
+    names = ("sign", "low", "high", "block", "id", "label", "n_shingles", "sketch")
+    rows = [
+        (*group, group[1 + i % 2], 100 * group[1 + i % 2] + i, 100 * group[1 + i % 2] + i, 40, bytes([i % 3] * 64))
+        for group in groups
+        for i in range(10)
+    ]
+    table = pa.table({name: list(column) for name, column in zip(names, zip(*rows, strict=True), strict=True)})
+    whole = partenum._pairs
+    found = lambda out: {pair for b in out for pair in zip(b["a"].to_pylist(), b["b"].to_pylist(), strict=True)}
+    expected = found(whole(partenum.Likeness(), False, table))
+    held = []
+    monkeypatch.setattr(partenum, "_pairs", lambda like, closest, rows: held.append(len(rows)) or whole(like, closest, rows))
+    for size in (1, 7, 10, 25):
+        held.clear()
+        out = partenum._across(partenum.Likeness(), False, iter(table.to_batches(max_chunksize=size)))
+        assert found(out) == expected and expected
+        assert sum(held) == len(rows) and max(held) <= 10 + size
+
+
 @pytest.mark.parametrize("percent", [80, 85, 90])
 def test_similar_sets_share_a_signature(percent):
     chance = np.random.default_rng(percent)
