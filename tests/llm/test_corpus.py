@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from tallyhouse.llm import cross_polytope, line_rules, partenum, quotations, war
 from tallyhouse.llm.components import components
 from tallyhouse.llm.queries import ORACLES, QUERIES
 from tests.conftest import SMALL
+from tests.llm.test_texts import _brute_pii, _packed_right
 
 SCHEMA = "doc_id long, text string, source string, kept string, id string"
 
@@ -364,6 +366,72 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
 
 
+def _ruled(rows):
+    """Id and remaining text of the (id, text, host) that the rules stage keeps, under its own limits."""
+    normal = lambda line: " ".join(line.lower().split())
+    bodies = {}
+    for _, text, host in rows:
+        bodies.setdefault(host, set()).add(tuple(normal(line) for line in text.split("\n") if line.split()))
+    frequent = set()
+    for host, own in bodies.items():
+        holders = Counter(line for body in own for line in set(body))
+        frequent |= {(host, line) for line, n in holders.items() if n > 100 and n * 100 > len(own)}
+    kept = {}
+    for i, text, host in rows:
+        words = text.split()
+        grams = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+        times = Counter(grams)
+        inside = {k + d for k, gram in enumerate(grams) if times[gram] > 1 for d in range(3)}
+        lines = text.split("\n")
+        gone = sum(len(line.split()) for line in lines if (host, normal(line)) in frequent)
+        if len(words) >= 50 and 2 * len(inside) <= len(words) and (len(words) - gone) * 100 >= 30 * len(words):
+            kept[i] = "\n".join(line for line in lines if (host, normal(line)) not in frequent)
+    return kept, frequent
+
+
+def _masked(text, spans):
+    out, at = "", 0
+    for start, kind, end in spans:
+        if start >= at:
+            out += f"{text[at:start]}<{kind.upper()}>"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_pipeline_stages_equal_plain_python(spark):
+    chance = random.Random(9)
+    own = lambda n: " ".join(f"w{chance.randrange(10**6)}" for _ in range(n))
+    footer, notice = "Shared  FOOTER of hot", " ".join(f"notice{i}" for i in range(70))
+    texts = [f"{own(60)}\n\n{footer if i % 2 else footer.lower()}" for i in range(130)]
+    texts += [f"{notice}\n{own(n)}" for n in range(5, 115)]  # depleted below 30 words of their own
+    texts += [own(49), f"{own(9)} " * 8, own(3000)] + [f"{own(55)} {i}\nonly in copies" for i in (1,)] * 120
+    rows = [(i, text, "hot") for i, text in enumerate(texts)]
+    rows += [(1000 + i, f"{own(60)}\n{footer}", "cold") for i in range(40)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = lambda rows: spark.createDataFrame([(i, t, "en", h, len(t)) for i, t, h in rows], schema)
+    expected, frequent = _ruled(rows)
+    assert frequent == {("hot", "shared footer of hot"), ("hot", notice)}
+    assert 0 < sum(i not in expected for i in range(130, 240)) < 110 and not {240, 241} & expected.keys()
+    ruled = corpus_pipeline.rules(spark, table(rows), SMALL)
+    assert {r.doc_id: r.text for r in ruled.collect()} == expected
+
+    unmatched = "(555) 123-4567"
+    texts = [f"{own(9)} so please dial +1 555 010 {1000 + i} today" for i in range(20)]
+    texts += [f"mail a.b{i}@mail.example from 10.0.0.{i * 10} or 4111 1111 1111 1111 é {own(20)}" for i in range(20)]
+    texts += [f"so please dial {unmatched} today", "in 1999 nothing", own(3000)]
+    expected = {}
+    for i, text in enumerate(texts):
+        spans = [(start, ("email", "ip", "card", "phone")[place], end) for start, place, end in _brute_pii(text)]
+        at = text.find(unmatched)
+        expected[i] = _masked(text, spans if at < 0 else [*spans, (at, "phone_context", at + len(unmatched))])
+    assert {f"<{k}>" for k in ("EMAIL", "IP", "CARD", "PHONE", "PHONE_CONTEXT")} <= set(" ".join(expected.values()).split())
+    clean = corpus_pipeline.personal_data(spark, table([(i, t, "hot") for i, t in enumerate(texts)]), SMALL)
+    clean = spark.createDataFrame(clean.collect(), schema)
+    assert {r.doc_id: r.text for r in clean.collect()} == expected
+
+    _packed_right(corpus_pipeline.pack(spark, clean, SMALL).collect(), expected)
+
+
 def test_pipeline_on_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string"
     rows = [(None, None, None, None, None, "x", "y"), (1, "", "en", "s", 0, None, None), (1, "word " * 200, "en", "s", 1000, None, None)]
