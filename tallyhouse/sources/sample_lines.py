@@ -104,6 +104,7 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
 def write_sample_workbook(lines: DataFrame, path: str) -> None:
     """The lines of :func:`retail_lines` as CSV sheets with dotted names.
 
+    A sheet is a folder with a file from every task that has rows of it.
     Some values are written in other ways or cannot be read, descriptions have
     line breaks, and the sheets of even years lack the country.
     """
@@ -122,4 +123,4 @@ def write_sample_workbook(lines: DataFrame, path: str) -> None:
     options = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
     for part, mode in ((sheets.where("even").drop("Country"), "overwrite"), (sheets.where("not even"), "append")):
-        part.drop("even").repartition(SHEET).write.mode(mode).partitionBy(SHEET).options(**options).csv(path)
+        part.drop("even").write.mode(mode).partitionBy(SHEET).options(**options).csv(path)

@@ -10,6 +10,7 @@ from tallyhouse.operators.cleaning import clean_transactions, deduplicate, stand
 from tallyhouse.plans.catalog import Workspace
 from tallyhouse.session import scratch, shuffle_partitions_for, sized_for, source_bytes
 from tallyhouse.sinks.tables import write_clean, write_landing
+from tallyhouse.sources.sample_lines import write_sample_workbook
 from tallyhouse.sources.sheets import discover_sheets, scan_landing, scan_sheets, scan_workbook
 from tallyhouse.sources.tables import read_clean, read_table
 from tests.test_cleaning import raw_row
@@ -67,6 +68,27 @@ def test_numbers_in_other_shapes(spark, tmp_path):
     assert {r.invoice_id: r.quantity for r in rows} == {"1": None, "2": 6}
 
 
+def test_sample_sheets_are_written_and_read_in_many_tasks(spark, tmp_path):
+    rows = [
+        (str(i), "A", "d", 1 + i % 30, datetime(2010 + i % 2, 1, 1 + i % 28), Decimal("1.5"), 7.0, "F", "s") for i in range(400)
+    ]
+    lines = spark.createDataFrame(
+        rows,
+        "Invoice string, StockCode string, Description string, Quantity int, InvoiceDate timestamp, "
+        "Price decimal(18,4), `Customer ID` double, Country string, source_sheet string",
+    ).repartition(8)
+    book = str(tmp_path / "book")
+    write_sample_workbook(lines, book)
+    assert set(discover_sheets(spark, book)) == {"lines.v1.2010", "lines.v1.2011"}
+    for sheet in (tmp_path / "book").glob("source_sheet=*"):
+        assert len(list(sheet.glob("part-*.csv"))) > 1
+    raw = scan_workbook(spark, book, "csv").collect()
+    assert sorted(int(r.Invoice) for r in raw) == list(range(400))
+    assert all(r.source_sheet == f"lines.v1.{2010 + int(r.Invoice) % 2}" for r in raw)
+    assert all((r.Country is None) == (int(r.Invoice) % 2 == 0) for r in raw)
+    assert all(r.Description == ('d\n"new"' if (1 + int(r.Invoice) % 30) % 3 == 0 else "d") for r in raw)
+
+
 def test_line_breaks_inside_quotes(spark, tmp_path):
     (tmp_path / "s.csv").write_text(HEADER + '1,A,"two\nlines",1,2010-01-01,1,1,F\n')
     rows = scan_workbook(spark, str(tmp_path), "csv").collect()
