@@ -18,6 +18,7 @@ from tallyhouse.llm import (
     pii_patterns,
     quality_classifier,
     quotations,
+    toxicity,
     warc,
 )
 from tallyhouse.llm.oracles import ORACLES
@@ -102,6 +103,17 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    weights = toxicity.train(spark, docs, _table(spark, folder, "labels"))
+    return toxicity.score(spark, docs, weights).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -115,5 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii_patterns,
         op9_partenum,
         op10_warc,
+        op13_toxicity,
     )
 }
