@@ -119,5 +119,35 @@ SELECT page_id, size::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
        CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN revisit THEN newest END AS refers_to
 FROM r
+""",
+    "op12_term_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), totals AS (
+  SELECT count(*)::BIGINT AS documents, sum(len(terms))::BIGINT AS all_terms FROM d WHERE len(terms) > 0
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), counted AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighted AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, totals GROUP BY term, documents
+), lengths AS (
+  SELECT r, doc_id, 50 + (50 * len(terms) * documents) // all_terms AS m FROM d, totals WHERE len(terms) > 0
+), scores AS (
+  SELECT a.item_id, l.doc_id, l.r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked a JOIN weighted USING (term) JOIN counted USING (term) JOIN lengths l USING (r)
+  GROUP BY a.item_id, l.doc_id, l.r
+)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
 """,
 }

@@ -18,6 +18,7 @@ from tallyhouse.llm import (
     pii_patterns,
     quality_classifier,
     quotations,
+    term_search,
     toxicity,
     warc,
 )
@@ -103,6 +104,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_term_search(spark: SparkSession, folder: str) -> DataFrame:
+    return term_search.search(spark, _table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     weights = toxicity.train(spark, docs, _table(spark, folder, "labels"))
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii_patterns,
         op9_partenum,
         op10_warc,
+        op12_term_search,
         op13_toxicity,
     )
 }
