@@ -1,5 +1,89 @@
 """The queries that SQL can express, for DuckDB, over whole tables."""
 
+
+def _repair_sql() -> str:
+    """Least (cost, audit, text) per state, one row at a time from the last; the states are the columns s, h, u, a."""
+
+    def edit(state: str, cost: str, letter: str, line: str | None = None) -> str:
+        text = f"{state}.text" if line is None else f"{line} || if({state}.text = '', '', chr(10) || {state}.text)"
+        return f"{{'cost': {state}.cost + {cost}, 'audit': '{letter}' || {state}.audit, 'text': {text}}}"
+
+    def least(*options: str) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    user, assistant, own = "'user:' || r.text", "'assistant:' || r.text", "r.role || ':' || r.text"
+    to_user = (edit("p.u", "r.kept + if(r.initial = 'u', 0, 99999)", "K", own), edit("p.u", "r.kept + 3", "R", user))
+    to_assistant = (edit("p.a", "r.kept + if(r.initial = 'a', 0, 99999)", "K", own), edit("p.a", "r.kept + 3", "R", assistant))
+    system = edit("p.h", "r.kept + if(r.initial = 's', 0, 99999)", "K", own)
+    steps = {
+        "s": least(edit("p.s", "4", "D"), *to_user, system),
+        "h": least(edit("p.h", "4", "D"), *to_user),
+        "u": least(edit("p.u", "4", "D"), *to_assistant),
+        "a": least(edit("p.a", "4", "D"), *to_user),
+    }
+    taken = ", ".join(f"{sql} AS {state}" for state, sql in steps.items())
+    add_user, add_assistant = edit("u", "3", "I", "'user:'"), edit("a", "3", "I", "'assistant:'")
+    return f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+    if(c % 2 = 1, xor(c // 2, 3988292384), c // 2))) AS entries
+), keyed AS (
+  SELECT *, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                           lambda c: ascii(c)::BIGINT) AS bytes
+  FROM conversations
+), drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b:
+           xor(c // 256, entries[(xor(c, b) % 256) + 1])), 4294967295) % 20 AS chance
+  FROM keyed, crc_table
+), damaged AS (
+  SELECT conv_id, turn, if(chance = 4, 'user', role) AS role,
+         CASE chance WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(if(chance = 3, [1, 2], [1])) AS copy
+  FROM drawn WHERE chance <> 0
+), ordered AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i
+  FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+  FROM ordered
+), r AS (
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 99999 WHEN fault = 'truncated' THEN 3 ELSE 0 END AS kept FROM judged
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), best AS (
+  SELECT conv_id, n + 1 AS i, {{'cost': 0::BIGINT, 'audit': '', 'text': ''}} AS s,
+         {{'cost': 6::BIGINT, 'audit': 'II', 'text': 'user:' || chr(10) || 'assistant:'}} AS h,
+         {{'cost': 3::BIGINT, 'audit': 'I', 'text': 'assistant:'}} AS u,
+         {{'cost': 0::BIGINT, 'audit': '', 'text': ''}} AS a
+  FROM counts
+  UNION ALL
+  SELECT conv_id, i, {least("s", add_user)}, {least("h", add_user)}, u, a
+  FROM (
+    SELECT conv_id, i, s, h, {least("u", add_assistant)} AS u, {least("a", add_user)} AS a
+    FROM (
+      SELECT p.conv_id, r.i, {taken}
+      FROM best p JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i - 1
+    )
+  )
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(s.cost, 0)::BIGINT AS cost,
+       coalesce(s.audit, '') AS audit, sha256(coalesce(s.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id AND b.i = 1
+"""
+
 ORACLES = {
     "op6_quotations": r"""
 WITH RECURSIVE m AS (
@@ -120,6 +204,7 @@ SELECT page_id, size::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
        CASE WHEN revisit THEN newest END AS refers_to
 FROM r
 """,
+    "op11_turn_repair": _repair_sql(),
     "op12_term_search": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,

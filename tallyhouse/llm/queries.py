@@ -20,6 +20,7 @@ from tallyhouse.llm import (
     quotations,
     term_search,
     toxicity,
+    turn_repair,
     warc,
 )
 from tallyhouse.llm.oracles import ORACLES
@@ -104,6 +105,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_damaged(spark, _table(spark, folder, "conversations"))
+
+
 def op12_term_search(spark: SparkSession, folder: str) -> DataFrame:
     return term_search.search(spark, _table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -132,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii_patterns,
         op9_partenum,
         op10_warc,
+        op11_turn_repair,
         op12_term_search,
         op13_toxicity,
     )
