@@ -474,6 +474,17 @@ ORACLES: dict[str, str] = {
           CAST("Price" AS DOUBLE) AS unit_price, CAST(CAST("Customer ID" AS BIGINT) AS VARCHAR) AS customer_id,
           {_tidy("country")} AS country, sheet AS source_sheet FROM entries""",
     ),
+    "rejected_values": _with(
+        (_RAW, _WORKBOOK),
+        """SELECT sheet AS source_sheet, nullif("Invoice", '') AS invoice, column_name, raw_text, reason FROM (
+          SELECT sheet, "Invoice", 'Quantity' AS column_name,
+            CASE WHEN written = 'many' THEN 'many' ELSE written || '.5' END AS raw_text,
+            CASE WHEN written = 'many' THEN 'no number' ELSE 'not a whole number in range' END AS reason
+          FROM pages WHERE odd AND "Quantity" IS NOT NULL
+          UNION ALL
+          SELECT sheet, "Invoice", 'InvoiceDate', 'soon', 'no timestamp' FROM pages WHERE "Quantity" = 17
+        )""",
+    ),
     "raw_transactions": _with((_RAW,), f"SELECT {_RAW_COLUMNS} FROM raw"),
     "column_profile": _with((_RAW,), _PROFILE),
     "data_quality_summary": _with((_RAW,), _metrics("raw", _QUALITY, "VARCHAR")),

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from tallyhouse.plans import jobs
 from tallyhouse.session import source_bytes
-from tallyhouse.sources.sheets import scan_workbook
+from tallyhouse.sources.sheets import open_workbook
 
 
 def main() -> None:
@@ -22,7 +22,7 @@ def main() -> None:
     parser.add_argument("--format", default="parquet", help="format of the sheets")
     parser.add_argument("--timestamp-format", help="pattern of InvoiceDate in text sheets")
     parser.add_argument(
-        "--plain-lines", action="store_true", help="no line breaks inside quotes: CSV files are read in splits"
+        "--plain-lines", action="store_true", help="no line breaks inside quotes: quotes of CSV lines are not followed"
     )
     options = parser.parse_args()
 
@@ -36,14 +36,15 @@ def main() -> None:
         if not options.sheets:
             parser.error("clean needs --sheets")
         splits = {"multiLine": "false"} if options.plain_lines and options.format == "csv" else {}
-        raw = scan_workbook(spark, options.sheets, options.format, **splits)
+        book = open_workbook(spark, options.sheets, options.format, **splits)
         jobs.ingest_and_clean(
             spark,
-            raw,
+            book.lines,
             options.output,
             source_bytes(spark, options.sheets),
             land=True,
             timestamp_format=options.timestamp_format,
+            malformed=book.malformed,
         )
     elif options.job == "warehouse":
         jobs.build_warehouse(spark, options.output)

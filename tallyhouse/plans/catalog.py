@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.functions.reports import money_as_double
-from tallyhouse.operators import cleaning, quality
+from tallyhouse.operators import cleaning, quality, rejects
 from tallyhouse.plans import business, rfm, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.views import Star, open_star
@@ -104,6 +104,7 @@ def workspace(spark: SparkSession, folder: str) -> Workspace:
 _PLANS: dict[str, Callable[[Workspace], DataFrame]] = {
     # raw lines
     "workbook_scan": lambda w: cleaning.standardise(cleaning.deduplicate(w.workbook)),
+    "rejected_values": lambda w: rejects.lost_values(w.workbook),
     "raw_transactions": lambda w: w.raw,
     "column_profile": lambda w: quality.column_profile(w.raw),
     "data_quality_summary": lambda w: quality.data_quality_summary(w.raw),

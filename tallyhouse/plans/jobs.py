@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import cleaning, quality
+from tallyhouse.operators import cleaning, quality, rejects
 from tallyhouse.plans import business, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.rfm import rfm_customers, rfm_segment_summary
@@ -28,10 +28,11 @@ def ingest_and_clean(
     num_bytes: int,
     land: bool = False,
     timestamp_format: str | None = None,
+    malformed: DataFrame | None = None,
 ) -> None:
-    """Clean table, exceptions, and the three reports on raw and clean lines.
+    """Clean table, exceptions, rejects, and the reports on raw and clean lines.
 
-    ``land`` first stores the lines in columns. Worth it for text sources: the
+    Rejects are the values that cleaning lost and, if given, the ``malformed`` lines of the source. ``land`` first stores the lines in columns. Worth it for text sources: the
     reports look at single columns, and parsing every line for each would cost
     far more than the copy.
     """
@@ -41,6 +42,11 @@ def ingest_and_clean(
             raw = scan_landing(spark, f"{output}/landing", raw.schema)
         write_clean(raw, f"{output}/clean_transactions", timestamp_format)
         clean = read_clean(spark, f"{output}/clean_transactions")
+        with scratch(spark, "rejects") as path:
+            rejects.rejects(raw, malformed, timestamp_format).write.parquet(path)
+            found = spark.read.parquet(path)
+            write_csv(found, f"{output}/data_rejects")
+            write_csv(rejects.reject_summary(found), f"{output}/reports/reject_summary")
         write_csv(cleaning.exceptions(clean), f"{output}/data_exceptions")
         write_csv(cleaning.cleaning_summary(raw, clean), f"{output}/reports/cleaning_summary")
         write_csv(quality.column_profile(raw), f"{output}/reports/column_profile")

@@ -8,6 +8,8 @@ a line looks like.
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,9 +106,11 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
 def write_sample_workbook(lines: DataFrame, path: str) -> None:
     """The lines of :func:`retail_lines` as CSV sheets with dotted names.
 
-    A sheet is a folder with a file from every task that has rows of it.
+    A sheet is a folder with files from every task that has rows of it.
     Some values are written in other ways or cannot be read, descriptions have
-    line breaks, and the sheets of even years lack the country.
+    line breaks, the sheets of even years lack the country, every fifth quantity is in
+    files with the columns the other way round, and lines without a description
+    are in files without that column.
     """
     quantity, moment = F.col("Quantity"), F.col("InvoiceDate")
     text = quantity.cast("string")
@@ -119,8 +123,16 @@ def write_sample_workbook(lines: DataFrame, path: str) -> None:
         "Description": F.when(quantity % 3 == 0, F.concat("Description", F.lit('\n"new"'))).otherwise(F.col("Description")),
         SHEET: F.concat(F.lit("lines.v1."), F.coalesce(F.year(moment).cast("string"), F.lit("none"))),
         "even": F.coalesce(F.year(moment) % 2 == 0, F.lit(False)),
+        "turned": F.coalesce(quantity % 5 == 0, F.lit(False)),
+        "bare": F.col("Description").isNull(),
     })
     options = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
-    for part, mode in ((sheets.where("even").drop("Country"), "overwrite"), (sheets.where("not even"), "append")):
-        part.drop("even").write.mode(mode).partitionBy(SHEET).options(**options).csv(path)
+    mode = "overwrite"
+    for even, turned, bare in product((True, False), repeat=3):
+        lacking = {"Country": even, "Description": bare}
+        names = [name for name in RAW.names if not lacking.get(name) and name != SHEET]
+        part = sheets.where((F.col("even") == even) & (F.col("turned") == turned) & (F.col("bare") == bare))
+        part = part.select(*[f"`{name}`" for name in (names[::-1] if turned else names)], SHEET)
+        part.write.mode(mode).partitionBy(SHEET).options(**options).csv(path)
+        mode = "append"

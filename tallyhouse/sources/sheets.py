@@ -3,12 +3,17 @@
 Values stay as they were read: text from text formats, the stored types from
 columnar ones. Types are settled after exact copies are gone, so two lines that
 differ in any digit stay two lines, and the reports see what the source holds.
+
+Every file is read by its own columns. CSV files are grouped by their headers
+(:mod:`tallyhouse.sources.quoted_csv`), files of other formats by their stored names;
+files of one sheet may hold the columns in any order and lack some.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping
+from dataclasses import dataclass
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
@@ -19,6 +24,7 @@ from pyspark.sql import types as T
 from tallyhouse.constants import SHEET
 from tallyhouse.schemas import RAW
 from tallyhouse.session import qualified
+from tallyhouse.sources import quoted_csv
 from tallyhouse.sources.errors import missing_as_file_error
 
 _PARTITION = f"{SHEET}="
@@ -64,10 +70,10 @@ def discover_sheets(spark: SparkSession, root: str) -> dict[str, str]:
     return dict(sorted(sheets.items()))
 
 
-def _sheet_name(root: str) -> Column:
-    """The name :func:`discover_sheets` gives to the sheet a row was read from."""
+def _sheet_name(path: Column, root: str) -> Column:
+    """The name :func:`discover_sheets` gives to the sheet of the file at ``path``."""
     # Paths in the metadata are URL-encoded, but for the plus sign.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     below = _below(path, root)
     entry = F.substring_index(below, "/", 1)
     value = F.replace(F.substring(entry, len(_PARTITION) + 1, 1 << 30), F.lit("+"), F.lit("%2B"))
@@ -78,6 +84,14 @@ def _sheet_name(root: str) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class Workbook:
+    """The lines of some sheets, and the text of those with too few or too many fields, which stay lines as well."""
+
+    lines: DataFrame
+    malformed: DataFrame
+
+
 def _as_raw(sheet: DataFrame, name: Column) -> DataFrame:
     """The raw columns a sheet has, by name: names and codes as text, the rest as read."""
     columns = []
@@ -90,12 +104,37 @@ def _as_raw(sheet: DataFrame, name: Column) -> DataFrame:
 
 
 def _options(file_format: str, options: Mapping[str, str]) -> dict[str, str]:
-    """CSV may have quoted line breaks, which makes a file one split; a source
-    without them is read in splits with ``multiLine="false"``."""
+    """CSV may have quoted line breaks; ``multiLine="false"`` says that every line is a record."""
     defaults = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
     return {**(defaults if file_format == "csv" else {}), **options}
 
 
+def _by_header(file_format: str, options: Mapping[str, str]) -> bool:
+    """Whether the CSV reader of this package knows all the options; Spark's own reads anything else."""
+    known = options.keys() <= quoted_csv.OPTIONS and str(options.get("header")).lower() == "true"
+    return file_format == "csv" and known and bool(options["quote"]) and bool(options["escape"])
+
+
+def _malformed(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], f"{SHEET} string, raw_text string")
+
+
+def _open_csv(spark: SparkSession, paths: list[str], sheet: Column, options: Mapping[str, str]) -> Workbook:
+    """Every file by its own header; the first of two columns of one name counts."""
+    scans, malformed = [], _malformed(spark)
+    for names, rows in quoted_csv.read_records(spark, paths, sheet, options).parsed():
+        columns = [
+            F.col(f"fields.c{names.index(field.name)}").alias(field.name)
+            for field in RAW
+            if field.name in names and field.name != SHEET
+        ]
+        scans.append(rows.select(*columns, F.col("sheet").alias(SHEET)))
+        bad = rows.where("fields.malformed IS NOT NULL")
+        malformed = malformed.union(bad.select("sheet", "record"))
+    none = spark.createDataFrame([], T.StructType([T.StructField(name, T.StringType()) for name in RAW.names]))
+    return Workbook(_combine(scans) if scans else none, malformed)
+
+
 def _combine(scans: list[DataFrame]) -> DataFrame:
     """Scans under one another by column name; a column that a scan lacks is null
     there, and one that they store in different types becomes text."""
@@ -113,14 +152,31 @@ def _combine(scans: list[DataFrame]) -> DataFrame:
     return combined
 
 
-def scan_sheet(
+def _reader(spark: SparkSession, file_format: str, options: Mapping[str, str]):
+    """Parquet files of one sheet may differ in columns: the sheet has the columns of all. A header that does not
+    match the columns of the first file of its sheet is an error where Spark's own CSV reader is used."""
+    own = {"parquet": {"mergeSchema": "true"}, "csv": {"enforceSchema": "false"}}.get(file_format, {})
+    return spark.read.format(file_format).options(**(own | dict(options)))
+
+
+def open_sheet(
     spark: SparkSession, path: str, name: str, file_format: str = "parquet", **options: str
-) -> DataFrame:
+) -> Workbook:
     """One sheet, tagged with its name. Text formats are read as text, so ids
     keep leading zeros and letters."""
+    options = _options(file_format, options)
     with missing_as_file_error(path):
-        sheet = spark.read.format(file_format).options(**_options(file_format, options)).load(path)
-    return _as_raw(sheet, F.lit(name))
+        if _by_header(file_format, options):
+            return _open_csv(spark, [path], F.lit(name), options)
+        sheet = _reader(spark, file_format, options).load(path)
+    return Workbook(_as_raw(sheet, F.lit(name)), _malformed(spark))
+
+
+def scan_sheet(
+    spark: SparkSession, path: str, name: str, file_format: str = "parquet", **options: str
+) -> DataFrame:
+    """The lines of :func:`open_sheet`."""
+    return open_sheet(spark, path, name, file_format, **options).lines
 
 
 def scan_sheets(
@@ -132,34 +188,45 @@ def scan_sheets(
     return _combine([scan_sheet(spark, path, name, file_format, **options) for name, path in sheets.items()])
 
 
-def scan_workbook(
+def open_workbook(
     spark: SparkSession, root: str, file_format: str = "parquet", **options: str
-) -> DataFrame:
+) -> Workbook:
     """Every sheet found below ``root``.
 
-    Sheets with the same columns in the same order are one scan that takes the
+    Files with the same columns in the same order are one scan that takes the
     name from the path, so the plan grows with the number of layouts and not
-    with the number of sheets.
+    with the number of files or sheets. Opening CSV writes its records to a scratch
+    folder, which goes with the application.
     """
     paths = list(discover_sheets(spark, root).values())
     if not paths:
         raise FileNotFoundError(f"no sheets in {root}")
     options = _options(file_format, options)
+    inside = _root_path(spark, root)
+    if _by_header(file_format, options):
+        return _open_csv(spark, [root], _sheet_name(F.col("path"), inside), options)
 
     def schema(path: str) -> T.StructType:
-        return spark.read.format(file_format).options(**options).load(path).schema
+        return _reader(spark, file_format, options).load(path).schema
 
     with ThreadPoolExecutor(8) as pool:
         schemas = list(pool.map(schema, paths))
     layouts: dict[str, list[int]] = defaultdict(list)
     for i, found in enumerate(schemas):
         layouts[found.simpleString()].append(i)
-    name = _sheet_name(_root_path(spark, root))
+    name = _sheet_name(F.col("_metadata.file_path"), inside)
     scans = []
     for members in layouts.values():
-        reader = spark.read.format(file_format).options(**options).schema(schemas[members[0]])
+        reader = _reader(spark, file_format, options).schema(schemas[members[0]])
         scans.append(_as_raw(reader.load([paths[i] for i in members]), name))
-    return _combine(scans)
+    return Workbook(_combine(scans), _malformed(spark))
+
+
+def scan_workbook(
+    spark: SparkSession, root: str, file_format: str = "parquet", **options: str
+) -> DataFrame:
+    """The lines of :func:`open_workbook`."""
+    return open_workbook(spark, root, file_format, **options).lines
 
 
 def scan_landing(spark: SparkSession, root: str, schema: T.StructType = RAW) -> DataFrame:

@@ -7,11 +7,13 @@ import pytest
 
 from tallyhouse.schemas import RAW
 from tallyhouse.operators.cleaning import clean_transactions, deduplicate, standardise
+from tallyhouse.operators.rejects import reject_summary, rejects
 from tallyhouse.plans.catalog import Workspace
+from tallyhouse.plans.jobs import ingest_and_clean
 from tallyhouse.session import scratch, shuffle_partitions_for, sized_for, source_bytes
 from tallyhouse.sinks.tables import write_clean, write_landing
 from tallyhouse.sources.sample_lines import write_sample_workbook
-from tallyhouse.sources.sheets import discover_sheets, scan_landing, scan_sheets, scan_workbook
+from tallyhouse.sources.sheets import discover_sheets, open_workbook, scan_landing, scan_sheets, scan_workbook
 from tallyhouse.sources.tables import read_clean, read_table
 from tests.test_cleaning import raw_row
 
@@ -205,3 +207,76 @@ def test_scratch_goes_when_the_work_is_done(spark, tmp_path):
     space.close()
     with pytest.raises(FileNotFoundError):
         scan_landing(spark, f"{space.root}/landing")
+
+
+def test_files_of_one_sheet_with_other_columns(spark, tmp_path):
+    sheet = tmp_path / "book" / "s"
+    sheet.mkdir(parents=True)
+    (sheet / "a.csv").write_text(HEADER + "1,A,x,3,2010-01-01,9.75,7,F\n")
+    (sheet / "b.csv").write_text(HEADER.replace("Quantity,InvoiceDate,Price", "Price,InvoiceDate,Quantity") + "2,A,x,9.75,2010-01-01,3,7,F\n")
+    (sheet / "c.csv").write_text('Country,Quantity,Quantity,Invoice\nF,4,5,"3\n"\n')
+    for rows in (scan_workbook(spark, str(sheet.parent), "csv"), scan_sheets(spark, {"s": str(sheet)}, "csv")):
+        found = {r.Invoice: (r.Quantity, r.Price, r.Description, r.source_sheet) for r in rows.collect()}
+        assert found == {"1": ("3", "9.75", "x", "s"), "2": ("3", "9.75", "x", "s"), "3\n": ("4", None, None, "s")}
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 3
+
+
+def test_plan_grows_with_layouts_not_files(spark, tmp_path):
+    for i in range(24):
+        names = ["Invoice", "Quantity", "Price"][: 2 + i % 2]
+        (tmp_path / "s").mkdir(exist_ok=True)
+        (tmp_path / "s" / f"{i}.csv").write_text(",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+    rows = scan_workbook(spark, str(tmp_path), "csv")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2 and rows.count() == 24
+
+
+def test_columns_of_all_parquet_files_of_a_sheet(spark, tmp_path):
+    spark.createDataFrame([("1", 2)], "Invoice string, Quantity int").coalesce(1).write.parquet(str(tmp_path / "s"))
+    spark.createDataFrame([(3, "2", "F")], "Quantity int, Invoice string, Country string").coalesce(1).write.mode("append").parquet(str(tmp_path / "s"))
+    rows = {r.Invoice: (r.Quantity, r.Country) for r in scan_workbook(spark, str(tmp_path)).collect()}
+    assert rows == {"1": (2, None), "2": (3, "F")}
+
+
+def test_options_that_only_sparks_reader_knows(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "a.csv").write_text("# note\nInvoice,Quantity\n1,3\n")
+    assert [(r.Invoice, r.Quantity) for r in scan_workbook(spark, str(tmp_path), "csv", comment="#").collect()] == [("1", "3")]
+    (tmp_path / "s" / "b.csv").write_text("Quantity,Invoice\n1,3\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        scan_workbook(spark, str(tmp_path), "csv", comment="#").collect()
+
+
+def test_rejects_keep_what_was_lost(spark, tmp_path):
+    values = [("2.5", "2010-01-01", "x", "7"), ("many", "soon", "1e2", "y"), ("6.0", "", "NaN", ""), (" ", "2010-01-01", "1", "8.0")]
+    lines = [f'{i},A,d,{q},{d},{p},{c},F\n' for i, (q, d, p, c) in enumerate(values)]
+    (tmp_path / "s.csv").write_text(HEADER + "".join(lines) + "9,A,d,1\n8,A,d,1,2010-01-01,1,7,F,too many\n")
+    book = open_workbook(spark, str(tmp_path), "csv")
+    found = {tuple(r) for r in rejects(book.lines, book.malformed).collect()}
+    assert found == {
+        ("s", "0", "Quantity", "2.5", "not a whole number in range"),
+        ("s", "0", "Price", "x", "no number"),
+        ("s", "1", "Quantity", "many", "no number"),
+        ("s", "1", "InvoiceDate", "soon", "no timestamp"),
+        ("s", "1", "Customer ID", "y", "no number"),
+        ("s", None, None, "9,A,d,1", "malformed line"),
+        ("s", None, None, "8,A,d,1,2010-01-01,1,7,F,too many", "malformed line"),
+    }
+    assert book.lines.count() == 6
+    summary = {tuple(r) for r in reject_summary(rejects(book.lines, book.malformed)).collect()}
+    assert ("s", None, "malformed line", 2) in summary and len(summary) == 6
+    typed = spark.createDataFrame([("1", 2.5, float("nan"))], "Invoice string, Quantity double, Price double")
+    typed.write.parquet(str(tmp_path / "p" / "t"))
+    book = open_workbook(spark, str(tmp_path / "p"))
+    assert [tuple(r) for r in rejects(book.lines, book.malformed).collect()] == [
+        ("t", "1", "Quantity", "2.5", "not a whole number in range")
+    ]
+
+
+def test_clean_job_writes_rejects(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "s.csv").write_text(HEADER + "1,A,d,many,2010-01-01,1,7,F\n" * 3 + "2,A\n")
+    book = open_workbook(spark, str(tmp_path / "in"), "csv")
+    ingest_and_clean(spark, book.lines, str(tmp_path / "out"), 1, land=True, malformed=book.malformed)
+    rows = spark.read.options(header="true").csv(str(tmp_path / "out" / "reports" / "reject_summary")).collect()
+    assert {(r.column_name, r.reason, r.rejected) for r in rows} == {("Quantity", "no number", "3"), (None, "malformed line", "1")}
+    assert spark.read.options(header="true").csv(str(tmp_path / "out" / "data_rejects")).count() == 4
