@@ -21,6 +21,7 @@ from tallyhouse.functions.numbers import (
 from tallyhouse.functions.reports import gather, long_report
 from tallyhouse.functions.text import is_cancellation, strip, tidy
 from tallyhouse.schemas import CLEAN, MONEY
+from tallyhouse.session import scratch_path
 
 
 def _truth(condition: Column) -> Column:
@@ -28,18 +29,55 @@ def _truth(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def deduplicate(raw: DataFrame) -> DataFrame:
+_HASH = "row_hash"
+
+
+def _hashed(raw: DataFrame) -> DataFrame:
+    """``raw`` with 64 bits of its columns. A hash passes over nulls, so which columns are null is hashed as well."""
+    columns = [F.col(f"`{name}`") for name in raw.columns]
+    nulls = sum(F.when(column.isNull(), 1 << i).otherwise(0) for i, column in enumerate(columns))
+    return raw.withColumn(_HASH, F.xxhash64(nulls, *columns))
+
+
+def repeated_rows(raw: DataFrame, path: str) -> DataFrame | None:
+    """Hashes that occur more than once, written to ``path``; None if they are too many to hand to every task."""
+    spark = raw.sparkSession
+    counted = _hashed(raw).groupBy(_HASH).agg(F.count(F.lit(1)).alias("n"))
+    counted.where("n > 1").select(_HASH).write.mode("overwrite").parquet(path)
+    repeated = spark.read.schema(f"{_HASH} long").parquet(path)
+    size = int(repeated._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return repeated if size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() else None
+
+
+def _split(raw: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that certainly have no copy, and those that may have one."""
+    marked, found = _hashed(raw), F.broadcast(repeated)  # its size was checked
+    alone, copies = (marked.join(found, _HASH, how).drop(_HASH) for how in ("left_anti", "left_semi"))
+    return alone, copies
+
+
+def deduplicate(raw: DataFrame, path: str | None = None) -> DataFrame:
     """Drop exact copies over all columns, the sheet tag included.
 
-    Copies collapse inside each task before the shuffle, so a row that makes
-    up a third of the input travels once per task.
+    Two phases. Hashes of rows are counted first, so only they are shuffled, and
+    those that occur twice are written to ``path``. Then rows whose hash occurs once
+    stay where they are; only the others travel whole, after their copies have
+    collapsed inside each task. Those are compared in full, so two rows that share
+    a hash stay two. If there are more repeated hashes than fit a broadcast, all rows
+    are grouped at once instead.
     """
-    return raw.dropDuplicates()
+    repeated = repeated_rows(raw, path or scratch_path(raw.sparkSession, "repeated-rows"))
+    if repeated is None:
+        return raw.dropDuplicates()
+    alone, copies = _split(raw, repeated)
+    return alone.union(copies.dropDuplicates())
 
 
-def duplicate_count(raw: DataFrame) -> DataFrame:
+def duplicate_count(raw: DataFrame, path: str | None = None) -> DataFrame:
     """One row: how many rows :func:`deduplicate` removes."""
-    copies = raw.groupBy(*[f"`{name}`" for name in raw.columns]).agg(F.count(F.lit(1)).alias("n"))
+    repeated = repeated_rows(raw, path or scratch_path(raw.sparkSession, "repeated-rows"))
+    rows = raw if repeated is None else _split(raw, repeated)[1]
+    copies = rows.groupBy(*[f"`{name}`" for name in raw.columns]).agg(F.count(F.lit(1)).alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

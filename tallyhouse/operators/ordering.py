@@ -65,24 +65,6 @@ def number_rows(stored: DataFrame, prefix: str, name: str) -> DataFrame:
     )
 
 
-def number_weighted(stored: DataFrame, prefix: str, weight: str, name: str) -> DataFrame:
-    """Like :func:`number_rows`, for rows that stand for ``weight`` rows each:
-    the number of the first of them."""
-    block, place = place_columns(prefix)
-    earlier = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = stored.groupBy(block).agg(F.sum(weight).alias("block_rows")).select(
-        block, F.coalesce(F.sum("block_rows").over(earlier), F.lit(0)).alias("block_start")
-    )
-    inside = Window.partitionBy(block).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        # Bounded: one row of two numbers per partition of the earlier write.
-        stored.withColumn("before", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-        .join(F.broadcast(starts), block)
-        .withColumn(name, F.col("block_start") + F.col("before") + F.lit(1))
-        .drop(block, place, "block_start", "before")
-    )
-
-
 def block_starts(stored: DataFrame, prefix: str) -> tuple[int, list[tuple[int, int, int]]]:
     """Number of rows, and (block, rows before it, rows in it) in order."""
     total, starts = 0, []

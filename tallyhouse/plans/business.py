@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse import constants as K
-from tallyhouse.operators.ordering import number_weighted, sort_with_place
 from tallyhouse.plans import views
 from tallyhouse.plans.views import Star
-from tallyhouse.session import scratch_path
 
 
 def _name(column: str) -> Column:
@@ -153,36 +152,33 @@ def segment_spotlight(summary: DataFrame, segment: str = K.CHAMPIONS) -> DataFra
     )
 
 
-def _ranked(products: DataFrame, measure: str, name: str) -> DataFrame:
-    """Rank of every product by ``measure``, the largest first; equal values share the first rank.
-
-    Ranks are numbers in a distributed sort of the distinct values, plus the
-    products that share a larger value: no window holds all products.
-    """
-    spark = products.sparkSession
-    values = products.groupBy(measure).agg(F.count(F.lit(1)).alias("sharing"))
-    sorted_path = scratch_path(spark, name)
-    sort_with_place(values, [F.desc(measure)], name).write.parquet(sorted_path)
-    ranks = number_weighted(spark.read.parquet(sorted_path), name, "sharing", name)
-    return products.join(ranks.select(measure, name), measure)
-
-
 def volume_vs_revenue_rank(star: Star, limit: int = 100) -> DataFrame:
     """High volume, lower revenue: the products that sell most units, with their
-    ranks by volume and by revenue among all products."""
+    ranks by volume and by revenue among all products.
+
+    Whatever sells more units than one of the listed products is listed as well. The
+    revenues of the list are thresholds: one pass counts the products between each two
+    of them, and a rank is one more than the products beyond. Nothing but the list
+    is sorted, and nothing is written; the list and one count per threshold reach the driver.
+    """
     products = views.product_performance(star).filter(
         "description IS NOT NULL AND revenue > 0 AND units_sold > 0"
-    )
-    path = scratch_path(star.fact_transactions.sparkSession, "products")
-    products.select("stock_code", "description", "units_sold", "revenue").write.parquet(path)
-    stored = star.fact_transactions.sparkSession.read.parquet(path)
-    both = _ranked(_ranked(stored, "units_sold", "volume_rank"), "revenue", "revenue_rank")
-    return (
-        both.select(
-            "stock_code", "description", "units_sold", "revenue",
-            F.col("volume_rank").cast("int").alias("volume_rank"),
-            F.col("revenue_rank").cast("int").alias("revenue_rank"),
-        )
-        .orderBy("volume_rank", _name("stock_code"))
-        .limit(limit)
-    )
+    ).select("stock_code", "description", "units_sold", "revenue")
+    listed = products.orderBy(F.desc("units_sold"), _name("stock_code")).limit(limit).collect()
+    edges = sorted({row.revenue for row in listed})
+    products_beyond = [0] * (len(edges) + 1)
+    if edges:
+        passed = F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge < F.col("revenue")))
+        for row in products.groupBy(passed.alias("passed")).count().collect():
+            products_beyond[row.passed] = row["count"]
+    rank_of = {edge: 1 + sum(products_beyond[place:]) for place, edge in enumerate(edges, 1)}
+    fields = [*products.schema, T.StructField("volume_rank", T.IntegerType()), T.StructField("revenue_rank", T.IntegerType())]
+
+    def entry(row: Row) -> Column:
+        ranks = 1 + sum(other.units_sold > row.units_sold for other in listed), rank_of[row.revenue]
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip((*row, *ranks), fields, strict=True)])
+
+    none = F.from_json(F.lit("[]"), T.ArrayType(T.StructType(fields)))
+    entries = F.array(*map(entry, listed)) if listed else none
+    ranked = products.sparkSession.range(1).select(F.inline(entries))
+    return ranked.orderBy("volume_rank", _name("stock_code"))

@@ -50,8 +50,8 @@ def write_landing(raw: DataFrame, path: str) -> None:
 def write_clean(raw: DataFrame, path: str, timestamp_format: str | None = None) -> None:
     """Clean ``raw`` into a table in row order.
 
-    One shuffle removes the copies; its result is written, because finding the
-    bounds of the ranges reads it once more. A second shuffle puts the rows into
+    Copies are removed and the result is written, because finding the
+    bounds of the ranges reads it once more. A shuffle of whole rows puts them into
     order, and everything else is computed on the way into the file. No two rows
     are equal by then, so the order has no ties and no date, country or product
     can fill a partition by itself.
@@ -63,7 +63,8 @@ def write_clean(raw: DataFrame, path: str, timestamp_format: str | None = None)
     """
     spark = raw.sparkSession
     with scratch(spark, "distinct-lines") as distinct:
-        deduplicate(raw).write.parquet(distinct)
+        with scratch(spark, "repeated-rows") as repeated:
+            deduplicate(raw, repeated).write.parquet(distinct)
         lines = spark.read.schema(raw.schema).parquet(distinct)
         placed = sort_with_place(lines, row_order(lines, timestamp_format), LINE)
         (

@@ -8,8 +8,6 @@ a line looks like.
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,9 +106,9 @@ def write_sample_workbook(lines: DataFrame, path: str) -> None:
 
     A sheet is a folder with files from every task that has rows of it.
     Some values are written in other ways or cannot be read, descriptions have
-    line breaks, the sheets of even years lack the country, every fifth quantity is in
-    files with the columns the other way round, and lines without a description
-    are in files without that column.
+    line breaks, and the sheets of even years lack the country. In other sheets every fifth
+    quantity is in files with the columns the other way round, and lines without a
+    description are in files without that column.
     """
     quantity, moment = F.col("Quantity"), F.col("InvoiceDate")
     text = quantity.cast("string")
@@ -124,15 +122,17 @@ def write_sample_workbook(lines: DataFrame, path: str) -> None:
         SHEET: F.concat(F.lit("lines.v1."), F.coalesce(F.year(moment).cast("string"), F.lit("none"))),
         "even": F.coalesce(F.year(moment) % 2 == 0, F.lit(False)),
         "turned": F.coalesce(quantity % 5 == 0, F.lit(False)),
-        "bare": F.col("Description").isNull(),
     })
+    turned, bare = F.col("turned"), F.col("Description").isNull()
+    names = [name for name in RAW.names if name != SHEET]
+    parts = [
+        (F.col("even"), [name for name in names if name != "Country"]),
+        (~F.col("even") & bare, [name for name in names if name != "Description"]),
+        (~F.col("even") & ~bare & turned, names[::-1]),
+        (~F.col("even") & ~bare & ~turned, names),
+    ]
     options = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
-    mode = "overwrite"
-    for even, turned, bare in product((True, False), repeat=3):
-        lacking = {"Country": even, "Description": bare}
-        names = [name for name in RAW.names if not lacking.get(name) and name != SHEET]
-        part = sheets.where((F.col("even") == even) & (F.col("turned") == turned) & (F.col("bare") == bare))
-        part = part.select(*[f"`{name}`" for name in (names[::-1] if turned else names)], SHEET)
-        part.write.mode(mode).partitionBy(SHEET).options(**options).csv(path)
-        mode = "append"
+    for i, (rows, columns) in enumerate(parts):
+        part = sheets.where(rows).select(*[f"`{name}`" for name in columns], SHEET)
+        part.write.mode("append" if i else "overwrite").partitionBy(SHEET).options(**options).csv(path)

@@ -3,8 +3,11 @@
 from datetime import datetime
 from decimal import Decimal
 
+import random
+
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tallyhouse.operators import cleaning, quality
 from tallyhouse.schemas import CLEAN, RAW
@@ -178,3 +181,30 @@ def test_quality_counts_nan_as_missing_and_null_rows_as_equal(spark):
 def test_quality_can_reuse_a_clean_table(raw, clean):
     alone = quality.data_quality_summary(raw).collect()
     assert quality.data_quality_summary(raw, deduplicated=clean).collect() == alone
+
+
+@pytest.mark.parametrize("how", ["two phases", "hashes that collide", "too many copies"])
+def test_exact_copies(spark, monkeypatch, tmp_path, how):
+    """Against a plain set of rows, with nulls that change places and copies of every number."""
+    chance = random.Random(4)
+    rows = [(chance.choice([None, "a", "b"]), chance.choice([None, "a", "b"]), chance.choice([None, 1, 2])) for _ in range(60)]
+    rows += [(f"x{i}", None, i) for i in range(300)] + [("y", "z", 5)] * 50
+    raw = spark.createDataFrame(rows, "a string, `b.c` string, d int").repartition(5)
+    if how == "hashes that collide":
+        monkeypatch.setattr(cleaning, "_hashed", lambda raw: raw.withColumn("row_hash", F.crc32(F.coalesce("a", F.lit(""))) % 3))
+    if how == "too many copies":
+        monkeypatch.setattr(cleaning, "repeated_rows", lambda raw, path: None)
+    found = cleaning.deduplicate(raw, str(tmp_path / "t"))
+    assert found.columns == raw.columns
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(set(rows), key=repr)
+    assert cleaning.duplicate_count(raw, str(tmp_path / "u")).first()[0] == len(rows) - len(set(rows))
+
+
+def test_too_many_copies_are_not_broadcast(spark, tmp_path):
+    raw = spark.createDataFrame([("a",), ("a",)], "a string")
+    assert cleaning.repeated_rows(raw, str(tmp_path / "t")).count() == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert cleaning.repeated_rows(raw, str(tmp_path / "t")) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,7 +1,9 @@
 """What the physical plans must and must not contain."""
 
+import os
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tallyhouse.operators.fact import customer_lookup, key_lookup
 from tallyhouse.plans import business, catalog, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.views import open_star
+from tallyhouse.session import shared_folder
 from tallyhouse.sinks.tables import write_warehouse
 from tests.conftest import SMALL
 
@@ -73,11 +76,37 @@ def test_sample_limits_before_it_joins(small):
     assert text.index("Join") < text.index("TakeOrderedAndProject")
 
 
-def test_duplicates_collapse_before_the_shuffle(small):
+def shuffled_rows(frame):
+    """Rows of every shuffle of an executed frame."""
+    frame.write.format("noop").mode("overwrite").save()
+    frame.collect()
+    return [float(n) for n in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\(.*?rowCount=([\d.E+]+)\)", plan(frame))]
+
+
+def test_rows_without_copies_are_not_shuffled(spark, small, tmp_path):
+    unique = small.raw.dropDuplicates()
+    unique.write.parquet(str(tmp_path / "unique"))
+    frame = cleaning.deduplicate(spark.read.parquet(str(tmp_path / "unique")))
+    assert sum(shuffled_rows(frame)) == 0 and frame.count() == unique.count()
+    copies = small.raw.count() - unique.count()
+    frame = cleaning.deduplicate(small.raw)
+    assert 0 < sum(shuffled_rows(frame)) <= 2 * copies  # both copies of a row, if no task saw both
+
+
+def test_copies_collapse_before_the_shuffle(small):
     text = plan(cleaning.deduplicate(small.raw)).split("\n\n")[0]
     assert [line.strip(" +-:*|").split(" ")[0] for line in text.splitlines()].count("HashAggregate") == 2
 
 
+def test_ranks_need_no_table_and_no_full_sort(spark, small):
+    before = set(os.listdir(shared_folder(spark)))
+    frame = business.volume_vs_revenue_rank(small.star)
+    assert frame.count() == 100 and set(os.listdir(shared_folder(spark))) == before
+    nothing = replace(small.star, fact_transactions=small.star.fact_transactions.limit(0))
+    empty = business.volume_vs_revenue_rank(nothing)
+    assert empty.count() == 0 and empty.dtypes == frame.dtypes
+
+
 @pytest.mark.parametrize("view", [views.monthly_sales, views.country_performance, business.monthly_trend])
 def test_no_line_is_multiplied(small, view):
     """The aggregate over invoices and customers sits on the scan; only its rows are expanded."""
