@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import constants as K
 from tallyhouse.functions import calendar as cal
 from tallyhouse.functions.numbers import half_even
-from tallyhouse.operators.ordering import block_starts, rows_at, sort_with_place
+from tallyhouse.operators.selection import rows_in_order
 from tallyhouse.plans.views import Star, customer_performance
 from tallyhouse.session import scratch_path
 
@@ -50,48 +51,27 @@ def last_of_bin(count: int) -> list[int]:
     return [1 + j * (count - 1) // BINS for j in range(1, BINS)]
 
 
-def _cut_rows(
-    spark: SparkSession, measures: DataFrame
-) -> dict[str, list[Row]]:
-    """The customer that closes each bin, per measure.
+def _cut_rows(measures: DataFrame) -> dict[str, list[tuple[Decimal, str]]]:
+    """Measure and id of the customer that closes each bin, per measure.
 
-    All three measures are sorted in one range-partitioned write. Twelve rows
-    come back, whatever the number of customers; scoring a customer is then a
-    comparison with four constants.
+    All measures are searched together; scoring a customer is then a comparison
+    with four constants.
     """
-    pairs = measures.select(
-        F.explode(F.array(*[
-            F.struct(
-                F.lit(position).alias("measure"),
-                F.col(name).cast("decimal(28,2)").alias("amount"),
-                F.col("customer_id"),
-            )
-            for position, name in enumerate(_MEASURES)
-        ])).alias("pair")
-    ).select("pair.*")
-    path = scratch_path(spark, "rfm-order")
-    order = [F.col("measure"), F.col("amount"), F.col("customer_id")]
-    sort_with_place(pairs, order, "pair").write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
-    total, starts = block_starts(stored, "pair")
-    customers = total // len(_MEASURES)
+    cents = measures.select("customer_id", *[(F.col(name).cast("decimal(28,2)") * 100).cast("bigint").alias(name) for name in _MEASURES])
+    customers = measures.count()
     if customers == 0:
         return {name: [] for name in _MEASURES}
-    wanted = {
-        name: [position * customers + number for number in last_of_bin(customers)]
-        for position, name in enumerate(_MEASURES)
-    }
-    found = rows_at(stored, "pair", starts, {n for numbers in wanted.values() for n in numbers})
-    return {name: [found[n] for n in numbers] for name, numbers in wanted.items()}
+    found = rows_in_order(cents, "customer_id", {name: last_of_bin(customers) for name in _MEASURES})
+    return {name: [(Decimal(value).scaleb(-2), customer) for value, customer in cuts] for name, cuts in found.items()}
 
 
-def bin_number(measure: str, cuts: Sequence[Row]) -> Column:
+def bin_number(measure: str, cuts: Sequence[tuple[Decimal, str]]) -> Column:
     """1..5; ties in the measure are told apart by customer id."""
     amount, customer = F.col(measure).cast("decimal(28,2)"), F.col("customer_id")
     number = F.lit(1)
-    for cut in cuts:
-        edge = F.lit(cut.amount).cast("decimal(28,2)")
-        beyond = (amount > edge) | ((amount == edge) & (customer > cut.customer_id))
+    for value, closing in cuts:
+        edge = F.lit(value).cast("decimal(28,2)")
+        beyond = (amount > edge) | ((amount == edge) & (customer > closing))
         number = number + beyond.cast("int")
     return number
 
@@ -112,7 +92,7 @@ def customer_segment() -> Column:
     )
 
 
-def score(measures: DataFrame, cuts: Mapping[str, Sequence[Row]]) -> DataFrame:
+def score(measures: DataFrame, cuts: Mapping[str, Sequence[tuple[Decimal, str]]]) -> DataFrame:
     """Scores, score text and segment of every customer."""
     scores = ("recency_score", "frequency_score", "monetary_score")
     return (
@@ -128,11 +108,11 @@ def score(measures: DataFrame, cuts: Mapping[str, Sequence[Row]]) -> DataFrame:
 
 
 def rfm_customers(spark: SparkSession, star: Star) -> DataFrame:
-    """Measures are written once, then sorted and scored from that table."""
+    """Measures are written once, then searched for the cuts and scored from that table."""
     path = scratch_path(spark, "rfm-measures")
     customer_measures(star).write.mode("overwrite").parquet(path)
     measures = spark.read.parquet(path)
-    return score(measures, _cut_rows(spark, measures)).select(
+    return score(measures, _cut_rows(measures)).select(
         "customer_id", "first_purchase_date", "latest_purchase_date", "frequency", "monetary",
         "units_purchased", "recency_days", "customer_lifetime_days", "average_order_value",
         "recency_score", "frequency_score", "monetary_score", "rfm_score", "customer_segment",
