@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.fact import join_members
 from tallyhouse.schemas import WAREHOUSE
+from tallyhouse.sources import versions
 from tallyhouse.sources.tables import read_table
 
 
@@ -34,8 +35,9 @@ class Star:
 
 
 def open_star(spark: SparkSession, location: str) -> Star:
-    """The written warehouse; raises FileNotFoundError when it is missing."""
-    return Star(**{name: read_table(spark, location, name) for name in WAREHOUSE})
+    """The written warehouse, all tables of one version; raises FileNotFoundError when it is missing."""
+    version = versions.current(spark, location)
+    return Star(**{name: read_table(spark, version, name) for name in WAREHOUSE})
 
 
 def valid_sales(star: Star, sales: DataFrame | None = None) -> DataFrame:

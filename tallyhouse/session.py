@@ -44,7 +44,8 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and ``path`` as it wants it."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
@@ -52,13 +53,13 @@ def _file_system(spark: SparkSession, path: str):
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme, the way Spark reports the files below it."""
-    files, target = _file_system(spark, path)
+    files, target = file_system(spark, path)
     return files.makeQualified(target).toString()
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on any file system Spark can write."""
-    files, target = _file_system(spark, path)
+    files, target = file_system(spark, path)
     files.delete(target, True)
 
 
@@ -66,7 +67,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; what is still there goes with the application."""
     folder = shared_folder(spark)
     if folder not in _announced:
-        files, target = _file_system(spark, folder)
+        files, target = file_system(spark, folder)
         files.mkdirs(target)
         files.deleteOnExit(target)
         _announced.add(folder)

@@ -19,7 +19,8 @@ from tallyhouse.operators.dimensions import (
 from tallyhouse.operators.fact import fact_transactions
 from tallyhouse.operators.ordering import number_rows, sort_with_place, write_numbered
 from tallyhouse.schemas import CLEAN, DIM_COUNTRY, DIM_CUSTOMER, DIM_PRODUCT, LINE, LINE_POSITION
-from tallyhouse.session import scratch
+from tallyhouse.session import drop_folder, scratch
+from tallyhouse.sources import versions
 from tallyhouse.sources.tables import read_clean, read_table, warehouse_lines
 
 
@@ -117,7 +118,16 @@ def write_fact(spark: SparkSession, lines: DataFrame, location: str) -> None:
 
 
 def write_warehouse(spark: SparkSession, clean_path: str, location: str) -> None:
-    """Full rebuild of the star schema from the written clean table."""
+    """Full rebuild of the star schema from the written clean table.
+
+    All or nothing: the tables become those of ``location`` together, when the last one is written.
+    """
     lines = warehouse_lines(read_clean(spark, clean_path, with_position=True))
-    write_dimensions(spark, lines, location)
-    write_fact(spark, lines, location)
+    version = versions.new_version(location)
+    try:
+        write_dimensions(spark, lines, version)
+        write_fact(spark, lines, version)
+        versions.publish(spark, location, version)
+    except BaseException:
+        drop_folder(spark, version)
+        raise

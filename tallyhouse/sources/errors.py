@@ -1,4 +1,4 @@
-"""One error for a source that is not there."""
+"""Errors of sources that are not there or not as expected."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ from pyspark.errors import AnalysisException
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+class SchemaError(ValueError):
+    """A stored table lacks columns or holds them in other types."""
+
+
 @contextmanager
 def missing_as_file_error(path: str) -> Iterator[None]:
     """Turn Spark's complaint about a path without data into FileNotFoundError."""

@@ -7,13 +7,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.schemas import CLEAN, LINE_POSITION, WAREHOUSE
-from tallyhouse.sources.errors import missing_as_file_error
+from tallyhouse.sources import versions
+from tallyhouse.sources.errors import SchemaError, missing_as_file_error
 
 _WITH_POSITION = T.StructType([*CLEAN.fields, *LINE_POSITION.fields])
 
 
+def check_schema(path: str, found: T.StructType, expected: T.StructType) -> None:
+    """An error that names every column of ``expected`` that is missing or has another type."""
+    kinds = {field.name: field.dataType.simpleString() for field in found}
+    faults = [
+        f"{field.name} is missing" if field.name not in kinds
+        else f"{field.name} is {kinds[field.name]}, not {field.dataType.simpleString()}"
+        for field in expected
+        if kinds.get(field.name) != field.dataType.simpleString()
+    ]
+    if faults:
+        raise SchemaError(f"{path}: {'; '.join(faults)}")
+
+
 def _read(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """A table of the engine. The schema in the footer of its files is compared first: a column that is missing
+    would otherwise read as null, and one of another type fail in the middle of a job."""
     with missing_as_file_error(path):
+        check_schema(path, spark.read.parquet(path).schema, schema)
         return spark.read.schema(schema).parquet(path)
 
 
@@ -43,4 +60,5 @@ def warehouse_lines(clean: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, location: str, name: str) -> DataFrame:
-    return _read(spark, WAREHOUSE[name], f"{location}/{name}")
+    """A table of the current version of the warehouse at ``location``."""
+    return _read(spark, WAREHOUSE[name], f"{versions.current(spark, location)}/{name}")
