@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.scratch import land
+from tallyhouse.llm.scratch import land, release
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             .union(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        edges = land(spark, small, "links")
+        before, edges = edges, land(spark, small, "links")
+        release(spark, before, large)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == state:
             break

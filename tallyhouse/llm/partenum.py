@@ -9,20 +9,21 @@ partitions, and a signature is a hash of what a set has in a subset of them:
 * k <= 3: ceil((k+1)/2) partitions, each of ``n2`` parts. One partition differs
   in at most one element, so of the subsets of ``n2 - 1`` of its parts one agrees.
 * beyond: k + 1 + s partitions, each its own subset. At least s + 1 of them
-  agree, so a partition in which a set has nothing needs no signature unless
-  more than s of the set's partitions are empty. The s spare partitions make
-  that rare, and unrelated sets do not meet over empty partitions.
+  agree, so a partition in which a set has nothing, or one element only, needs no signature
+  unless more than s of the set's partitions are so light. The s spare partitions make
+  that rare, and unrelated sets do not meet over empty partitions or a single shared
+  n-gram. Where light partitions would take too many spare ones, only empty ones go unsigned.
 
 A set signs for its own band and the next one. Signatures are complete: every
-similar pair shares one. Sets that share a signature form a group, and pairs are
-tested exactly, on the whole sets, but never all pairs of a group: first the
-smallest id of each group with the others, which joins most near copies into
-components; then, in groups that still hold several components, only members of
-different ones. Of these, pairs are tested only if their sketches, one byte per
-hash bucket, do not already differ in more places than similar sets have differing
-elements. That bound is exact; it is taken inside a task, over blocks of bounded size.
-One round tests each member's closest partner of another component, which joins what
-belongs together, and a second one tests all pairs that are left, so a family of many
+similar pair shares one. Sets that share a signature belong together, and the smallest id of
+a signature is its centre. All signatures of one centre form one group: near copies share dozens
+of signatures with the same centre, and so are dealt once and not dozens of times. Pairs are
+tested exactly, on the whole sets, but never all pairs of a group. Pairs are tested only
+if their sketches, one byte per hash bucket, do not already differ in more places than
+similar sets have differing elements. That bound is exact; it is taken inside a task, over
+blocks of bounded size. One round tests each member's closest partner, which joins most of
+what belongs together into components, and a second one tests all pairs that are left
+between different components, in the groups that still hold several, so a family of many
 half-similar texts sends few pairs to the test. Pairs inside a component need none.
 
 Equal sets are found by a 128-bit hash and stand for one another; each scanning
@@ -50,7 +51,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
-from tallyhouse.llm.scratch import land
+from tallyhouse.llm.scratch import land, release
 
 _MEMORY = 1_000_000  # words whose hashes a task remembers
 _FILTER_BITS = 1 << 23  # of the bitmap that keeps unwanted texts out of a shuffle
@@ -131,7 +132,8 @@ def _signatures(grams: np.ndarray, bands: Bands, band: int) -> np.ndarray:
     place = _mix(grams + np.uint64((band + 1) * int(_ONE) & 0xFFFFFFFFFFFFFFFF))
     value = _mix(grams * _ONE + np.uint64(band))
     small = k <= 3
-    n1, n2 = ((k + 2) // 2, 4 if k == 1 else 3) if small else (k + 1 + _spare(k, least), 1)
+    spare, fewest = _spare(k, least)
+    n1, n2 = ((k + 2) // 2, 4 if k == 1 else 3) if small else (k + 1 + spare, 1)
     n = n1 * n2
     part = ((place >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
     order = np.argsort(part)
@@ -142,7 +144,8 @@ def _signatures(grams: np.ndarray, bands: Bands, band: int) -> np.ndarray:
     sums[parts.astype(np.int64)] = np.add.reduceat(value[order], starts)
     tag = np.uint64(band) << np.uint64(32)
     if not small:
-        signed = parts if n - len(parts) <= n - k - 1 else np.arange(n, dtype=np.uint64)
+        heavy = parts[np.diff(np.r_[starts, len(part)]) >= fewest]
+        signed = heavy if n - len(heavy) <= n - k - 1 else np.arange(n, dtype=np.uint64)
         return _mix(sums[signed.astype(np.int64)] + _mix((tag | signed) * _ONE))
     signs = []
     for first in range(n1):
@@ -155,13 +158,13 @@ def _signatures(grams: np.ndarray, bands: Bands, band: int) -> np.ndarray:
 
 
 def _sketch(grams: np.ndarray, bands: Bands) -> bytes:
-    """A byte per bucket, up to three buckets per element that a similar set may lack.
+    """A byte per bucket, up to six buckets per element that a similar set may lack.
 
     Sets that differ in d elements differ in at most d buckets. Grams are sorted,
     so their leading bits are the bucket; neighbouring buckets fold into one by
     exclusive or, which makes sketches of different sizes comparable.
     """
-    bits = max(3, (3 * bands.differences(bands.band(len(grams)) + 1) // 2).bit_length())
+    bits = max(4, (3 * bands.differences(bands.band(len(grams)) + 1)).bit_length())
     bucket = (grams >> np.uint64(64 - bits)).astype(np.int64)
     value = ((grams * _TWO) >> np.uint64(56)).astype(np.uint8)
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -175,14 +178,20 @@ def _folded(sketch: bytes, size: int) -> np.ndarray:
     return found if len(found) == size else np.bitwise_xor.reduce(found.reshape(size, -1), axis=1)
 
 
-def _spare(k: int, least: int) -> int:
-    """Spare partitions so that a set of ``least`` elements has more empty ones about once in a million."""
-    spare = 1
-    for _ in range(4):
-        n = k + 1 + spare
-        mean = n * float(np.exp(-least / n))
-        spare = int(np.ceil(mean + 5 * np.sqrt(mean))) + 1
-    return spare
+def _spare(k: int, least: int) -> tuple[int, int]:
+    """Spare partitions, and the fewest elements of a partition that signs.
+
+    A set of ``least`` elements has more lighter partitions than spare ones about once in a million.
+    """
+    for fewest in (2, 1):
+        spare = 1
+        for _ in range(8):
+            n = k + 1 + spare
+            light = n * float(np.exp(-least / n)) * (1 + least / n if fewest == 2 else 1)
+            spare = int(np.ceil(light + 5 * np.sqrt(light))) + 1
+        if spare <= (k + 1) // 3:
+            break
+    return spare, fewest
 
 
 _SIGNED = "id long, n_shingles long, key binary, signs array<long>, sketch binary"
@@ -256,7 +265,7 @@ def _plausible(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 def _pairs(like: Likeness, closest: bool, rows: pa.Table) -> Iterator[pa.RecordBatch]:
     """Plausible pairs between components in the groups of ``rows``; with ``closest`` a member's closest one only."""
-    group = np.stack([rows[c].to_numpy() for c in ("sign", "low", "high")])
+    group = np.stack([rows[c].to_numpy() for c in ("centre", "low", "high")])
     starts = np.flatnonzero(np.r_[True, (group[:, 1:] != group[:, :-1]).any(axis=0)])
     ids, labels, sizes, blocks = (rows[c].to_numpy() for c in ("id", "label", "n_shingles", "block"))
     sketches = rows["sketch"].to_pylist()
@@ -293,8 +302,8 @@ def _across(like: Likeness, closest: bool, batches: Iterator[pa.RecordBatch]) ->
     for batch in batches:
         if not batch.num_rows:
             continue
-        group = np.stack([batch[c].to_numpy() for c in ("sign", "low", "high")])
-        if rest and [rest[-1][c][-1].as_py() for c in ("sign", "low", "high")] != group[:, 0].tolist():
+        group = np.stack([batch[c].to_numpy() for c in ("centre", "low", "high")])
+        if rest and [rest[-1][c][-1].as_py() for c in ("centre", "low", "high")] != group[:, 0].tolist():
             yield from _pairs(like, closest, pa.Table.from_batches(rest))
             rest = []
         # The last group of a batch may go on in the next one.
@@ -342,7 +351,9 @@ def _test(spark: SparkSession, texts: DataFrame, pairs: DataFrame, like: Likenes
         sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a"
     )
     links = sided.select("a", "b", "x", "y").mapInArrow(partial(_similar, like), "a long, b long").distinct()
-    return land(spark, links, "partenum-links")
+    links = land(spark, links, "partenum-links")
+    release(spark, sets)
+    return links
 
 
 def jaccard_components(
@@ -361,46 +372,44 @@ def jaccard_components(
     first = land(spark, named.select("id", "key").join(copies, "key").select("id", "first").distinct(), "partenum-copies")
     links = first.select(F.col("id").alias("a"), F.col("first").alias("b")).where("a != b")
 
-    # Groups: signatures with two sets or more, each set as its first copy.
-    by_sign = Window.partitionBy("sign").orderBy("id")
-    shared = (
+    # Who shares a signature with its smallest id, each set as its first copy. The window runs
+    # through the rows of a signature and holds one of them.
+    so_far = Window.partitionBy("sign").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = (
         named.select(F.explode("signs").alias("sign"), "id")
-        .withColumn("before", F.lag("id").over(by_sign))
-        .withColumn("after", F.lead("id").over(by_sign))
-        .where("before is not null or after is not null")
-        .drop("before", "after")
+        .withColumn("centre", F.first("id").over(so_far))
+        .where("centre != id")
+        .select("centre", "id")
+        .distinct()
+    )
+    of_centre = first.select(F.col("id").alias("centre"), F.col("first").alias("first_centre"))
+    met = met.join(first, "id", "left").join(of_centre, "centre", "left").select(
+        F.coalesce("first_centre", "centre").alias("centre"), F.coalesce("first", "id").alias("id")
     )
-    groups = shared.join(first, "id", "left").select("sign", F.coalesce("first", "id").alias("id")).distinct()
-    groups = land(spark, groups, "partenum-groups")
+    met = met.where("centre != id")
+    met = met.union(met.select("centre", F.col("centre").alias("id")))
+    members = land(spark, met.distinct(), "partenum-members")
     sketches = named.where("sketch is not null").join(first, "id", "left").select(
         F.coalesce("first", "id").alias("id"), "n_shingles", "sketch"
     )
-    sketches = sketches.join(groups.select("id").distinct(), "id", "left_semi").distinct()
+    sketches = sketches.join(members.select("id").distinct(), "id", "left_semi").distinct()
     sketches = land(spark, sketches, "partenum-sketches")
+    rows = land(spark, signed.select("id", "n_shingles", F.col("key").isNull().alias("empty")), "partenum-rows")
+    release(spark, signed)
 
-    # The smallest id of each group with the others, which then need no further test with it.
-    least = groups.groupBy("sign").agg(F.min("id").alias("a"), F.max("id").alias("most")).where("a != most")
-    members = land(spark, groups.join(least.select("sign", "a"), "sign").where("a != id"), "partenum-members")
-    side = lambda name, sketch: sketches.select(
-        F.col("id").alias(name), F.col("n_shingles").alias(f"{name}_n"), F.col("sketch").alias(sketch)
-    )
-    stars = members.select("a", F.col("id").alias("b")).distinct().join(side("b", "y"), "b").join(side("a", "x"), "a")
-    stars = stars.select("a", "b", "a_n", "b_n", "x", "y").mapInArrow(partial(_plausible, like), "a long, b long")
-    tested = land(spark, stars.distinct(), "partenum-pairs")
-    links = links.union(_test(spark, texts, tested, like))
+    # Members of different components, in the groups that have several. Equal sets are one member.
+    tested = spark.createDataFrame([], "a long, b long")
     labels = land(spark, components(spark, links), "partenum-labels")
-
-    # Members of different components, in the groups that still have several.
-    members = members.select("sign", "id")
     for closest in (True, False):
         labelled = members.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id"))
-        labelled = land(spark, labelled.drop("component"), "partenum-members")
-        mixed = labelled.groupBy("sign").agg(
+        labelled = land(spark, labelled.drop("component"), "partenum-labelled")
+        mixed = labelled.groupBy("centre").agg(
             F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("size")
         ).where("least != most")
         blocks = F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")
-        dealt = land(spark, labelled.join(mixed.select("sign", blocks), "sign"), "partenum-mixed")
-        members = dealt.select("sign", "id")
+        dealt = land(spark, labelled.join(mixed.select("centre", blocks), "centre"), "partenum-mixed")
+        release(spark, labelled, members)
+        members = dealt.select("centre", "id")
         block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         ordered = (
@@ -408,24 +417,25 @@ def jaccard_components(
             .withColumn("other", other)
             .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
             .join(sketches, "id")
-            .select("sign", "low", "high", "block", "id", "label", "n_shingles", "sketch")
-            .repartition("sign", "low", "high")
-            .sortWithinPartitions("sign", "low", "high")
+            .select("centre", "low", "high", "block", "id", "label", "n_shingles", "sketch")
+            .repartition("centre", "low", "high")
+            .sortWithinPartitions("centre", "low", "high")
         )
-        across = land(
-            spark, ordered.mapInArrow(partial(_across, like, closest), "a long, b long").distinct(), "partenum-pairs"
+        met = land(
+            spark, ordered.mapInArrow(partial(_across, like, closest), "a long, b long").distinct(), "partenum-met"
         )
-        across = land(spark, across.join(tested, ["a", "b"], "left_anti"), "partenum-pairs")
+        across = land(spark, met.join(tested, ["a", "b"], "left_anti"), "partenum-pairs")
+        release(spark, met)
+        members = land(spark, members, "partenum-members")
+        release(spark, dealt)
         if not across.isEmpty():
             tested = tested.union(across)
             links = links.union(_test(spark, texts, across, like))
-            labels = land(spark, components(spark, links), "partenum-labels")
-    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.coalesce("component", "id"))
-    return (
-        signed.select("id", "n_shingles", "key")
-        .join(labels, "id", "left")
-        .select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"))
-    )
+            before, labels = labels, land(spark, components(spark, links), "partenum-labels")
+            release(spark, before)
+    release(spark, members, sketches)
+    component = F.when(F.col("empty"), F.col("id")).otherwise(F.coalesce("component", "id"))
+    return rows.join(labels, "id", "left").select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"))
 
 
 def keep_one(
@@ -441,14 +451,17 @@ def keep_one(
     Rows without an id stay. An id that occurs more than once is one document:
     of its rows the one with the smallest text stays.
     """
+    names, place = [F.col(f"`{name}`") for name in docs.columns], "place"
+    while place in docs.columns:
+        place += "_"
     found = jaccard_components(spark, docs, like, id_column=id_column, text_column=text_column)
     drop = found.where(F.col("component_id") != F.col(id_column)).select(id_column).distinct()
-    rest = docs.join(drop, id_column, "left_anti").select(*docs.columns)
+    rest = docs.join(drop, id_column, "left_anti").select(*names)
     again = docs.where(F.col(id_column).isNotNull()).groupBy(id_column).agg(F.count(F.lit(1)).alias("rows"))
     again = land(spark, again.where("rows > 1").select(id_column), "repeated-ids")
     if again.isEmpty():
         return rest
-    same = rest.join(again, id_column, "left_semi")
-    place = F.row_number().over(Window.partitionBy(id_column).orderBy(text_column))
-    one = same.select("*", place.alias("__place")).where("__place = 1").drop("__place")
-    return rest.join(again, id_column, "left_anti").select(*docs.columns).unionByName(one)
+    same = rest.join(again, id_column, "left_semi").select(*names)
+    order = Window.partitionBy(id_column).orderBy(text_column)
+    one = same.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select(*names)
+    return rest.join(again, id_column, "left_anti").select(*names).union(one)

@@ -4,24 +4,35 @@ from __future__ import annotations
 
 import sys
 import types
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.session import scratch_path
+from tallyhouse.session import drop_folder, scratch_path
+
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def land(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     What follows starts from files: a lost executor costs no recomputation, and
-    ids drawn while writing stay as they are. The files go when the session ends.
+    ids drawn while writing stay as they are. The files go with :func:`release`, or when the session ends.
     """
     path = scratch_path(spark, label)
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _folders[stored] = path
+    return stored
+
+
+def release(spark: SparkSession, *stored: DataFrame) -> None:
+    """Delete the files of tables that :func:`land` returned; nothing may read them any more."""
+    for frame in stored:
+        drop_folder(spark, _folders.pop(frame))
 
 
 def worker_state(key: str, make):

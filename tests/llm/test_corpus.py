@@ -1,6 +1,7 @@
 """Operators across documents against brute force."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -13,6 +14,7 @@ import corpus_pipeline
 from tallyhouse.llm import cross_polytope, line_rules, partenum, quotations, warc
 from tallyhouse.llm.components import components
 from tallyhouse.llm.queries import ORACLES, QUERIES
+from tallyhouse.session import shared_folder
 from tests.conftest import SMALL
 from tests.llm.test_texts import _brute_pii, _packed_right
 
@@ -150,9 +152,18 @@ def test_jaccard_edges(spark):
     assert partenum.keep_one(spark, docs.limit(0)).count() == 0
 
 
+def test_keep_one_with_odd_names_and_no_tables_left(spark):
+    rows = [(i, "one two three four five six", j, j, j) for i in (1, 2, 2) for j in (1, 2)] + [(3, "else", 5, 5, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, place int, __place int")
+    kept = partenum.keep_one(spark, docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    gone = ("partenum-signs", "partenum-sets", "partenum-sketches", "partenum-mixed")
+    assert not [name for name in os.listdir(shared_folder(spark)) if name.startswith(gone)]
+
+
 def test_pairs_hold_one_group_beyond_a_batch(monkeypatch):
     groups = [(sign, low, high) for sign in (3, 8) for low in range(4) for high in range(low, 4)]
-    names = ("sign", "low", "high", "block", "id", "label", "n_shingles", "sketch")
+    names = ("centre", "low", "high", "block", "id", "label", "n_shingles", "sketch")
     rows = [
         (*group, group[1 + i % 2], 100 * group[1 + i % 2] + i, 100 * group[1 + i % 2] + i, 40, bytes([i % 3] * 64))
         for group in groups
