@@ -6,13 +6,14 @@ credential context (a wider list of names, ``is`` or white space after a colon,
 quoted values with any characters) is priced: dynamic programming over its
 characters finds the cheapest segmentation into common words, dates, repeats,
 keyboard walks and brute-force spans. The price is the decimal logarithm of the
-guesses an attacker needs who knows these habits; values at or above the limit
-are secrets of kind ``guess`` unless a fixed shape covers the whole value already;
-one that covers a part of it stays beside it. A scheme such as ``Bearer`` before
+guesses an attacker needs who knows these habits; every value in a credential
+context is priced, and those at or above the limit are secrets of kind ``guess``,
+beside any fixed shape that covers or crosses them. A scheme such as ``Bearer`` before
 the value is no part of it, and neither is the next parameter of a query string.
 
-A brute-force span grows one character at a time and the other segments have a
-bounded length, so pricing is linear in the value. Texts are scanned whole, one
+A brute-force span grows one character at a time, words and dates have a bounded
+length, and a walk or a repeat is followed to its end from its start alone, so pricing
+is linear in the value. Texts are scanned whole, one
 Spark task per split, with no shuffle. Null texts are empty; repeated rows and
 null ids each keep their row; an empty table gives an empty result; further
 columns are not read.
@@ -150,11 +151,11 @@ class GuessCost:
             for unit in (2, 3, 4):
                 chunk = value[i : i + unit]
                 if len(chunk) == unit and value.startswith(chunk, i + unit) and len(set(chunk)) > 1:
+                    if i >= unit and value.startswith(chunk, i - unit):
+                        continue  # seen from the start of the run already
                     end = i + 2 * unit
                     while value.startswith(chunk, end):
                         end += unit
-                    if i >= unit and value.startswith(chunk, i - unit):
-                        continue  # seen from the start of the run already
                     best[end] = min(best[end], base + unit * one + log10((end - i) // unit))
         return best[size]
 
@@ -183,10 +184,7 @@ def credential_values(text: str) -> Iterator[tuple[int, int]]:
 def secret_spans(text: str, price: GuessCost, limit: float) -> tuple[list, list]:
     """The fixed shapes, and all spans."""
     base = base_spans(text)
-    more = []
-    for start, end in credential_values(text):
-        if not any(a <= start and end <= b for a, _, b in base) and price(text[start:end]) >= limit:
-            more.append((start, 3, end))
+    more = [(start, 3, end) for start, end in credential_values(text) if price(text[start:end]) >= limit]
     return base, sorted(base + more) if more else base
 
 

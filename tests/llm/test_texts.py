@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from math import log10
 
@@ -189,6 +190,18 @@ def test_guess_cost_prices_habits_low():
     assert price("x" * 100_000) < 10 < price("".join(random.Random(4).choices("abcdefgh0123", k=5000)))
 
 
+def test_pricing_is_linear_in_periodic_values():
+    price = guess_cost.GuessCost()
+    seconds = []
+    for size in (10_000, 100_000):
+        started = time.process_time()
+        for unit in ("ab", "xyz", "q7zk"):
+            value = unit * (size // len(unit))
+            assert price(value) <= len(unit) * log10(36) + log10(size)
+        seconds.append(time.process_time() - started)
+    assert seconds[1] < 30 * seconds[0]
+
+
 def test_guess_cost_is_the_cheapest_segmentation():
     words = ("wxy", "xyz", "wx", "z")
     price = guess_cost.GuessCost(words)
@@ -238,7 +251,8 @@ def test_credential_contexts(spark, odd, none):
         ("secret_key = q7vp!xm4ztka", ["q7vp!xm4ztka"]),
         ("SECRET-KEY: 'q7vp xm4 ztka'", ["q7vp xm4 ztka"]),
         ("signingKey=q7vp!xm4ztka", ["q7vp!xm4ztka"]),
-        ("password=q7vp2xm4ztka", []),  # the fixed shape covers the whole value
+        ("password=q7vp2xm4ztka", ["q7vp2xm4ztka"]),  # beside the fixed shape
+        ("token: 9f8e7d6c5b4a39281706f5e4d3", ["9f8e7d6c5b4a39281706f5e4d3"]),
         ("token=changeme&user=q7vp2xm4ztka&x=1", []),
         ("token=changeme&pwd=q7vp2!xm4ztka&x=1", ["q7vp2!xm4ztka"]),
     ],
