@@ -3,11 +3,12 @@
 Lines are normalised (lower case, white space collapsed) and hashed. Per host,
 the distinct documents that hold a line are counted; documents with the same
 sequence of lines are one document, so copies do not make their own text look
-like boilerplate. A line is frequent when more than ``min_documents`` and more
-than ``share`` of the host's documents hold it. Frequent lines are removed; a
-document of which less than ``min_left`` of the words remain is rejected, and so
-is one that fails the rules on its own text: fewer than ``min_words`` words, or
-more than ``max_repeated`` of them inside repeated 3-word windows.
+like boilerplate. A line is frequent when more than ``share`` of the host's documents
+hold it, and at least ``min_documents``, a floor of a few that says what a repetition is;
+so hosts of any size are judged alike. Frequent lines are removed; a document is depleted, and
+rejected, when less than ``min_left`` of its words or fewer than ``min_words`` remain.
+Rejected too is one that fails the rules on its own text: fewer than ``min_words`` words,
+or more than ``max_repeated`` of them inside repeated 3-word windows.
 
 Everything is built-in expressions. Texts never travel for the counting: a
 document sends one 64-bit hash per line, and counts are summed before each
@@ -44,10 +45,10 @@ MEASURES = (
 
 @dataclass(frozen=True)
 class LineLimits:
-    """Limits in whole percent; a limit counts as passed at the value itself."""
+    """Shares in whole percent, of documents or words; a limit counts as kept at the value itself."""
 
-    min_documents: int = 100
-    share: int = 1
+    min_documents: int = 5
+    share: int = 5
     min_left: int = 30
     min_words: int = 50
     max_repeated: int = 50
@@ -137,7 +138,7 @@ def frequent_lines(measured: DataFrame, limits: LineLimits) -> DataFrame:
         distinct.select("__host", F.explode(F.array_distinct("__hashes")).alias("__hash"))
         .groupBy("__host", "__hash")
         .agg(F.count(F.lit(1)).alias("holders"))
-        .where(F.col("holders") > limits.min_documents)
+        .where(F.col("holders") >= limits.min_documents)
     )
     same_host = counts["__host"].eqNullSafe(totals["__host"])
     return counts.join(totals, same_host).where(F.col("holders") * 100 > F.col("documents") * limits.share).select(
@@ -182,7 +183,10 @@ def apply_rules(
         .join(removed, _ROW, "left")
         .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
         .withColumn("base_failed", too_short | repetitive)
-        .withColumn("kept", ~F.col("base_failed") & (left * 100 >= F.col("n_words") * limits.min_left))
+        .withColumn(
+            "kept",
+            ~F.col("base_failed") & (left * 100 >= F.col("n_words") * limits.min_left) & (left >= limits.min_words),
+        )
         .select(*own, *MEASURES)
     )
 

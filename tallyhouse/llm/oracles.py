@@ -155,7 +155,7 @@ WITH d AS (
     SELECT source, line, count(*) AS holders
     FROM (SELECT source, unnest(list_distinct(body)) AS line FROM bodies) GROUP BY source, line
   ) x JOIN totals t ON t.source IS NOT DISTINCT FROM x.source
-  WHERE x.holders > 100 AND x.holders * 100 > t.documents * 1
+  WHERE x.holders >= 5 AND x.holders * 100 > t.documents * 5
 ), removed AS (
   SELECT l.r, sum(len(string_split(l.body, ' '))) AS n FROM lines l
   JOIN frequent f ON f.source IS NOT DISTINCT FROM l.source AND f.line = l.body GROUP BY l.r
@@ -167,7 +167,7 @@ WITH d AS (
   FROM d JOIN w ON w.r = d.r LEFT JOIN covered c ON c.r = d.r LEFT JOIN dups u ON u.r = d.r LEFT JOIN removed x ON x.r = d.r
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (n_words - gone) * 100 >= n_words * 30 AS kept
+       NOT base_failed AND (n_words - gone) * 100 >= n_words * 30 AND n_words - gone >= 50 AS kept
 FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats)
 """,
     "op9_partenum": r"""
