@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import line_rules, packing, partenum, pii_patterns, quality_classifier
-from tallyhouse.llm.scratch import land
+from tallyhouse.llm.scratch import land_step, release
 
 #: Documents with a lower score are rejected.
 LEAST_QUALITY = 0.3
@@ -75,7 +75,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each from the written result of the one before."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, done = spark.read.parquet(f"{sf_dir}/documents.parquet"), ()
     for _, stage in STAGES[:-1]:
-        docs = land(spark, stage(spark, docs, sf_dir), "pipeline")
+        docs = land_step(spark, lambda docs=docs, stage=stage: stage(spark, docs, sf_dir), "pipeline")
+        release(spark, *done)
+        done = (docs,)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.llm.scratch import land
 
@@ -258,13 +259,12 @@ def find_pii(
     Both are sorted arrays of (start, place, kind, end); ``found`` holds the base
     spans too.
     """
-    kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(
         F.struct(F.col(id_column).alias("id"), *keep).alias("id") if keep else F.col(id_column).alias("id"),
         F.coalesce(text_column, F.lit("")).alias("text"),
     )
-    kind = rows.schema["id"].dataType.simpleString()
-    scanned = rows.mapInArrow(partial(_scan, options), f"id {kind}, spans {_SPAN}, seen {_SEEN}")
+    shape = StructType([rows.schema["id"], *StructType.fromDDL(f"spans {_SPAN}, seen {_SEEN}")])
+    scanned = rows.mapInArrow(partial(_scan, options), shape)
     scanned = land(spark, scanned.withColumn("row", F.monotonically_increasing_id()), "pii-scan")
     seen = scanned.select("row", F.explode("seen").alias("s")).select("row", "s.*")
     found = _discover(spark, seen.select("kind", "value", F.explode("patterns").alias("pattern")), options)
@@ -288,7 +288,7 @@ def find_pii(
         "id", in_order(F.col("spans")).alias("base"), in_order(both).alias("found")
     )
     if keep:
-        return out.select(F.col("id.id").alias(id_column), *[F.col(f"id.{c}") for c in keep], "base", "found")
+        return out.select(F.col("id.id").alias(id_column), *[F.col(f"id.`{c}`") for c in keep], "base", "found")
     return out.withColumnRenamed("id", id_column)
 
 
@@ -297,17 +297,28 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _masked(text: str, starts: list[int], ends: list[int], kinds: list[str]) -> str:
+    pieces, at = [], 0
+    for start, end, kind in zip(starts, ends, kinds, strict=True):
+        if start >= at:
+            pieces += (text[at:start], f"<{kind.upper()}>")
+        at = max(at, end)
+    pieces.append(text[at:])
+    return "".join(pieces)
+
+
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; what overlaps an earlier span goes with it."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(done: Column, span: Column) -> Column:
-        gap = F.substring(text, done["at"] + 1, F.greatest(span["start"] - done["at"], F.lit(0)))
-        fresh = F.concat(done["out"], gap, F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-        return F.struct(
-            F.when(span["start"] >= done["at"], fresh).otherwise(done["out"]).alias("out"),
-            F.greatest(done["at"], span["end"]).alias("at"),
-        )
+    """The text with every span replaced by its kind in brackets; what overlaps an earlier span goes with it.
+
+    Linear in the text: its pieces are cut in a worker and joined once. Texts without spans stay in the JVM.
+    """
+
+    @F.arrow_udf("string")
+    def mask(texts: pa.Array, starts: pa.Array, ends: pa.Array, kinds: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), starts.to_pylist(), ends.to_pylist(), kinds.to_pylist(), strict=True)
+        return pa.array([None if row[0] is None else _masked(*row) for row in rows], pa.string())
 
-    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    # The worker gets no text without spans.
+    found = F.when(F.size(spans) > 0, text)
+    field = lambda name: F.transform(spans, lambda s: s[name])
+    return F.coalesce(mask(found, field("start"), field("end"), field("kind")), text)

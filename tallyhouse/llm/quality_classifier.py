@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 _WORDS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+").findall
 _MEMORY = 500_000  # words whose codes a task remembers
@@ -203,8 +204,6 @@ def score(
     """Id, the columns ``keep`` and ``score``; 1 is high quality."""
     own = F.struct(F.col(id_column).alias("id"), *keep).alias("id")
     rows = docs.select(own, F.coalesce(text_column, F.lit("")).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(
-        partial(_score, spark.sparkContext.broadcast(weights), options), f"id {kind}, score double"
-    )
-    return scored.select(F.col("id.id").alias(id_column), *[F.col(f"id.{c}") for c in keep], "score")
+    shape = StructType([rows.schema["id"], StructField("score", DoubleType())])
+    scored = rows.mapInArrow(partial(_score, spark.sparkContext.broadcast(weights), options), shape)
+    return scored.select(F.col("id.id").alias(id_column), *[F.col(f"id.`{c}`") for c in keep], "score")

@@ -6,11 +6,14 @@ import sys
 import types
 import weakref
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.session import drop_folder, scratch_path
 
 _folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_written: dict[str, None] = {}  # folders not deleted yet, in order
 
 
 def land(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -26,13 +29,29 @@ def land(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     stored = spark.read.schema(df.schema).parquet(path)
     _folders[stored] = path
+    _written[path] = None
     return stored
 
 
 def release(spark: SparkSession, *stored: DataFrame) -> None:
     """Delete the files of tables that :func:`land` returned; nothing may read them any more."""
     for frame in stored:
-        drop_folder(spark, _folders.pop(frame))
+        path = _folders.pop(frame)
+        drop_folder(spark, path)
+        _written.pop(path, None)
+
+
+def land_step(spark: SparkSession, step: Callable[[], DataFrame], label: str) -> DataFrame:
+    """:func:`land` of what ``step`` returns; the tables it landed on the way are deleted then.
+
+    Steps of one process run one after the other.
+    """
+    before = set(_written)
+    stored = land(spark, step(), label)
+    for path in [path for path in _written if path not in before and path != _folders[stored]]:
+        drop_folder(spark, path)
+        del _written[path]
+    return stored
 
 
 def worker_state(key: str, make):

@@ -465,8 +465,11 @@ def test_pipeline_stages_equal_plain_python(spark):
 
 
 def test_pipeline_on_odd_rows(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string"
-    rows = [(None, None, None, None, None, "x", "y"), (1, "", "en", "s", 0, None, None), (1, "word " * 200, "en", "s", 1000, None, None)]
+    clashing = ("score", "kept", "a.b", "id", "doc", "row", "found", "spans", "place", "__place", "__row", "__text", "__doc")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, "
+    schema += ", ".join(f"`{name}` string" for name in clashing)
+    first = [(None, None, None, None, None), (1, "", "en", "s", 0), (1, "word " * 200, "en", "s", 1000)]
+    rows = [(*row, *("x" if i else None for _ in clashing)) for i, row in enumerate(first)]
     docs = spark.createDataFrame(rows, schema)
     for name, stage in corpus_pipeline.STAGES:
         for frame in (docs, docs.limit(0)):

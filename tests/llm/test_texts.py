@@ -351,6 +351,25 @@ def test_mask(spark):
     assert dict(map(tuple, masked.collect())) == {1: "é to <EMAIL>, <IP>!", 2: None, 3: "none"}
 
 
+def test_mask_of_many_spans(spark):
+    chance = random.Random(8)
+    text = "".join(chance.choices("abé😀 \n", k=20_000))
+    spans, at = [], 0
+    while at < len(text) - 40:
+        start = max(0, at + chance.randrange(-3, 12))  # some overlap the one before
+        spans.append((start, 0, chance.choice(("email", "phone_context")), start + chance.randrange(1, 9)))
+        at = spans[-1][3]
+    spans.sort()
+    out, at = "", 0
+    for start, _, kind, end in spans:
+        out += f"{text[at:start]}<{kind.upper()}>" if start >= at else ""
+        at = max(at, end)
+    rows = [(text, spans), (text, []), (None, spans), (None, []), ("", [])]
+    schema = "text string, found array<struct<start:int,place:int,kind:string,end:int>>"
+    done = spark.createDataFrame(rows, schema).select(pii_patterns.masked(F.col("text"), F.col("found")))
+    assert [r[0] for r in done.collect()] == [out + text[at:], text, None, None, ""]
+
+
 # classifier
 
 
