@@ -174,6 +174,8 @@ def apply_rules(
         .groupBy(_ROW)
         .agg(F.sum("size").alias("n_removed_words"), F.collect_set(lines["__hash"]).alias("removed_lines"))
     )
+    # Likewise: while the rows that lose lines fit Spark's threshold, no text is shuffled to meet them.
+    removed = land(spark, removed, "removed-lines")
     too_short = F.col("n_words") < limits.min_words
     repetitive = F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeated
     left = F.col("n_words") - F.col("n_removed_words")

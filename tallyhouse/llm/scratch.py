@@ -41,17 +41,25 @@ def release(spark: SparkSession, *stored: DataFrame) -> None:
         _written.pop(path, None)
 
 
-def land_step(spark: SparkSession, step: Callable[[], DataFrame], label: str) -> DataFrame:
-    """:func:`land` of what ``step`` returns; the tables it landed on the way are deleted then.
-
-    Steps of one process run one after the other.
-    """
-    before = set(_written)
-    stored = land(spark, step(), label)
-    for path in [path for path in _written if path not in before and path != _folders[stored]]:
-        drop_folder(spark, path)
-        del _written[path]
-    return stored
+class Steps:
+    """Steps that each read the written result of the one before; steps of one process run one after the other."""
+
+    def __init__(self) -> None:
+        self.left: list[str] = []  # landed by the steps so far
+
+    def run(self, spark: SparkSession, docs: DataFrame, step: Callable[[], DataFrame]) -> DataFrame:
+        """What ``step`` returns; before it, tables that earlier steps landed are deleted, but for those ``docs`` reads."""
+        paths = [path for path in self.left if path in _written]
+        read = docs.inputFiles() if paths else []
+        self.left = [path for path in paths if any(path.rsplit("/", 1)[1] in file for file in read)]
+        for path in set(paths) - set(self.left):
+            drop_folder(spark, path)
+            del _written[path]
+        before = set(_written)
+        try:
+            return step()
+        finally:
+            self.left += [path for path in _written if path not in before]
 
 
 def worker_state(key: str, make):

@@ -475,3 +475,24 @@ def test_pipeline_on_odd_rows(spark):
         for frame in (docs, docs.limit(0)):
             out = stage(spark, frame, SMALL)
             assert out.count() <= 3 and (name == "packing" or out.columns == docs.columns)
+
+
+SCHEMA_OF_DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_give_back_their_tables(spark):
+    from tallyhouse.llm import scratch
+
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    docs = spark.createDataFrame([(i, f"{text(i)}\nfooter of all", "en", "s", 1) for i in range(9)], SCHEMA_OF_DOCUMENTS)
+    before = set(scratch._written)
+    ruled = corpus_pipeline.rules(spark, docs, SMALL)
+    first = set(scratch._written) - before
+    stored = scratch.land(spark, ruled, "test")
+    clean = corpus_pipeline.personal_data(spark, stored, SMALL)
+    assert first and not first & set(scratch._written)
+    assert {r.doc_id: r.text for r in clean.collect()} == {i: text(i) for i in range(9)}
+    # What an unwritten input still reads stays.
+    chained = corpus_pipeline.personal_data(spark, corpus_pipeline.rules(spark, docs, SMALL), SMALL)
+    assert chained.count() == 9
+    scratch.release(spark, stored)
