@@ -28,8 +28,9 @@ half-similar texts sends few pairs to the test. Pairs inside a component need no
 
 Equal sets are found by a 128-bit hash and stand for one another; each scanning
 task signs only the first of those it meets, so a text that a third of all rows
-copy sends few signatures. Sets are not stored: only the texts of ids in
-candidate pairs are read again, and a candidate pair travels with one set at a time.
+copy sends few signatures. Neither signatures nor sets are stored: texts are scanned once for
+sizes, hashes and sketches and once more for signatures, which go straight into their shuffle;
+the texts of ids in candidate pairs are read again, and a candidate pair travels with one set at a time.
 
 Null and empty texts have empty sets and are linked with nothing. Rows without
 an id are linked with nothing and have no component; an id that occurs with
@@ -194,38 +195,50 @@ def _spare(k: int, least: int) -> tuple[int, int]:
     return spare, fewest
 
 
-_SIGNED = "id long, n_shingles long, key binary, signs array<long>, sketch binary"
+_KEYED = "id long, n_shingles long, key binary, sketch binary"
 
 
-def _sign(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes and hashes of sets, and the sketch of the first of equal ones that have an id."""
     shingles, bands, seen = Shingles(like.words), Bands(like.percent), set()
-    nothing = np.empty(0, np.uint64)
     for batch in batches:
-        sizes, keys, signs, sketches = [], [], [], []
+        sizes, keys, sketches = [], [], []
         for text, own in zip(batch["text"], batch["id"], strict=True):
             grams = shingles(text.as_py())
             key = xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
             sizes.append(len(grams))
             keys.append(key)
-            if key is None or key in seen or not own.is_valid:
-                signs.append(nothing)
-                sketches.append(None)
-                continue
-            seen.add(key)
-            band = bands.band(len(grams))
-            signs += [np.concatenate([_signatures(grams, bands, b) for b in (band, band + 1)])]
-            sketches.append(_sketch(grams, bands))
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in signs])]).astype(np.int32)
-        values = np.concatenate(signs) if signs else nothing
+            first = key is not None and key not in seen and own.is_valid
+            sketches.append(_sketch(grams, bands) if first else None)
+            if first:
+                seen.add(key)
         yield pa.record_batch({
             "id": batch["id"],
             "n_shingles": pa.array(sizes, pa.int64()),
             "key": pa.array(keys, pa.binary()),
-            "signs": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))),
             "sketch": pa.array(sketches, pa.binary()),
         })
 
 
+def _signs(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per signature of the first of equal sets; rows without an id are left out by the caller."""
+    shingles, bands, seen = Shingles(like.words), Bands(like.percent), set()
+    for batch in batches:
+        ids, signs = [], []
+        for text, own in zip(batch["text"], batch["id"].to_numpy(), strict=True):
+            grams = shingles(text.as_py())
+            key = xxhash.xxh3_128_digest(grams.tobytes())
+            if not len(grams) or key in seen:
+                continue
+            seen.add(key)
+            band = bands.band(len(grams))
+            signs += [_signatures(grams, bands, b) for b in (band, band + 1)]
+            ids.append(np.full(len(signs[-2]) + len(signs[-1]), own))
+        if ids:
+            values = np.concatenate(signs).view(np.int64)
+            yield pa.record_batch({"sign": pa.array(values), "id": pa.array(np.concatenate(ids), pa.int64())})
+
+
 def _sets(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(like.words)
     for batch in batches:
@@ -366,8 +379,8 @@ def jaccard_components(
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (smallest id it is linked to, directly or not)."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    signed = land(spark, texts.mapInArrow(partial(_sign, like), _SIGNED), "partenum-signs")
-    named = signed.where("id is not null and key is not null")
+    keyed = land(spark, texts.mapInArrow(partial(_keys, like), _KEYED), "partenum-keys")
+    named = keyed.where("id is not null and key is not null")
     copies = named.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     first = land(spark, named.select("id", "key").join(copies, "key").select("id", "first").distinct(), "partenum-copies")
     links = first.select(F.col("id").alias("a"), F.col("first").alias("b")).where("a != b")
@@ -376,7 +389,8 @@ def jaccard_components(
     # through the rows of a signature and holds one of them.
     so_far = Window.partitionBy("sign").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     met = (
-        named.select(F.explode("signs").alias("sign"), "id")
+        texts.where("id is not null")
+        .mapInArrow(partial(_signs, like), "sign long, id long")
         .withColumn("centre", F.first("id").over(so_far))
         .where("centre != id")
         .select("centre", "id")
@@ -394,8 +408,8 @@ def jaccard_components(
     )
     sketches = sketches.join(members.select("id").distinct(), "id", "left_semi").distinct()
     sketches = land(spark, sketches, "partenum-sketches")
-    rows = land(spark, signed.select("id", "n_shingles", F.col("key").isNull().alias("empty")), "partenum-rows")
-    release(spark, signed)
+    rows = land(spark, keyed.select("id", "n_shingles", F.col("key").isNull().alias("empty")), "partenum-rows")
+    release(spark, keyed)
 
     # Members of different components, in the groups that have several. Equal sets are one member.
     tested = spark.createDataFrame([], "a long, b long")

@@ -176,7 +176,7 @@ def test_keep_one_with_odd_names_and_no_tables_left(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, place int, __place int")
     kept = partenum.keep_one(spark, docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
-    gone = ("partenum-signs", "partenum-sets", "partenum-sketches", "partenum-mixed")
+    gone = ("partenum-keys", "partenum-sets", "partenum-sketches", "partenum-mixed")
     assert not [name for name in os.listdir(shared_folder(spark)) if name.startswith(gone)]
 
 
