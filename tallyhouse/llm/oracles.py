@@ -97,15 +97,40 @@ WITH RECURSIVE m AS (
   FROM lines
 ), bare AS (
   SELECT r, string_agg(line, chr(10) ORDER BY i) AS text FROM levels WHERE level = 0 GROUP BY r
+), marked AS (
+  SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY r ORDER BY i) THEN 0 ELSE 1 END AS first
+  FROM levels WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), numbered AS (
+  SELECT *, sum(first) OVER (PARTITION BY r ORDER BY i) AS run FROM marked
+), passages AS (
+  SELECT DISTINCT conv_id, turn, level, string_agg(body, ' ' ORDER BY i) AS passage, list(body ORDER BY i) AS parts
+  FROM numbered WHERE body <> '' GROUP BY r, conv_id, turn, level, run
+), spans AS (
+  SELECT conv_id, turn, level, passage, parts, string_split(passage, ' ') AS words FROM passages
+), tokens AS (
+  SELECT conv_id, turn, level, passage,
+         array_to_string(words[i:i + 4], ' ') AS token
+  FROM (SELECT *, unnest(range(1, len(words) - 3)) AS i FROM spans WHERE level > 0 AND len(words) >= 5)
+  UNION
+  SELECT conv_id, turn, level, passage, part
+  FROM (SELECT conv_id, turn, level, passage, unnest(list_append(parts, passage)) AS part FROM spans WHERE level > 0)
+  WHERE len(string_split(part, ' ')) < 5
+), own AS (
+  SELECT DISTINCT conv_id, turn, array_to_string(words[i:i + n - 1], ' ') AS token
+  FROM (SELECT s.*, n, unnest(range(1, len(words) - n + 2)) AS i FROM spans s, range(1, 6) AS t(n)
+        WHERE level = 0 AND len(words) >= n AND conv_id IN (SELECT conv_id FROM tokens))
 ), q AS (
-  SELECT l.conv_id, l.turn, l.level, l.body, l.r, l.i,
-         (SELECT max(o.turn) FROM levels o WHERE o.conv_id = l.conv_id AND o.turn < l.turn AND o.level = 0 AND o.body = l.body) AS before
-  FROM levels l WHERE l.level > 0 AND l.body <> '' AND l.conv_id IS NOT NULL AND l.turn IS NOT NULL
+  SELECT t.conv_id, t.turn, t.level, t.passage, t.token, max(o.turn) AS before, count(o.turn) AS holders
+  FROM tokens t LEFT JOIN own o ON o.conv_id = t.conv_id AND o.token = t.token AND o.turn < t.turn GROUP BY ALL
 ), counts AS (
-  SELECT conv_id, turn, count(*) AS n_quoted, count(before) AS n_linked FROM q GROUP BY ALL
+  SELECT conv_id, turn, count(*) AS n_quoted, sum(found) AS n_linked
+  FROM (SELECT conv_id, turn, level, passage, max(CASE WHEN before IS NULL THEN 0 ELSE 1 END) AS found FROM q GROUP BY ALL)
+  GROUP BY ALL
+), rare AS (
+  SELECT *, min(holders) OVER (PARTITION BY conv_id, turn, passage) AS fewest FROM q WHERE level = 1 AND before IS NOT NULL
 ), votes AS (
   SELECT conv_id, turn, before, row_number() OVER (PARTITION BY conv_id, turn ORDER BY count(*) DESC, before DESC) AS place
-  FROM q WHERE level = 1 AND before IS NOT NULL GROUP BY conv_id, turn, before
+  FROM rare WHERE holders = fewest GROUP BY conv_id, turn, before
 ), turns AS (
   SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS previous
   FROM (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL)

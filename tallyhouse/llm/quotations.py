@@ -2,23 +2,32 @@
 
 A line that starts with ``>`` marks is a quotation, as deep as it has marks; the
 other lines are the message's own. Lines are normalised (marks off, lower case,
-white space collapsed) and hashed, and every quoted line is joined to the latest
-earlier message of the conversation that has it as an own line. The message that
-accounts for most of the first-level quotations is the one replied to (the later
+white space collapsed). Consecutive lines of one level are a passage, whose words form one
+sequence, so it does not matter how a mail client wraps it. A passage is known by
+the hash of its words. Its tokens are its windows of ``WINDOW`` words, its whole lines with
+fewer words, and itself if it has fewer. A message holds a token whose words stand in a row in a
+passage of its own.
+
+A passage votes with those of its tokens that the fewest earlier messages of the conversation hold,
+each for the latest of these; common lines such as greetings thus decide only
+where nothing rarer is quoted, and words on both sides of a line break tell the
+message that holds all of a quotation from one that holds some lines of it. The message with
+most votes of the first-level passages is the one replied to (the later
 one in a tie); without any, it is the message before. Since replies come later
 than what they answer, the links form trees. Pointer jumping gives each message
 its thread (the first message) and depth in log2(depth) joins.
 
-Everything is built-in expressions. "Latest earlier" is taken inside blocks of
-turns, and between blocks over one row per block, so a line or conversation
+Everything is built-in expressions. Only conversations that quote send tokens of their own words,
+and of these only lengths that are quoted. "Latest earlier" and the number of earlier holders are taken
+inside blocks of turns, and between blocks over one row per block, so a token or conversation
 that holds a third of all rows is spread over tasks, and no pairs of messages are
 made. ``in_reply_order`` writes the conversations range-partitioned by
 (conversation, thread, depth, turn), which also splits a long one.
 
 Null texts are empty messages; rows without a conversation or turn are threads of
 their own; repeated rows each keep their row and are one message; several texts
-under one turn quote and are quoted together. An empty table gives an empty
-result; further columns are not read.
+under one turn quote and are quoted together, and equal passages of a turn count once. An empty
+table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +40,8 @@ from tallyhouse.llm.scratch import land
 _MARKS = r"^ {0,3}((?:> ?)+)"
 #: Turns per block.
 BLOCK = 256
+#: Words per token of a passage.
+WINDOW = 5
 
 
 def _level(line: Column) -> Column:
@@ -47,26 +58,67 @@ def _block(turn: str) -> Column:
     return F.floor(F.col(turn) / BLOCK)
 
 
-def _latest(events: DataFrame, keys: list[str], own: str) -> Column | DataFrame:
-    """``events`` with ``before``: the largest ``own`` at an earlier turn under the same keys."""
+def _passages(parsed: Column) -> Column:
+    """Runs of lines of one level, as the level and the lines with a word."""
+    first = F.filter(
+        F.sequence(F.lit(0), F.size(parsed) - 1),
+        lambda i: (i == 0) | (parsed[i]["level"] != parsed[F.greatest(i - 1, F.lit(0))]["level"]),
+    )
+
+    def run(starts: Column) -> Column:
+        after = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(parsed)))
+        return F.transform(
+            F.arrays_zip(starts.alias("start"), after.alias("after")),
+            lambda x: F.struct(
+                parsed[x["start"]]["level"].alias("level"),
+                F.filter(
+                    F.transform(F.slice(parsed, x["start"] + 1, x["after"] - x["start"]), lambda y: y["body"]),
+                    lambda body: body != "",
+                ).alias("lines"),
+            ),
+        )
+
+    return F.transform(F.array(first), run)[0]
+
+
+def _windows(words: Column, length: Column) -> Column:
+    """Hashes of all ``length`` words in a row."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - length + 1, F.lit(1)))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, length)))
+    return F.when(F.size(words) >= length, hashes).otherwise(F.array().cast("array<long>"))
+
+
+def _tokens(words: Column, lines: Column) -> Column:
+    """The distinct tokens of a quoted passage: number of words, and hash."""
+    windows = F.transform(_windows(words, F.lit(WINDOW)), lambda h: F.struct(F.lit(WINDOW).alias("n"), h.alias("token")))
+    short = F.filter(
+        F.concat(F.transform(lines, lambda line: F.split(line, " ")), F.array(words)), lambda x: F.size(x) < WINDOW
+    )
+    return F.array_distinct(
+        F.concat(windows, F.transform(short, lambda x: F.struct(F.size(x).alias("n"), F.xxhash64(x).alias("token"))))
+    )
+
+
+def _latest(events: DataFrame, keys: list[str], own: str) -> DataFrame:
+    """``events`` with the largest ``own`` at an earlier turn under the same keys as ``before``, and how many as ``holders``.
+
+    Under the same keys, rows with an ``own`` have different turns.
+    """
     events = events.withColumn("block", _block("turn"))
     inside = Window.partitionBy(*keys, "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     blocks = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        events.where(F.col(own).isNotNull())
-        .groupBy(*keys, "block")
-        .agg(F.max(own).alias("most"))
-        .union(events.where(F.col(own).isNull()).select(*keys, "block", F.lit(None).cast("long")).distinct())
-        .groupBy(*keys, "block")
-        .agg(F.max("most").alias("most"))
-        .withColumn("carried", F.max("most").over(blocks))
-        .drop("most")
+        events.groupBy(*keys, "block")
+        .agg(F.max(own).alias("most"), F.count(own).alias("some"))
+        .withColumns({"carried": F.max("most").over(blocks), "so_far": F.sum("some").over(blocks)})
+        .drop("most", "some")
     )
     return (
-        events.withColumn("inside", F.max(own).over(inside))
+        events.withColumns({"inside": F.max(own).over(inside), "near": F.count(own).over(inside)})
         .join(carried, [*keys, "block"])
         .withColumn("before", F.coalesce("inside", "carried"))
-        .drop("block", "inside", "carried")
+        .withColumn("holders", F.col("near") + F.coalesce("so_far", F.lit(0)))
+        .drop("block", "inside", "carried", "near", "so_far")
     )
 
 
@@ -75,41 +127,63 @@ def link_quotations(spark: SparkSession, messages: DataFrame) -> DataFrame:
 
     ``reply_to`` is the turn replied to, ``thread`` the turn of the first message,
     ``depth`` the number of replies in between; ``n_quoted`` and ``n_linked``
-    count quoted lines, and those found in an earlier message.
+    count quoted passages, and those of which an earlier message holds a token.
     """
     text = F.coalesce("text", F.lit(""))
     lines = F.split(text, "\n", -1)
-    parsed = F.filter(
-        F.transform(lines, lambda line: F.struct(_level(line).alias("level"), _normal(line).alias("body"))),
-        lambda line: line["body"] != "",
+    parsed = F.transform(lines, lambda line: F.struct(_level(line).alias("level"), _normal(line).alias("body")))
+    found = (
+        messages.where("conv_id is not null and turn is not null")
+        .select(
+            F.col("conv_id").cast("long").alias("conv_id"),
+            F.col("turn").cast("long").alias("turn"),
+            F.explode(F.transform(F.array(parsed), _passages)[0]).alias("passage"),
+        )
+        .select("conv_id", "turn", "passage.level", "passage.lines")
+        .where(F.size("lines") > 0)
+        .withColumn("words", F.split(F.array_join("lines", " "), " "))
     )
-    keyed = messages.where("conv_id is not null and turn is not null").select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.col("turn").cast("long").alias("turn"),
-        F.explode(F.transform(parsed, lambda x: F.struct(x["level"], F.xxhash64(x["body"]).alias("line")))).alias("l"),
+    quoted = land(
+        spark,
+        found.where("level > 0")
+        .select("conv_id", "turn", "level", F.xxhash64("words").alias("passage"), F.explode(_tokens(F.col("words"), F.col("lines"))).alias("t"))
+        .select("conv_id", "turn", "level", "passage", "t.n", "t.token")
+        .distinct(),
+        "quoted-tokens",
     )
-    found = (
-        keyed.select("conv_id", "turn", "l.level", "l.line")
-        .groupBy("conv_id", "turn", "level", "line")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    # Own words matter only in conversations that quote, and in the lengths quoted there.
+    lengths = quoted.groupBy("conv_id").agg(F.collect_set("n").alias("lengths"))
+    own = (
+        found.where("level = 0")
+        .join(lengths, "conv_id")
+        .select(
+            "conv_id", "turn",
+            F.explode(F.flatten(F.transform("lengths", lambda n: _windows(F.col("words"), n)))).alias("token"),
+        )
+        .join(quoted.select("conv_id", "token").distinct(), ["conv_id", "token"], "left_semi")
+        .distinct()
     )
-    found = land(spark, found, "message-lines")
-    quoted = found.where("level > 0")
-    # Own lines matter only where a line with their hash is quoted.
-    wanted = quoted.select("conv_id", "line").distinct()
-    own = found.where("level = 0").join(wanted, ["conv_id", "line"], "left_semi")
-    events = quoted.withColumn("own", F.lit(None).cast("long")).unionByName(own.withColumn("own", F.col("turn")))
-    linked = land(spark, _latest(events, ["conv_id", "line"], "own").where("own is null"), "quoted-lines")
-    counts = linked.groupBy("conv_id", "turn").agg(
-        F.sum("copies").alias("n_quoted"),
-        F.sum(F.when(F.col("before").isNotNull(), F.col("copies"))).alias("n_linked"),
+    events = quoted.drop("n").withColumn("own", F.lit(None).cast("long")).unionByName(
+        own.withColumn("own", F.col("turn")), allowMissingColumns=True
+    )
+    linked = land(spark, _latest(events, ["conv_id", "token"], "own").where("own is null"), "linked-tokens")
+    counts = (
+        linked.groupBy("conv_id", "turn", "level", "passage")
+        .agg(F.max(F.col("before").isNotNull().cast("long")).alias("linked"))
+        .groupBy("conv_id", "turn")
+        .agg(F.count(F.lit(1)).alias("n_quoted"), F.sum("linked").alias("n_linked"))
     )
+    rarest = Window.partitionBy("conv_id", "turn", "passage")
     votes = (
         linked.where("level = 1 and before is not null")
+        .groupBy("conv_id", "turn", "passage", "holders", "before")
+        .agg(F.count(F.lit(1)).alias("tokens"))
+        .withColumn("fewest", F.min("holders").over(rarest))
+        .where("holders = fewest")
         .groupBy("conv_id", "turn", "before")
-        .agg(F.sum("copies").alias("lines"))
+        .agg(F.sum("tokens").alias("tokens"))
         .groupBy("conv_id", "turn")
-        .agg(F.max(F.struct("lines", "before"))["before"].alias("quoted_turn"))
+        .agg(F.max(F.struct("tokens", "before"))["before"].alias("quoted_turn"))
     )
     turns = (
         messages.where("conv_id is not null and turn is not null")

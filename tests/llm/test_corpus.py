@@ -306,6 +306,56 @@ def test_quotations(spark):
     assert quotations.link_quotations(spark, docs.limit(0)).count() == 0
 
 
+def test_passages_of_several_holders_and_wraps(spark):
+    x, y, z = "Good morning to everybody on this list", "thanks a lot", "the build breaks on the second machine"
+    rows = [
+        (1, 0, "user", f"{x}\n{y}\n{z}"),  # holds the whole quotation
+        (1, 1, "user", f"{x}\n{y}\nsomething else is the matter here"),
+        (1, 2, "user", f"> {x}\n> {y}\n> {z}\nWhich one?"),
+        (1, 3, "user", f"> good morning to everybody on\n>   this list THANKS a lot the build\n> breaks on the second machine\nrewrapped"),
+        (1, 4, "user", f"> {x}\n> {y}\nboth hold this: the later one"),
+        (1, 5, "user", f"> > {z}\n> Which one?\n\n> rewrapped\nnested"),
+        (1, 6, "user", f"> {z}\n> {z}\nagain"),
+        (2, 0, "user", "one two\nthree four\nfive"), (2, 1, "user", "else"), (2, 2, "user", "> one two three four\nfew words"),
+        (2, 2, "user", "> one two three four\nfew words"), (2, 3, "user", ">\n>\nnothing quoted"), (2, 4, "user", ">"),
+    ]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    linked = quotations.link_quotations(spark, docs)
+    found = {(r.conv_id, r.turn): r for r in linked.collect()}
+    reply = {k: r.reply_to for k, r in found.items() if k[1]}
+    assert reply == {
+        (1, 1): 0, (1, 2): 0, (1, 3): 0, (1, 4): 1, (1, 5): 3, (1, 6): 0, (2, 1): 0, (2, 2): 0, (2, 3): 2, (2, 4): 3
+    }
+    assert {k: (r.n_quoted, r.n_linked) for k, r in found.items() if r.n_quoted} == {
+        (1, 2): (1, 1), (1, 3): (1, 1), (1, 4): (1, 1), (1, 5): (3, 3), (1, 6): (1, 1), (2, 2): (1, 1)
+    }
+    assert linked.count() == len(rows)
+
+
+def test_quotations_match_sql_where_messages_quote(spark):
+    import duckdb
+
+    from checks.compare import difference
+
+    chance = random.Random(6)
+    said, rows = {}, []
+    for turn in range(400):
+        conv = chance.randrange(3)
+        lines = [" ".join(chance.choices("ab cd ef gh ij kl".split(), k=chance.randrange(1, 8))) for _ in range(chance.randrange(0, 4))]
+        own = list(lines)
+        if said.get(conv) and chance.random() < 0.7:
+            some = [chance.choice(said[conv]) for _ in range(chance.randrange(1, 4))]
+            lines[:0] = [f"{'>' * chance.choice((1, 1, 2))} {line.upper()}" for line in some]
+        said.setdefault(conv, []).extend(own)
+        rows.append((conv, turn if chance.random() < 0.97 else None, "user", "\n".join(lines) if chance.random() < 0.97 else None))
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = quotations.link_quotations(spark, docs).toArrow()
+    database = duckdb.connect()
+    database.register("conversations", docs.toArrow())
+    assert difference(found, database.sql(ORACLES["op6_quotations"]).to_arrow_table()) is None
+    assert sum(found["n_linked"].to_pylist()) > 100
+
+
 def test_quotations_across_blocks(spark):
     rows = [(1, t, "user", f"line {t}\n> line {t - 300}" if t % 7 == 0 else f"line {t}") for t in range(0, 1200, 1)]
     docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
