@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyhouse.constants import WHITE_SPACE
 
 # Text that a quick look finds tidy skips the costly expression: most text is.
-_MAYBE_UNTIDY = "  |[^!-~ ]"
+_NOT_PLAIN = "[^!-~ ]"
 _SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 
@@ -29,10 +29,11 @@ def tidy(column: Column) -> Column:
     """:func:`strip`, and every run of white space inside becomes one space."""
     text = column.cast("string")
     trimmed = F.trim(text)
-    return F.when(
-        trimmed.rlike(_MAYBE_UNTIDY),
-        F.regexp_replace(F.btrim(text, F.lit(WHITE_SPACE)), _SPACES, " "),
-    ).otherwise(trimmed)
+    return (
+        F.when(trimmed.rlike(_NOT_PLAIN), F.regexp_replace(F.btrim(text, F.lit(WHITE_SPACE)), _SPACES, " "))
+        .when(F.contains(trimmed, F.lit("  ")), F.regexp_replace(trimmed, "  +", " "))
+        .otherwise(trimmed)
+    )
 
 
 def is_cancellation(invoice: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import calendar as cal
@@ -68,11 +68,16 @@ def join_members(lines: DataFrame, members: DataFrame, column: str, names: Seque
     )
 
 
+def _missing(members: DataFrame, column: str, key: str) -> Column:
+    """The key of the missing member, if there is one."""
+    return members.where(F.col(column).isNull()).agg(F.max(key)).scalar()
+
+
 def key_lookup(lines: DataFrame, members: DataFrame, column: str, key: str) -> DataFrame:
     """Add ``key`` by looking ``column`` up; a missing value finds the missing
     member, and what has no member gets 0."""
     named = join_members(lines, members.where(F.col(column).isNotNull()), column, [key])
-    missing = members.where(F.col(column).isNull()).agg(F.max(key)).scalar()
+    missing = _missing(members, column, key)
     return named.withColumn(
         key, F.coalesce(F.when(F.col(column).isNull(), missing).otherwise(F.col(key)), F.lit(0).cast("bigint"))
     )
@@ -84,23 +89,57 @@ def customer_lookup(lines: DataFrame, customers: DataFrame) -> DataFrame:
     return named.withColumn("customer_key", F.coalesce(F.col("customer_key"), F.lit(0).cast("bigint")))
 
 
+def _merged(lines: DataFrame, lookups: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+    """``lines`` in ranges of their position, with the keys of members that are too many to broadcast; 0 where there is none.
+
+    Whole lines are shuffled once, however many keys there are. Only position and name meet the
+    members; what is found travels to the line's place in the order as position and key.
+    """
+    position, line = F.col(_POSITION), F.struct(*[f"`{name}`" for name in lines.columns])
+    keys = [key for _, _, key in lookups]
+
+    def rows(frame: DataFrame, whole: Column, **known: Column) -> DataFrame:
+        empty = F.lit(None).cast("bigint")
+        return frame.select(position, whole.alias("line"), *[known.get(key, empty).alias(key) for key in keys])
+
+    parts = rows(lines, line, **{
+        key: F.when(F.col(column).isNull(), _missing(members, column, key))
+        for members, column, key in lookups if column != "customer_id"
+    })
+    nothing = F.lit(None).cast(parts.schema["line"].dataType)
+    for members, column, key in lookups:
+        named = lines.select(_POSITION, column).where(F.col(column).isNotNull())
+        found = join_members(named, members.where(F.col(column).isNotNull()), column, [key]).where(F.col(key).isNotNull())
+        parts = parts.union(rows(found, nothing, **{key: F.col(key)}))
+    # As many ranges as the shuffle is wide: merged into fewer, they would not fit the memory of a task.
+    width = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merged = parts.repartitionByRange(width, _POSITION).groupBy(_POSITION).agg(
+        F.first("line", ignorenulls=True).alias("line"), *[F.coalesce(F.max(key), F.lit(0).cast("bigint")).alias(key) for key in keys]
+    )
+    return merged.select("line.*", *keys).sortWithinPartitions(_POSITION)
+
+
 def fact_transactions(
     numbered: DataFrame, customers: DataFrame, products: DataFrame, countries: DataFrame
 ) -> DataFrame:
     """``numbered`` is the clean table with its row number as transaction_key.
 
     A line without a date keeps its place with date key 0; it is never a valid
-    sale. Lines keep their order: lookups that shuffle are followed by a sort
-    into ranges of the key.
+    sale. Lines keep their order: lookups that shuffle bring them back into
+    ranges of the key.
     """
-    shuffled = not all(map(is_small, (customers, products, countries)))
-    lines = key_lookup(numbered, countries, "country", "country_key")
-    lines = key_lookup(lines, products, "stock_code", "product_key")
-    lines = customer_lookup(lines, customers)
+    lookups = [(countries, "country", "country_key"), (products, "stock_code", "product_key"), (customers, "customer_id", "customer_key")]
+    large = [at for at in lookups if not is_small(at[0])]
+    names = {name for _, name, _ in lookups}
+    lines = numbered.select(*[name for name in numbered.columns if name in names or name in FACT.names or name == "invoice_date"])
+    keys = {key for _, _, key in large}
+    for members, column, key in lookups:
+        if key not in keys:
+            lines = customer_lookup(lines, members) if column == "customer_id" else key_lookup(lines, members, column, key)
+    lines = _merged(lines, large) if large else lines
     flags = ("is_cancelled", "is_return", "is_valid_sale", "has_customer_id")
-    fact = lines.withColumns({
+    return lines.withColumns({
         "date_key": F.coalesce(cal.date_key(F.col("invoice_date")), F.lit(0)),
         "invoice_datetime": F.col("invoice_date"),
         **{flag: F.col(flag).cast("int") for flag in flags},
     }).select(*FACT.names)
-    return fact.repartitionByRange(_POSITION).sortWithinPartitions(_POSITION) if shuffled else fact

@@ -24,16 +24,18 @@ def place_columns(prefix: str) -> tuple[str, str]:
     return f"{prefix}_block", f"{prefix}_place"
 
 
-def sort_with_place(frame: DataFrame, order: Sequence[Column], prefix: str) -> DataFrame:
+def sort_with_place(frame: DataFrame, order: Sequence[Column], prefix: str, distinct: bool = False) -> DataFrame:
     """Globally sorted rows with block and place; write them before use.
 
     ``order`` should tell apart all rows that differ, so that no single value
-    holds up one partition.
+    holds up one partition. ``distinct`` drops exact copies: if ``order`` is plain columns, copies
+    are in one range, and dropping them takes no further shuffle.
     """
     block, place = place_columns(prefix)
     position = F.col("row_position")
+    ranged = frame.repartitionByRange(*order)
     return (
-        frame.repartitionByRange(*order)
+        (ranged.dropDuplicates() if distinct else ranged)
         .sortWithinPartitions(*order)
         .withColumn("row_position", F.monotonically_increasing_id())
         .withColumns({

@@ -18,7 +18,7 @@ from tallyhouse.operators import cleaning, quality, rejects
 from tallyhouse.plans import business, rfm, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.views import Star, open_star
-from tallyhouse.session import drop_folder, scratch_path, sized_for, source_bytes
+from tallyhouse.session import drop_folder, row_bytes, scratch_path, sized_for
 from tallyhouse.sinks.tables import write_clean, write_landing, write_warehouse
 from tallyhouse.sources.sample_lines import retail_lines, write_sample_workbook
 from tallyhouse.sources.sheets import scan_landing, scan_workbook
@@ -36,7 +36,7 @@ class Workspace:
         self.spark = spark
         self.folder = folder
         self.root = scratch_path(spark, "workspace")
-        self.num_bytes = source_bytes(spark, folder)
+        self.num_bytes = row_bytes(spark, folder)
 
     def close(self) -> None:
         """Delete the tables."""

@@ -14,7 +14,7 @@ from tallyhouse.plans import business, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.rfm import rfm_customers, rfm_segment_summary
 from tallyhouse.plans.views import Star, open_star, register_views
-from tallyhouse.session import scratch, sized_for, source_bytes
+from tallyhouse.session import row_bytes, scratch, sized_for
 from tallyhouse.sinks.exports import write_csv
 from tallyhouse.sinks.tables import write_clean, write_landing, write_warehouse
 from tallyhouse.sources.sheets import scan_landing
@@ -61,7 +61,7 @@ def build_warehouse(spark: SparkSession, output: str) -> Star:
     """Star schema and views from the written clean table, replacing old ones."""
     clean_path = f"{output}/clean_transactions"
     read_clean(spark, clean_path)
-    with sized_for(spark, source_bytes(spark, clean_path)):
+    with sized_for(spark, row_bytes(spark, clean_path)):
         write_warehouse(spark, clean_path, f"{output}/warehouse")
     return attach_warehouse(spark, output)
 
@@ -82,7 +82,7 @@ def export_analytics(spark: SparkSession, output: str) -> None:
         columns = [F.desc(c[1:]) if c.startswith("-") else F.col(c).asc_nulls_last() for c in order]
         write_csv(frame, f"{analytics}/{name}", *columns)
 
-    with sized_for(spark, source_bytes(spark, f"{current(spark, f'{output}/warehouse')}/fact_transactions")):
+    with sized_for(spark, row_bytes(spark, f"{current(spark, f'{output}/warehouse')}/fact_transactions")):
         export(views.monthly_sales(star), "monthly_sales", "year", "month_number")
         export(views.country_performance(star), "country_performance", "-revenue", "country")
         export(views.product_performance(star), "product_performance", "-revenue", "stock_code")
@@ -111,7 +111,7 @@ def answer_questions(spark: SparkSession, output: str) -> None:
         business.home_vs_international, business.active_products, business.top_product,
         business.volume_vs_revenue_rank,
     )
-    with sized_for(spark, source_bytes(spark, f"{current(spark, f'{output}/warehouse')}/fact_transactions")):
+    with sized_for(spark, row_bytes(spark, f"{current(spark, f'{output}/warehouse')}/fact_transactions")):
         for question in questions:
             write_csv(question(star), f"{output}/questions/{question.__name__}")
         with scratch(spark, "rfm-customers") as scored:

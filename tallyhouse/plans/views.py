@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.fact import join_members
 from tallyhouse.schemas import WAREHOUSE
+from tallyhouse.session import spread
 from tallyhouse.sources import versions
 from tallyhouse.sources.tables import read_table
 
@@ -99,7 +100,8 @@ def country_performance(star: Star) -> DataFrame:
 
 
 def product_performance(star: Star) -> DataFrame:
-    grouped = star.sales.groupBy("product_key").agg(
+    sales = spread(star.sales.select("product_key", "invoice_id", "sales_revenue", "quantity"), "product_key", "invoice_id")
+    grouped = sales.groupBy("product_key").agg(
         F.sum("sales_revenue").alias("revenue"),
         F.sum("quantity").alias("units_sold"),
         F.count_distinct("invoice_id").alias("orders"),

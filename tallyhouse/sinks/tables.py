@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.constants import SHEET
 from tallyhouse.functions.numbers import number, to_timestamp
-from tallyhouse.operators.cleaning import deduplicate, derive, standardise
+from tallyhouse.operators.cleaning import derive, standardise
 from tallyhouse.operators.dimensions import (
     country_members,
     customer_members,
@@ -24,9 +24,12 @@ from tallyhouse.sources import versions
 from tallyhouse.sources.tables import read_clean, read_table, warehouse_lines
 
 
-def row_order(raw: DataFrame, timestamp_format: str | None = None) -> list[Column]:
-    """By date, then invoice. Values that were read as text are ordered by what
-    they mean, and by their text where they mean the same."""
+_ORDER = ("InvoiceDate", "Invoice", "Country", "StockCode", "Description", "Quantity", "Price", "Customer ID", SHEET)
+_MEANING = "meaning_of_"
+
+
+def _meanings(raw: DataFrame, timestamp_format: str | None) -> dict[str, Column]:
+    """What the values mean that were read as text."""
     kinds = dict(raw.dtypes)
     meaning = {
         "InvoiceDate": lambda c: to_timestamp(c, timestamp_format),
@@ -34,13 +37,14 @@ def row_order(raw: DataFrame, timestamp_format: str | None = None) -> list[Colum
         "Price": number,
         "Customer ID": number,
     }
-    order = [
-        meaning[name](F.col(f"`{name}`")) if name in meaning and kinds[name] == "string" else F.col(f"`{name}`")
-        for name in (
-            "InvoiceDate", "Invoice", "Country", "StockCode", "Description", "Quantity", "Price", "Customer ID", SHEET,
-        )
-    ]
-    return order + [F.col(f"`{name}`") for name in meaning if kinds[name] == "string"]
+    return {name: of(F.col(f"`{name}`")) for name, of in meaning.items() if kinds[name] == "string"}
+
+
+def row_order(raw: DataFrame, timestamp_format: str | None = None) -> list[Column]:
+    """By date, then invoice. Values that were read as text are ordered by what
+    they mean, and by their text where they mean the same."""
+    meaning = _meanings(raw, timestamp_format)
+    return [meaning.get(name, F.col(f"`{name}`")) for name in _ORDER] + [F.col(f"`{name}`") for name in meaning]
 
 
 def write_landing(raw: DataFrame, path: str) -> None:
@@ -51,29 +55,25 @@ def write_landing(raw: DataFrame, path: str) -> None:
 def write_clean(raw: DataFrame, path: str, timestamp_format: str | None = None) -> None:
     """Clean ``raw`` into a table in row order.
 
-    Copies are removed and the result is written, because finding the
-    bounds of the ranges reads it once more. A shuffle of whole rows puts them into
-    order, and everything else is computed on the way into the file. No two rows
-    are equal by then, so the order has no ties and no date, country or product
-    can fill a partition by itself.
+    One shuffle of whole rows puts them into order. The order is total, so copies, and
+    only they, end in the same place and are dropped there; everything else is computed on
+    the way into the file. No date, country or product can fill a partition by itself.
 
     The stored order does the work of folders and indexes. A file spans a
     short time, so a filter on a date or month skips whole files by their
     statistics; and the lines of an invoice lie together, so counts per invoice
     mostly finish inside the scanning task.
     """
-    spark = raw.sparkSession
-    with scratch(spark, "distinct-lines") as distinct:
-        with scratch(spark, "repeated-rows") as repeated:
-            deduplicate(raw, repeated).write.parquet(distinct)
-        lines = spark.read.schema(raw.schema).parquet(distinct)
-        placed = sort_with_place(lines, row_order(lines, timestamp_format), LINE)
-        (
-            derive(standardise(placed, timestamp_format))
-            .select(*CLEAN.names, *LINE_POSITION.names)
-            .write.mode("overwrite")
-            .parquet(path)
-        )
+    meaning = _meanings(raw, timestamp_format)
+    order = [F.col(f"`{name}`") for name in (*(f"{_MEANING}{n}" if n in meaning else n for n in _ORDER), *meaning)]
+    ranked = raw.withColumns({f"{_MEANING}{name}": column for name, column in meaning.items()})
+    placed = sort_with_place(ranked, order, LINE, distinct=True).drop(*(f"{_MEANING}{name}" for name in meaning))
+    (
+        derive(standardise(placed, timestamp_format))
+        .select(*CLEAN.names, *LINE_POSITION.names)
+        .write.mode("overwrite")
+        .parquet(path)
+    )
 
 
 def write_dimensions(spark: SparkSession, lines: DataFrame, location: str) -> None:

@@ -9,12 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import cleaning
-from tallyhouse.operators.fact import customer_lookup, key_lookup
+from tallyhouse.operators.fact import customer_lookup, fact_transactions, key_lookup
+from tallyhouse.operators.ordering import number_rows, sort_with_place
 from tallyhouse.plans import business, catalog, views
 from tallyhouse.plans.kpis import executive_kpis
 from tallyhouse.plans.views import open_star
-from tallyhouse.session import shared_folder
-from tallyhouse.sinks.tables import write_warehouse
+from tallyhouse.session import EXPANSION, shared_folder, source_bytes
+from tallyhouse.sinks.tables import write_clean, write_warehouse
+from tallyhouse.sources.tables import read_clean, warehouse_lines
 from tests.conftest import SMALL
 
 
@@ -195,3 +197,48 @@ def test_valid_sales_with_shuffled_members(spark, small):
         assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_clean_shuffles_whole_lines_once(spark, small, tmp_path):
+    """Copies are dropped in the ranges of the sort, however many of them there are."""
+    raw = small.raw.union(small.raw)
+    order = [F.col(f"`{name}`") for name in raw.columns]
+    placed = sort_with_place(raw, order, "line", distinct=True)
+    text = plan(placed).split("\n\n")[0]
+    names = [line.strip(" +-:*|").split(" ")[0] for line in text.splitlines()]
+    assert names.count("Exchange") == 1 and placed.count() == raw.distinct().count()
+    before = set(os.listdir(shared_folder(spark)))
+    write_clean(raw, str(tmp_path / "clean"))
+    assert set(os.listdir(shared_folder(spark))) == before
+    clean, expected = spark.read.parquet(str(tmp_path / "clean")), spark.read.parquet(small.clean_path)
+    columns = [name for name in expected.columns if not name.startswith("line_")]
+    assert clean.select(columns).exceptAll(expected.select(columns)).count() == 0 and clean.count() == expected.count()
+
+
+def test_lookups_shuffle_whole_lines_once(spark, small, shuffled_joins):
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    star = small.star
+    lines = number_rows(warehouse_lines(read_clean(spark, small.clean_path, with_position=True)), "line", "transaction_key")
+    fact = fact_transactions(lines, star.dim_customer, star.dim_product, star.dim_country)
+    text = plan(fact)
+    shuffles = [part for part in text.split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    assert sum("line#" in part.split("Arguments")[0] or "net_line_value" in part for part in shuffles) == 1
+    assert fact.exceptAll(star.fact_transactions).count() == 0 and fact.count() == star.fact_transactions.count()
+
+
+def test_workspace_is_sized_by_rows_in_memory(small):
+    assert small.num_bytes == EXPANSION * source_bytes(small.spark, SMALL)
+
+
+def test_products_are_dealt_when_the_session_is_narrow(spark, small):
+    """Queries on the written tables run with the session's width, which may be far too small for their rows."""
+    narrow = {"spark.tallyhouse.reducerBytes": "20k"}
+    expected = business.top_products_by_units(small.star).collect()
+    for key, value in narrow.items():
+        spark.conf.set(key, value)
+    try:
+        frame = business.top_products_by_units(small.star)
+        assert "REPARTITION_BY_NUM" in plan(frame) and frame.collect() == expected
+    finally:
+        for key in narrow:
+            spark.conf.unset(key)
