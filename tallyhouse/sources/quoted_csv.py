@@ -204,29 +204,40 @@ class _Block:
         return found
 
     def add(self, lines: pa.Array) -> Iterator[tuple[pa.Array | list[str], int | None]]:
-        """Records, or pieces of one, and the block that owns the pieces."""
+        """Records, or pieces of one, and the block that owns the pieces; all whole records of ``lines`` at once, since
+        a batch for every quoted record would cost far more than the record."""
         at = 0 if self.body else self._after_header(lines)
         if self.quotes is None:
             yield lines.slice(at), None
             return
         marks = np.flatnonzero(pc.match_substring(lines, self.quotes.quote).to_numpy(zero_copy_only=False))
-        for mark in marks[np.searchsorted(marks, at):].tolist():
-            line = lines[mark].as_py()
-            ends_inside = self.quotes.after(line, self.inside)
+        marks = marks[np.searchsorted(marks, at):]
+        alone, joined, after = np.ones(len(lines), bool), [], self.quotes.after
+        alone[:at] = False
+        for mark, line in zip(marks.tolist(), lines.take(pa.array(marks)).to_pylist(), strict=True):
+            ends_inside = after(line, self.inside)
             if self.inside:
-                self.held += lines.slice(at, mark + 1 - at).to_pylist()
+                if mark > at:
+                    self.held += lines.slice(at, mark - at).to_pylist()
+                self.held.append(line)
+                alone[at:mark + 1] = False
                 at = mark + 1
                 self.inside = ends_inside
                 if not ends_inside:
-                    yield self._close()
+                    records, owner = self._close()
+                    if owner is None:
+                        joined += records
+                    else:
+                        yield records, owner
             elif ends_inside:
-                yield lines.slice(at, mark - at), None
                 self.held, self.inside, self.owner = [line], True, self.start
+                alone[mark] = False
                 at = mark + 1
         if self.inside:
             self.held += lines.slice(at).to_pylist()
-        else:
-            yield lines.slice(at), None
+            alone[at:] = False
+        plain = lines.filter(pa.array(alone))
+        yield (pa.concat_arrays([plain, pa.array(joined, plain.type)]) if joined else plain), None
 
     def end(self) -> Iterator[tuple[list[str], int | None]]:
         if self.body and self.held:

@@ -132,3 +132,16 @@ def test_plain_lines(spark, tmp_path):
     (tmp_path / "f.csv").write_text('a,b\n1,"x"\n2,5"\n')
     ((_, rows),) = read_records(spark, [str(tmp_path)], F.lit("s"), OPTIONS | {"multiLine": "false"}).parsed()
     assert _rows(rows.select("fields.c0", "fields.c1")) == [("1", "x"), ("2", '5"')]
+
+
+def test_quoted_records_share_batches():
+    """A batch of its own for every record with a line break costs far more than the record."""
+    text = "a,b\n" + "\n".join(f'{i},"x\ny"\n{i},z' for i in range(500))
+    lines = text.split("\n")
+    batch = pa.record_batch({"value": lines, "key": [7] * len(lines), "start": [0] * len(lines)})
+
+    class Shared:
+        value = {7: (0, "s", {0: (False, 0)})}
+
+    found = [b for b in quoted_csv._records(Shared, Quotes(), iter([batch])) if b.num_rows]
+    assert sum(b.num_rows for b in found) == 1000 and len(found) <= 3
