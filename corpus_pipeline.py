@@ -49,8 +49,10 @@ def _rewritten(rows: DataFrame, columns: list[str], text) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the classifier, trained on the labelled documents, rejects."""
     weights = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality_classifier.score(spark, _whole(docs), weights, keep=("doc",))
-    return scored.where(F.col("score") >= LEAST_QUALITY).select("doc.*")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")
+    scored = quality_classifier.score(spark, docs.select("doc_id", "text", others), weights, keep=("doc", "text"))
+    kept = scored.where(F.col("score") >= LEAST_QUALITY)
+    return kept.select(*[F.col("text" if c == "text" else f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 @_stage

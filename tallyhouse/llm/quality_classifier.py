@@ -30,12 +30,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 _WORDS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+").findall
-_MEMORY = 500_000  # words whose codes a task remembers
+_MEMORY = 100_000  # words whose codes a task remembers
+_SLICE = 1000  # scored rows that return to the JVM together
 
 
 @dataclass(frozen=True)
@@ -180,15 +182,16 @@ def train(
     return (total / max(1, sum(shard.rows for shard in shards))).astype(np.float32)
 
 
-def _score(weights, options: TrainOptions, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(weights, options: TrainOptions, kept: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     w, features = weights.value, Features(options.bits)
     intercept = float(w[-1])
     for batch in batches:
-        scores = []
-        for text in batch["text"]:
-            margin = intercept + options.scale * sum(float(w[at].mean()) for at in features(text.as_py()))
-            scores.append(1.0 / (1.0 + float(np.exp(-min(max(margin, -35.0), 35.0)))))
-        yield pa.record_batch({"id": batch["id"], "score": pa.array(scores, pa.float64())})
+        for start in range(0, batch.num_rows, _SLICE):
+            rows, scores = batch.slice(start, _SLICE), []
+            for text in rows["text"] if kept is None else pc.struct_field(rows["id"], kept):
+                margin = intercept + options.scale * sum(float(w[at].mean()) for at in features(text.as_py() or ""))
+                scores.append(1.0 / (1.0 + float(np.exp(-min(max(margin, -35.0), 35.0)))))
+            yield pa.record_batch({"id": rows["id"], "score": pa.array(scores, pa.float64())})
 
 
 def score(
@@ -201,9 +204,10 @@ def score(
     text_column: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Id, the columns ``keep`` and ``score``; 1 is high quality."""
+    """Id, the columns ``keep`` and ``score``; 1 is high quality. A text that is kept travels once."""
     own = F.struct(F.col(id_column).alias("id"), *keep).alias("id")
-    rows = docs.select(own, F.coalesce(text_column, F.lit("")).alias("text"))
+    kept = text_column if text_column in keep else None
+    rows = docs.select(own, *([] if kept else [F.coalesce(text_column, F.lit("")).alias("text")]))
     shape = StructType([rows.schema["id"], StructField("score", DoubleType())])
-    scored = rows.mapInArrow(partial(_score, spark.sparkContext.broadcast(weights), options), shape)
+    scored = rows.mapInArrow(partial(_score, spark.sparkContext.broadcast(weights), options, kept), shape)
     return scored.select(F.col("id.id").alias(id_column), *[F.col(f"id.`{c}`") for c in keep], "score")

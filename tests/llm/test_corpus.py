@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import cross_polytope, line_rules, partenum, quotations, warc
+from tallyhouse.llm import cross_polytope, line_rules, partenum, quality_classifier, quotations, warc
 from tallyhouse.llm.components import components
 from tallyhouse.llm.queries import ORACLES, QUERIES
 from tallyhouse.session import shared_folder
@@ -546,3 +546,16 @@ def test_stages_give_back_their_tables(spark):
     chained = corpus_pipeline.personal_data(spark, corpus_pipeline.rules(spark, docs, SMALL), SMALL)
     assert chained.count() == 9
     scratch.release(spark, stored)
+
+
+def test_kept_texts_travel_once(spark):
+    """The pipeline keeps the texts; with a second copy for the score, a batch takes twice the memory."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["Some words, and more.", "", None, "x" * 50] * 600)], "doc_id long, text string")
+    weights = np.linspace(-1, 1, (1 << 18) + 1, dtype=np.float32)
+    kept = quality_classifier.score(spark, docs, weights, keep=("text",))
+    plan = kept._jdf.queryExecution().analyzed().toString()
+    assert plan.count("text#") and "coalesce(text" not in plan
+    expected = {row.doc_id: row.score for row in quality_classifier.score(spark, docs, weights).collect()}
+    rows = kept.collect()
+    assert len(rows) == 2400 and {row.doc_id: row.score for row in rows} == expected
+    assert {row.doc_id: row.text for row in rows} == {row.doc_id: row.text for row in docs.collect()}
