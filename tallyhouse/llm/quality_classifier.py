@@ -9,10 +9,11 @@ and L1 term leave most weights at zero; a score is one sparse dot product.
 
 Training reads at most about ``TrainOptions.documents`` labelled documents,
 drawn by a hash of their id: the labels are counted, thinned, and only then meet
-the texts. The sample is dealt over a fixed number of shards; each makes its
-passes in one task over feature arrays of bounded size and returns a weight
-vector, and the driver averages these (shards x 2^bits numbers whatever the
-input). Scoring is one scan without a shuffle.
+the texts. The sample is dealt by a hash of the id over a fixed number of shards;
+each makes its passes in one task over feature arrays of bounded size, and its
+weight vector is shuffled in parts. A part is averaged over the shards where it
+lands, so the driver gets one vector (2^bits numbers) whatever the input, the number
+of shards and the number of partitions. Scoring is one scan without a shuffle.
 
 Null and empty texts get the score of no features. A document with conflicting
 labels counts as low quality; null labels and ids are not learned from. Repeated
@@ -38,6 +39,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 _WORDS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+").findall
 _MEMORY = 100_000  # words whose codes a task remembers
 _SLICE = 1000  # scored rows that return to the JVM together
+_PART = 1 << 14  # weights that are averaged together
+_ROOM = 4  # partitions for each shard, so that few shards wait for another one in the same task
 
 
 @dataclass(frozen=True)
@@ -132,21 +135,48 @@ def _sparse(groups: list[np.ndarray], options: TrainOptions) -> tuple[np.ndarray
     return positions, np.bincount(where, x)
 
 
+def _learned(options: TrainOptions, shard: int, rows: list) -> pa.RecordBatch:
+    """The weights that a shard's examples give, in parts."""
+    model = Ftrl(options)
+    order = np.random.default_rng(1)
+    for _ in range(options.passes):
+        for i in order.permutation(len(rows)):
+            positions, x, label = rows[i]
+            model.learn(positions, x.astype(float), label)
+    weights = model.weights().astype(np.float32)
+    parts = [weights[start : start + _PART].tobytes() for start in range(0, len(weights), _PART)]
+    return pa.record_batch({
+        "part": pa.array(range(len(parts)), pa.int32()),
+        "shard": pa.array([shard] * len(parts), pa.int32()),
+        "rows": pa.array([len(rows)] * len(parts), pa.int64()),
+        "weights": pa.array(parts, pa.binary()),
+    })
+
+
 def _train(options: TrainOptions, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    features, rows = Features(options.bits), []
+    """:func:`_learned` of each shard; rows come sorted by shard, and those of one are held."""
+    features, rows, last = Features(options.bits), [], None
     for batch in batches:
-        for text, label in zip(batch["text"], batch["label"].to_pylist(), strict=True):
+        columns = batch["shard"].to_pylist(), batch["text"], batch["label"].to_pylist()
+        for shard, text, label in zip(*columns, strict=True):
+            if rows and shard != last:
+                yield _learned(options, last, rows)
+                rows = []
+            last = shard
             positions, x = _sparse(features(text.as_py()), options)
             rows.append((positions.astype(np.int32), x.astype(np.float32), label))
     if rows:
-        model = Ftrl(options)
-        order = np.random.default_rng(1)
-        for _ in range(options.passes):
-            for i in order.permutation(len(rows)):
-                positions, x, label = rows[i]
-                model.learn(positions, x.astype(float), label)
-        weights = model.weights().astype(np.float32)
-        yield pa.record_batch({"rows": pa.array([len(rows)]), "weights": pa.array([weights.tobytes()], pa.binary())})
+        yield _learned(options, last, rows)
+
+
+def _average(learned: pa.Table) -> pa.Table:
+    """One part of the weights, averaged over the shards by the rows they saw."""
+    learned = learned.sort_by("shard")
+    rows, total = learned["rows"].to_pylist(), 0.0
+    for weights, seen in zip(learned["weights"], rows, strict=True):
+        total = total + (np.frombuffer(weights.as_py(), np.float32) * seen).astype(float)
+    average = (total / sum(rows)).astype(np.float32)
+    return pa.table({"part": learned["part"].slice(0, 1), "weights": pa.array([average.tobytes()], pa.binary())})
 
 
 def train(
@@ -174,12 +204,19 @@ def train(
     sample = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text")).join(
         F.broadcast(known), "id"  # about options.documents rows of two numbers
     )
-    dealt = sample.repartition(options.shards, "id").sortWithinPartitions("id", "text")
-    shards = dealt.select("text", "label").mapInArrow(partial(_train, options), "rows long, weights binary").collect()
-    total = np.zeros((1 << options.bits) + 1)
-    for shard in shards:
-        total += np.frombuffer(shard.weights, np.float32) * shard.rows
-    return (total / max(1, sum(shard.rows for shard in shards))).astype(np.float32)
+    dealt = (
+        sample.withColumn("shard", F.pmod(F.hash("id"), F.lit(options.shards)))
+        .repartition(_ROOM * options.shards, "shard")
+        .sortWithinPartitions("shard", "id", "text")
+    )
+    learned = dealt.select("shard", "text", "label").mapInArrow(
+        partial(_train, options), "part int, shard int, rows long, weights binary"
+    )
+    weights = np.zeros((1 << options.bits) + 1, np.float32)
+    for row in learned.groupBy("part").applyInArrow(_average, "part int, weights binary").collect():
+        part = np.frombuffer(row.weights, np.float32)
+        weights[row.part * _PART :][: len(part)] = part
+    return weights
 
 
 def _score(weights, options: TrainOptions, kept: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -400,6 +400,45 @@ def test_classifier_never_learns_from_held_out_labels(spark):
     assert (quality_classifier.train(docs, labels) == quality_classifier.train(docs, flipped)).all()
 
 
+def test_classifier_sends_the_driver_one_vector_however_the_sample_is_dealt(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    frame, sent = type(docs), []
+    collect, repartition = frame.collect, frame.repartition
+
+    def counted(self):
+        rows = collect(self)
+        sent.append(sum(len(value) for row in rows for value in row if isinstance(value, bytearray | bytes)))
+        return rows
+
+    monkeypatch.setattr(frame, "collect", counted)
+    found = [quality_classifier.train(docs, labels)]
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *columns: repartition(self, max(40, n), *columns))
+    found.append(quality_classifier.train(docs, labels))
+    assert np.count_nonzero(found[0]) > 100 and (found[0] == found[1]).all()
+    assert sent == [4 * ((1 << quality_classifier.TrainOptions().bits) + 1)] * 2
+
+
+def test_classifier_averages_its_shards(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").where(~quality_classifier.held_out())
+    options = quality_classifier.TrainOptions(shards=3, bits=15)
+    shard = F.pmod(F.hash("doc_id"), F.lit(3)).alias("shard")
+    known = labels.groupBy("doc_id").agg(F.min("quality").alias("label"))
+    rows = docs.join(known, "doc_id").select("doc_id", "text", "label", shard).collect()
+    features, total = quality_classifier.Features(options.bits), 0
+    for own in range(3):
+        examples = sorted((r.doc_id, r.text or "", r.label) for r in rows if r.shard == own)
+        model, order = quality_classifier.Ftrl(options), np.random.default_rng(1)
+        examples = [(*quality_classifier._sparse(features(text), options), label) for _, text, label in examples]
+        for _ in range(options.passes):
+            for i in order.permutation(len(examples)):
+                model.learn(examples[i][0], examples[i][1].astype(np.float32).astype(float), examples[i][2])
+        total = total + model.weights() * len(examples)
+    weights = quality_classifier.train(docs, labels, options)
+    assert weights.shape == ((1 << 15) + 1,) and np.allclose(weights, total / len(rows), rtol=1e-5, atol=1e-7)
+
+
 def test_classifier_edges(spark, odd, none):
     weights = quality_classifier.train(odd, none.selectExpr("doc_id", "score as quality"))
     assert {r.score for r in quality_classifier.score(spark, odd, weights).collect()} == {0.5}
