@@ -24,7 +24,8 @@ similar sets have differing elements. That bound is exact; it is taken inside a
 blocks of bounded size. One round tests each member's closest partner, which joins most of
 what belongs together into components, and a second one tests all pairs that are left
 between different components, in the groups that still hold several, so a family of many
-half-similar texts sends few pairs to the test. Pairs inside a component need none.
+half-similar texts sends few pairs to the test. Groups without a pair in the first round are
+not dealt again. Pairs inside a component need none.
 
 Equal sets are found by a 128-bit hash and stand for one another; each scanning
 task signs only the first of those it meets, so a text that a third of all rows
@@ -277,12 +278,15 @@ def _plausible(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 
 def _pairs(like: Likeness, closest: bool, rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Plausible pairs between components in the groups of ``rows``; with ``closest`` a member's closest one only."""
+    """Plausible pairs between components in the groups of ``rows``.
+
+    With ``closest`` a member's closest one only, and the centre of the group that has it.
+    """
     group = np.stack([rows[c].to_numpy() for c in ("centre", "low", "high")])
     starts = np.flatnonzero(np.r_[True, (group[:, 1:] != group[:, :-1]).any(axis=0)])
     ids, labels, sizes, blocks = (rows[c].to_numpy() for c in ("id", "label", "n_shingles", "block"))
     sketches = rows["sketch"].to_pylist()
-    found_a, found_b = [], []
+    found_a, found_b, found_in = [], [], []
     for start, stop in zip(starts, [*starts[1:], len(ids)], strict=True):
         size = min(map(len, sketches[start:stop]))
         matrix = np.stack([_folded(x, size) for x in sketches[start:stop]])
@@ -303,10 +307,12 @@ def _pairs(like: Likeness, closest: bool, rows: pa.Table) -> Iterator[pa.RecordB
                 a, b = np.nonzero(allowed)
             found_a.append(i[part[a]])
             found_b.append(i[second[b]])
+            found_in.append(np.full(len(a), group[0][start]))
     if found_a:
         a, b = np.concatenate(found_a), np.concatenate(found_b)
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)  # groups repeat pairs
-        yield pa.record_batch({"a": both[0], "b": both[1]})
+        found = [np.minimum(a, b), np.maximum(a, b)] + [np.concatenate(found_in)] * closest
+        found = np.unique(np.stack(found), axis=1)  # groups repeat pairs
+        yield pa.record_batch(dict(zip(("a", "b", "centre"), found, strict=False)))
 
 
 def _across(like: Likeness, closest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,10 +341,10 @@ def _hash_bit() -> Column:
     return F.pmod(F.xxhash64("id"), F.lit(_FILTER_BITS))
 
 
-def _wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of the given ids.
+def _wanted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the given ids, and some of other ids.
 
-    Before any text is shuffled for the join, most others are dropped by a bitmap
+    Before any wide row is shuffled for a join, most others are dropped by a bitmap
     of hashed ids: 256 rows of 4 KB, whatever the number of ids.
     """
     bitmap = ids.select(_hash_bit().alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
@@ -346,19 +352,18 @@ def _wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
     )
     position = F.bitmap_bit_position(_hash_bit())
     byte = F.conv(F.hex(F.substring("bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    maybe = (
-        texts.withColumn("bucket", F.bitmap_bucket_number(_hash_bit()))
+    return (
+        rows.withColumn("bucket", F.bitmap_bucket_number(_hash_bit()))
         .join(F.broadcast(bitmap), "bucket")
         .where(F.getbit(byte, (position % 8).cast("int")) == 1)
-        .select("id", "text")
+        .select(*rows.columns)
     )
-    return maybe.join(ids, "id", "left_semi")
 
 
 def _test(spark: SparkSession, texts: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (``a``, ``b``) that are similar."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = _wanted(texts, wanted).mapInArrow(partial(_sets, like), "id long, grams binary")
+    sets = _wanted(texts, wanted).join(wanted, "id", "left_semi").mapInArrow(partial(_sets, like), "id long, grams binary")
     sets = land(spark, sets, "partenum-sets")
     sided = pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a"
@@ -403,16 +408,21 @@ def jaccard_components(
     met = met.where("centre != id")
     met = met.union(met.select("centre", F.col("centre").alias("id")))
     members = land(spark, met.distinct(), "partenum-members")
-    sketches = named.where("sketch is not null").join(first, "id", "left").select(
-        F.coalesce("first", "id").alias("id"), "n_shingles", "sketch"
-    )
-    sketches = sketches.join(members.select("id").distinct(), "id", "left_semi").distinct()
+
+    # The sketches of the members, also from rows that a member stands for. Only these rows are shuffled.
+    single = members.select("id").distinct()
+    stands = first.join(single.withColumnRenamed("id", "first"), "first", "left_semi").select("id", "first")
+    stands = land(spark, stands.union(single.select("id", F.col("id").alias("first"))).distinct(), "partenum-stands")
+    sketches = _wanted(named.where("sketch is not null").select("id", "n_shingles", "sketch"), stands).join(stands, "id")
+    sketches = sketches.select(F.col("first").alias("id"), "n_shingles", "sketch").distinct()
     sketches = land(spark, sketches, "partenum-sketches")
+    release(spark, stands)
     rows = land(spark, keyed.select("id", "n_shingles", F.col("key").isNull().alias("empty")), "partenum-rows")
     release(spark, keyed)
 
     # Members of different components, in the groups that have several. Equal sets are one member.
-    tested = spark.createDataFrame([], "a long, b long")
+    # A group in which the first round saw no plausible pair has none in the second one either.
+    live, tested = None, spark.createDataFrame([], "a long, b long")
     labels = land(spark, components(spark, links), "partenum-labels")
     for closest in (True, False):
         labelled = members.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id"))
@@ -420,9 +430,11 @@ def jaccard_components(
         mixed = labelled.groupBy("centre").agg(
             F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("size")
         ).where("least != most")
+        if live is not None:
+            mixed = mixed.join(live.select("centre").distinct(), "centre", "left_semi")
         blocks = F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")
         dealt = land(spark, labelled.join(mixed.select("centre", blocks), "centre"), "partenum-mixed")
-        release(spark, labelled, members)
+        release(spark, labelled, members, *([live] if live is not None else []))
         members = dealt.select("centre", "id")
         block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -435,11 +447,10 @@ def jaccard_components(
             .repartition("centre", "low", "high")
             .sortWithinPartitions("centre", "low", "high")
         )
-        met = land(
-            spark, ordered.mapInArrow(partial(_across, like, closest), "a long, b long").distinct(), "partenum-met"
-        )
-        across = land(spark, met.join(tested, ["a", "b"], "left_anti"), "partenum-pairs")
-        release(spark, met)
+        schema = "a long, b long, centre long" if closest else "a long, b long"
+        met = land(spark, ordered.mapInArrow(partial(_across, like, closest), schema).distinct(), "partenum-met")
+        across = met.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+        across, live = land(spark, across, "partenum-pairs"), met
         members = land(spark, members, "partenum-members")
         release(spark, dealt)
         if not across.isEmpty():
@@ -447,7 +458,7 @@ def jaccard_components(
             links = links.union(_test(spark, texts, across, like))
             before, labels = labels, land(spark, components(spark, links), "partenum-labels")
             release(spark, before)
-    release(spark, members, sketches)
+    release(spark, members, live, sketches)
     component = F.when(F.col("empty"), F.col("id")).otherwise(F.coalesce("component", "id"))
     return rows.join(labels, "id", "left").select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"))
 

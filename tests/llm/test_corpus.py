@@ -201,6 +201,20 @@ def test_pairs_hold_one_group_beyond_a_batch(monkeypatch):
         assert sum(held) == len(rows) and max(held) <= 10 + size
 
 
+def test_only_wanted_sketches_and_groups_travel_again(spark):
+    rows = spark.range(20_000).select("id", F.lit(7).alias("n_shingles"), F.lit(b"x").alias("sketch"))
+    wanted = spark.createDataFrame([(5,), (77,), (4242,)], "id long")
+    found = partenum._wanted(rows, wanted)
+    assert found.columns == rows.columns and {5, 77, 4242} <= {r.id for r in found.collect()}
+    assert found.count() < 100
+    names = ("centre", "low", "high", "block", "id", "label", "n_shingles", "sketch")
+    near = [(3, 0, 0, 0, i, i, 40, bytes(64)) for i in (3, 30, 31)]
+    far = [(8, 0, 0, 0, i, i, 40, bytes([i]) * 64) for i in (8, 80, 81)]
+    table = pa.table({name: list(column) for name, column in zip(names, zip(*near, *far, strict=True), strict=True)})
+    out = pa.Table.from_batches(partenum._across(partenum.Likeness(), True, iter(table.to_batches())))
+    assert set(out["centre"].to_pylist()) == {3}
+
+
 @pytest.mark.parametrize("percent", [80, 85, 90])
 def test_similar_sets_share_a_signature(percent):
     chance = np.random.default_rng(percent)
