@@ -53,11 +53,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
-from tallyhouse.llm.scratch import land, release
+from tallyhouse.llm.scratch import land, release, small_batches
 
-_MEMORY = 1_000_000  # words whose hashes a task remembers
+_MEMORY = 200_000  # words whose hashes a task remembers
 _FILTER_BITS = 1 << 23  # of the bitmap that keeps unwanted texts out of a shuffle
 _BLOCK = 4096  # members of a group that one task compares with as many others
+_ROWS = 1 << 16  # signatures of a batch, which bounds what a worker and its executor hold beside the texts
+_TEXTS = 1024  # texts, or pairs of sets, that travel to a worker together
 _ONE = np.uint64(0x9E3779B97F4A7C15)
 _TWO = np.uint64(0xD6E8FEB86659FD93)
 
@@ -224,8 +226,13 @@ def _keys(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 def _signs(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per signature of the first of equal sets; rows without an id are left out by the caller."""
     shingles, bands, seen = Shingles(like.words), Bands(like.percent), set()
+    ids, signs, held = [], [], 0
+
+    def out() -> pa.RecordBatch:
+        values = np.concatenate(signs).view(np.int64)
+        return pa.record_batch({"sign": pa.array(values), "id": pa.array(np.concatenate(ids), pa.int64())})
+
     for batch in batches:
-        ids, signs = [], []
         for text, own in zip(batch["text"], batch["id"].to_numpy(), strict=True):
             grams = shingles(text.as_py())
             key = xxhash.xxh3_128_digest(grams.tobytes())
@@ -235,9 +242,12 @@ def _signs(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             band = bands.band(len(grams))
             signs += [_signatures(grams, bands, b) for b in (band, band + 1)]
             ids.append(np.full(len(signs[-2]) + len(signs[-1]), own))
-        if ids:
-            values = np.concatenate(signs).view(np.int64)
-            yield pa.record_batch({"sign": pa.array(values), "id": pa.array(np.concatenate(ids), pa.int64())})
+            held += len(ids[-1])
+            if held >= _ROWS:
+                yield out()
+                ids, signs, held = [], [], 0
+    if held:
+        yield out()
 
 
 def _sets(like: Likeness, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,12 +374,14 @@ def _test(spark: SparkSession, texts: DataFrame, pairs: DataFrame, like: Likenes
     """The pairs (``a``, ``b``) that are similar."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = _wanted(texts, wanted).join(wanted, "id", "left_semi").mapInArrow(partial(_sets, like), "id long, grams binary")
-    sets = land(spark, sets, "partenum-sets")
+    with small_batches(spark, _TEXTS):
+        sets = land(spark, sets, "partenum-sets")
     sided = pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a"
     )
     links = sided.select("a", "b", "x", "y").mapInArrow(partial(_similar, like), "a long, b long").distinct()
-    links = land(spark, links, "partenum-links")
+    with small_batches(spark, _TEXTS):
+        links = land(spark, links, "partenum-links")
     release(spark, sets)
     return links
 
@@ -384,7 +396,8 @@ def jaccard_components(
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (smallest id it is linked to, directly or not)."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    keyed = land(spark, texts.mapInArrow(partial(_keys, like), _KEYED), "partenum-keys")
+    with small_batches(spark, _TEXTS):
+        keyed = land(spark, texts.mapInArrow(partial(_keys, like), _KEYED), "partenum-keys")
     named = keyed.where("id is not null and key is not null")
     copies = named.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     first = land(spark, named.select("id", "key").join(copies, "key").select("id", "first").distinct(), "partenum-copies")
@@ -407,7 +420,8 @@ def jaccard_components(
     )
     met = met.where("centre != id")
     met = met.union(met.select("centre", F.col("centre").alias("id")))
-    members = land(spark, met.distinct(), "partenum-members")
+    with small_batches(spark, _TEXTS):
+        members = land(spark, met.distinct(), "partenum-members")
 
     # The sketches of the members, also from rows that a member stands for. Only these rows are shuffled.
     single = members.select("id").distinct()

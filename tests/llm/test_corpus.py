@@ -14,6 +14,7 @@ import corpus_pipeline
 from tallyhouse.llm import cross_polytope, line_rules, partenum, quality_classifier, quotations, warc
 from tallyhouse.llm.components import components
 from tallyhouse.llm.queries import ORACLES, QUERIES
+from tallyhouse.llm.scratch import land, small_batches
 from tallyhouse.session import shared_folder
 from tests.conftest import SMALL
 from tests.llm.test_texts import _brute_pii, _packed_right
@@ -215,6 +216,23 @@ def test_only_wanted_sketches_and_groups_travel_again(spark):
     assert set(out["centre"].to_pylist()) == {3}
 
 
+def test_batches_to_and_from_workers_are_bounded(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(1500)]
+    rows = pa.record_batch({"id": pa.array(range(1500), pa.int64()), "text": pa.array(texts)})
+    out = list(partenum._signs(partenum.Likeness(), iter([rows])))
+    widest = max(np.unique(np.concatenate([b["id"].to_numpy() for b in out]), return_counts=True)[1])
+    assert max(b.num_rows for b in out) < partenum._ROWS + widest < sum(b.num_rows for b in out)
+    assert len({i for b in out for i in b["id"].to_pylist()}) == 1500
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    sizes = spark.range(0, 5000, 1, 1).mapInArrow(
+        lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n long"
+    )
+    with small_batches(spark, 1024):
+        assert max(r.n for r in land(spark, sizes, "sizes").collect()) <= 1024
+    assert spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("percent", [80, 85, 90])
 def test_similar_sets_share_a_signature(percent):
     chance = np.random.default_rng(percent)
